@@ -1,0 +1 @@
+"""Registered queries over the sample tables and the SQL they are checked against."""
