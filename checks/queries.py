@@ -1,0 +1,367 @@
+"""The registered queries: name to ``(spark, sf_dir) -> DataFrame`` over the whole sample tables."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from checks.sample_lake import RAW, maintenance_source, raw_device, raw_meter_readings, raw_site, sample, silver_tables, supplier_source
+from voltmark import ENERGY_MODEL, EntityGraph, Lake, land, metrics, run_all
+from voltmark.functions import (
+    display_number,
+    labelled,
+    safe_divide,
+    stable_id63,
+    stable_uuid5,
+    surrogate_key,
+    to_boolean,
+)
+from voltmark.operators import top_k, typed
+from voltmark.plans import gold, questions, silver
+from voltmark.plans.medallion import load_maintenance
+from voltmark.plans.metrics import formatted, report_table
+
+
+def plain(df: DataFrame) -> DataFrame:
+    """Dates and timestamps as text, so results compare independent of client time types."""
+    formats = {"date": "yyyy-MM-dd", "timestamp": "yyyy-MM-dd HH:mm:ss.SSSSSS"}
+    return df.select(
+        *[F.date_format(c, formats[t]).alias(c) if t in formats else F.col(f"`{c}`") for c, t in df.dtypes]
+    )
+
+
+def named(df: DataFrame, **names: str) -> DataFrame:
+    """Columns renamed: ``new="old"``."""
+    old = {v: k for k, v in names.items()}
+    return df.select(*[F.col(f"`{c}`").alias(old.get(c, c)) for c in df.columns])
+
+
+MEASURES = {
+    "total_energy_cost": "Total Energy Cost",
+    "total_co2": "Total CO2 (kg)",
+    "cost_per_kwh": "Cost per kWh",
+    "co2_intensity": "CO2 Intensity (kg/kWh)",
+    "total_energy": "Total Energy (kWh)",
+    "avg_power_factor": "Avg Power Factor",
+    "site_count": "Site Count",
+}
+
+
+def _metrics(measures: list[str], by=(), **options):
+    """A registered query from measure names as in ``MEASURES``."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        asked = {m: MEASURES[m] for m in measures}
+        return named(metrics(silver_tables(spark, sf_dir), list(asked.values()), by=list(by), **options), **asked)
+
+    return query
+
+
+def _silver(name: str):
+    return lambda spark, sf_dir: plain(silver_tables(spark, sf_dir)[name])
+
+
+def _ask(question, *args):
+    return lambda spark, sf_dir: question(silver_tables(spark, sf_dir), *args)
+
+
+# -- gold ----------------------------------------------------------------------
+
+
+def agg_daily(spark, sf_dir):
+    tables = silver_tables(spark, sf_dir)
+    return plain(gold.agg_daily_consumption_by_site(tables["fact_energy_consumption"]))
+
+
+def kpi_co2(spark, sf_dir):
+    tables = silver_tables(spark, sf_dir)
+    return gold.kpi_co2_by_region(tables["fact_energy_cost"], tables["dim_site"])
+
+
+def kpi_co2_by_currency(spark, sf_dir):
+    tables = silver_tables(spark, sf_dir)
+    return gold.kpi_co2_by_region(tables["fact_energy_cost"], tables["dim_site"], by_currency=True)
+
+
+# -- functions -----------------------------------------------------------------
+
+
+def safe_casts(spark, sf_dir):
+    """Every delivered reading and site as parsed, bad values as null, before rows are dropped."""
+    readings = typed(raw_meter_readings(spark, sf_dir), "fact_energy_consumption", keep=["ingested_at"])
+    return plain(readings.drop("voltage_v", "current_a"))
+
+
+def site_casts(spark, sf_dir):
+    return plain(typed(raw_site(spark, sf_dir), "dim_site"))
+
+
+def bool_parse(spark, sf_dir):
+    return raw_device(spark, sf_dir).select("device_id", "is_active", to_boolean(F.col("is_active")).alias("parsed"))
+
+
+def region_label(spark, sf_dir):
+    """Label and key of every site's region code."""
+    region = F.col("region")
+    return raw_site(spark, sf_dir).select(
+        "site_name",
+        labelled(region, silver.REGION_LABELS).alias("region_name"),
+        surrogate_key(region).alias("region_id"),
+    )
+
+
+def stable_ids63(spark, sf_dir):
+    """Ids of all delivered readings from device and reading; null where a part is missing."""
+    parts = [F.lit("reading"), F.col("device_id"), F.col("reading_id")]
+    return raw_meter_readings(spark, sf_dir).select("device_id", "reading_id", stable_id63(*parts).alias("id"))
+
+
+def stable_uuids5(spark, sf_dir):
+    parts = [F.lit("device"), F.col("device_id"), F.col("install_location")]
+    return raw_device(spark, sf_dir).select("device_id", "install_location", stable_uuid5(*parts).alias("guid"))
+
+
+def ratio_and_display(spark, sf_dir):
+    """Net price per unit where the discount may be zero, as number, rounded, and as display text."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint") * F.lit(0.25)
+    percent = F.round(F.col("l_discount") * 100)
+    return sample(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        safe_divide(cents, percent).alias("per_percent"),
+        F.round(cents, 1).alias("rounded"),
+        display_number(cents, "#,##0.000").alias("shown_3"),
+    )
+
+
+# -- metric layer --------------------------------------------------------------
+
+
+def metric_formatted(spark, sf_dir):
+    result = metrics(silver_tables(spark, sf_dir), ["Total Energy Cost", "Site Count"], by=[("dim_site", "country")])
+    return named(formatted(result), total_energy_cost="Total Energy Cost", site_count="Site Count")
+
+
+def metric_inactive_relationship(spark, sf_dir):
+    """Energy by the country of the *device's* site instead of the reading's."""
+    link = ENERGY_MODEL.relationship("dim_device", "dim_site")
+    result = metrics(
+        silver_tables(spark, sf_dir), ["Total Energy (kWh)"], by=[("dim_site", "country")], use_relationship=[link]
+    )
+    return named(result, total_energy="Total Energy (kWh)")
+
+
+def report_columns(spark, sf_dir):
+    """The site columns reports may use."""
+    return plain(report_table(silver_tables(spark, sf_dir), "dim_site"))
+
+
+# -- entity graph --------------------------------------------------------------
+
+
+def graph_entities(name: str):
+    return lambda spark, sf_dir: plain(EntityGraph(silver_tables(spark, sf_dir)).entity(name))
+
+
+def graph_nodes(spark, sf_dir):
+    return EntityGraph(silver_tables(spark, sf_dir)).all_nodes()
+
+
+def graph_edges(spark, sf_dir):
+    return EntityGraph(silver_tables(spark, sf_dir)).all_edges()
+
+
+def graph_traverse_supplier(spark, sf_dir):
+    graph = EntityGraph(silver_tables(spark, sf_dir))
+    return graph.traverse(
+        ["hasDevice", "hasMaintenance", "performedBy"],
+        carry={"Site": ["site_name"], "Supplier": ["supplier_name", "country"]},
+    )
+
+
+def graph_traverse_back(spark, sf_dir):
+    """From suppliers back to regions."""
+    graph = EntityGraph(silver_tables(spark, sf_dir))
+    return graph.traverse(["^performedBy", "^hasMaintenance", "^hasDevice", "locatedIn"], carry={"Region": ["region_code"]})
+
+
+def graph_readings_by_region(spark, sf_dir):
+    """Readings and energy per region and device type, by walking the graph."""
+    graph = EntityGraph(silver_tables(spark, sf_dir))
+    walk = graph.traverse(
+        ["^produces", "^hasDevice", "locatedIn"],
+        carry={"EnergyReading": ["energy_kwh"], "Device": ["device_type"], "Region": ["region_name"]},
+    )
+    return walk.groupBy("region_name", "device_type").agg(
+        F.count(F.lit(1)).alias("readings"), F.sum("energy_kwh").alias("energy_kwh")
+    )
+
+
+# -- questions -----------------------------------------------------------------
+
+
+def snapshot_drift(spark, sf_dir):
+    """Totals stored after the first deliveries against the facts after the second."""
+    tables = silver_tables(spark, sf_dir)
+    first = raw_meter_readings(spark, sf_dir).filter(F.col("ingested_at") < F.lit("2024-02-02").cast("timestamp"))
+    stored = silver.dim_site(
+        raw_site(spark, sf_dir), silver.fact_energy_consumption(first), tables["fact_energy_cost"]
+    )
+    return questions.snapshot_drift({"dim_site": stored, "fact_energy_consumption": tables["fact_energy_consumption"], "fact_energy_cost": tables["fact_energy_cost"]})
+
+
+def top_sites_by_cost(spark, sf_dir):
+    return top_k(
+        silver_tables(spark, sf_dir)["dim_site"].select("site_id", "total_energy_cost"), "total_energy_cost", 10, "site_id"
+    )
+
+
+# -- storage -------------------------------------------------------------------
+
+
+def new_lake(spark: SparkSession) -> Lake:
+    """An empty lake in the folder the cluster shares, or in a local one where none is named."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="voltmark-")
+    return Lake(spark, f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex}")
+
+
+def loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A lake with the extracts in its bronze tables."""
+    lake = new_lake(spark)
+    for name, build in RAW.items():
+        lake.append(name, build(spark, sf_dir))
+    return lake
+
+
+def landing(spark, sf_dir):
+    """Typed rows landed as text with their metadata."""
+    extract = sample(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("cost_id"),
+        F.col("o_custkey").alias("site_id"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("billing_period"),
+        F.year("o_orderdate").alias("energy_consumed_kwh"),
+        F.lit(None).cast("double").alias("peak_demand_kw"),
+        F.lit(0.125).alias("tariff_rate"),
+        (F.col("o_totalprice") > 100000).alias("energy_cost"),
+        F.to_date("o_orderdate").alias("co2_emissions_kg"),
+        F.col("o_orderstatus").alias("currency"),
+    )
+    landed = land(extract, "raw_billing", source_file="orders")
+    return landed.withColumn("stamped", F.col("ingested_at").isNotNull()).drop("ingested_at")
+
+
+def lake_run_counts(spark, sf_dir):
+    """A full run through storage; rows written per table as counted during the writes."""
+    lake = loaded_lake(spark, sf_dir)
+    counts = run_all(lake)
+    counts |= load_maintenance(lake, supplier_source(spark, sf_dir), maintenance_source(spark, sf_dir))
+    return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
+
+
+def lake_gold_daily(spark, sf_dir):
+    """A full run through storage; the daily aggregate read back."""
+    lake = loaded_lake(spark, sf_dir)
+    run_all(lake)
+    return plain(lake.read("agg_daily_consumption_by_site"))
+
+
+def lake_appended_twice(spark, sf_dir):
+    """Readings of one day from the partitioned fact, after the raw readings were appended twice."""
+    lake = new_lake(spark)
+    for _ in range(2):
+        lake.append("raw_meter_readings", raw_meter_readings(spark, sf_dir))
+    lake.overwrite("fact_energy_consumption", silver.fact_energy_consumption(lake.read("raw_meter_readings")))
+    return plain(lake.read("fact_energy_consumption").filter(F.col("reading_date") == F.lit("2024-01-15").cast("date")))
+
+
+QUERIES = {
+    # silver
+    "dim_region": _silver("dim_region"),
+    "dim_device": _silver("dim_device"),
+    "fact_consumption": _silver("fact_energy_consumption"),
+    "fact_cost": _silver("fact_energy_cost"),
+    "dim_site_totals": _silver("dim_site"),
+    "dim_supplier": _silver("dim_supplier"),
+    "maintenance_event_dedup": _silver("maintenance_event"),
+    # gold
+    "agg_daily_consumption_by_site": agg_daily,
+    "kpi_co2_by_region": kpi_co2,
+    "kpi_co2_by_region_and_currency": kpi_co2_by_currency,
+    # functions
+    "safe_casts": safe_casts,
+    "site_casts": site_casts,
+    "bool_parse": bool_parse,
+    "region_label": region_label,
+    "stable_id63": stable_ids63,
+    "stable_uuid5": stable_uuids5,
+    "ratio_and_display": ratio_and_display,
+    # metric layer
+    "metric_totals": _metrics(list(MEASURES)),
+    "metric_by_region": _metrics(list(MEASURES), [("dim_region", "region_name")]),
+    "metric_by_country": _metrics(list(MEASURES), [("dim_site", "country")]),
+    "metric_by_site_name": _metrics(["cost_per_kwh", "co2_intensity"], [("dim_site", "site_name")]),
+    "metric_by_device_type": _metrics(["total_energy", "avg_power_factor"], [("dim_device", "device_type")]),
+    "metric_cross_fact_ratio": _metrics(
+        ["total_energy_cost", "total_energy", "cost_per_kwh"], [("dim_region", "region_name"), ("dim_site", "country")]
+    ),
+    "metric_unreachable_repeat": _metrics(
+        ["total_energy", "total_energy_cost", "site_count"], [("dim_device", "device_type")]
+    ),
+    "metric_partly_reachable": _metrics(
+        ["total_energy", "total_co2", "site_count"], [("dim_device", "device_type"), ("dim_region", "region_name")]
+    ),
+    "metric_blank_member": _metrics(["total_energy", "total_co2"], [("dim_site", "site_type")]),
+    "metric_by_period": _metrics(["total_co2", "total_energy_cost"], [("fact_energy_cost", "billing_period")]),
+    "metric_filtered": _metrics(
+        ["total_energy", "total_energy_cost", "site_count"],
+        [("dim_site", "country")],
+        where={
+            ("dim_region", "region_name"): ["Americas", "Asia-Pacific"],
+            ("dim_device", "device_type"): ["LARGE", "SMALL"],
+        },
+    ),
+    "metric_inactive_relationship": metric_inactive_relationship,
+    "metric_formatted": metric_formatted,
+    "report_columns": report_columns,
+    # entity graph
+    "entity_region": graph_entities("Region"),
+    "entity_site": graph_entities("Site"),
+    "entity_device": graph_entities("Device"),
+    "entity_energy_reading": graph_entities("EnergyReading"),
+    "entity_billing_record": graph_entities("BillingRecord"),
+    "entity_supplier": graph_entities("Supplier"),
+    "entity_maintenance_event": graph_entities("MaintenanceEvent"),
+    "graph_nodes": graph_nodes,
+    "graph_edges": graph_edges,
+    "graph_traverse_supplier": graph_traverse_supplier,
+    "graph_traverse_back": graph_traverse_back,
+    "graph_readings_by_region": graph_readings_by_region,
+    # questions
+    "cost_by_region": lambda spark, sf_dir: named(
+        questions.cost_by_region(silver_tables(spark, sf_dir)), total_energy_cost="Total Energy Cost"
+    ),
+    "cost_by_region_via_graph": _ask(questions.cost_by_region_from_sites),
+    "top_co2_site": _ask(questions.top_emitting_sites),
+    "top_sites_by_cost": top_sites_by_cost,
+    "co2_intensity_by_site": lambda spark, sf_dir: questions.rounded(
+        named(
+            questions.co2_intensity_by_site(silver_tables(spark, sf_dir)), co2_intensity="CO2 Intensity (kg/kWh)"
+        ),
+        3,
+    ),
+    "supplier_downtime_by_region": _ask(questions.supplier_downtime_by_region),
+    "energy_and_maintenance_by_region": _ask(questions.energy_and_maintenance_by_region),
+    "snapshot_drift": snapshot_drift,
+    # storage
+    "landing": landing,
+    "lake_run_counts": lake_run_counts,
+    "lake_gold_daily": lake_gold_daily,
+    "lake_appended_twice": lake_appended_twice,
+}

@@ -9,15 +9,32 @@ that is no number, date or flag, rows delivered twice with other values. No row
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltmark.plans import silver
-from voltmark.registry import table
+
+
+# The given tables, with their types, so that reading them needs no job to find the types out.
+SAMPLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def sample(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SAMPLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _stamped(df: DataFrame, ingested_at: str, source_file: str) -> DataFrame:
@@ -156,17 +173,55 @@ RAW = {
 }
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All silver tables, built lazily from the extracts."""
-    raw = {name: build(spark, sf_dir).select(*table(name).columns) for name, build in RAW.items()}
-    consumption = silver.fact_energy_consumption(raw["raw_meter_readings"])
-    cost = silver.fact_energy_cost(raw["raw_billing"])
-    return {
-        "dim_region": silver.dim_region(raw["raw_site"]),
-        "dim_device": silver.dim_device(raw["raw_device"]),
-        "fact_energy_consumption": consumption,
-        "fact_energy_cost": cost,
-        "dim_site": silver.dim_site(raw["raw_site"], consumption, cost),
-        "dim_supplier": silver.dim_supplier(supplier_source(spark, sf_dir)),
-        "maintenance_event": silver.maintenance_event(maintenance_source(spark, sf_dir)),
-    }
+class SilverTables(Mapping):
+    """The silver tables built from the extracts, each when it is first asked for."""
+
+    NAMES = (
+        "dim_region",
+        "dim_device",
+        "fact_energy_consumption",
+        "fact_energy_cost",
+        "dim_site",
+        "dim_supplier",
+        "maintenance_event",
+    )
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark = spark
+        self._sf_dir = sf_dir
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.NAMES:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._build(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self.NAMES)
+
+    def __len__(self) -> int:
+        return len(self.NAMES)
+
+    def _build(self, name: str) -> DataFrame:
+        at = (self._spark, self._sf_dir)
+        match name:
+            case "dim_region":
+                return silver.dim_region(raw_site(*at))
+            case "dim_device":
+                return silver.dim_device(raw_device(*at))
+            case "fact_energy_consumption":
+                return silver.fact_energy_consumption(raw_meter_readings(*at))
+            case "fact_energy_cost":
+                return silver.fact_energy_cost(raw_billing(*at))
+            case "dim_site":
+                return silver.dim_site(raw_site(*at), self["fact_energy_consumption"], self["fact_energy_cost"])
+            case "dim_supplier":
+                return silver.dim_supplier(supplier_source(*at))
+            case "maintenance_event":
+                return silver.maintenance_event(maintenance_source(*at))
+
+
+def silver_tables(spark: SparkSession, sf_dir: str) -> Mapping[str, DataFrame]:
+    return SilverTables(spark, sf_dir)

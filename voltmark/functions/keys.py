@@ -28,7 +28,7 @@ def _joined(parts: tuple[Column, ...]) -> Column:
 def stable_id63(*parts: Column) -> Column:
     """Positive 63-bit id: the leading 64 bits of the SHA-256, top bit cleared, never zero."""
     leading = F.conv(F.substring(F.sha2(_joined(parts), 256), 1, 16), 16, 10).cast("decimal(20,0)")
-    cleared = (leading % F.lit(2**63).cast("decimal(20,0)")).cast("bigint")
+    cleared = (leading % F.lit(str(2**63)).cast("decimal(20,0)")).cast("bigint")
     return F.when(cleared == 0, F.lit(1).cast("bigint")).otherwise(cleared)
 
 

@@ -15,12 +15,11 @@ from voltmark.registry import INGESTED_AT, table
 def typed(source: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
     """The columns ``source`` shares with table ``name``, parsed to its types, and ``keep`` as they are."""
     wanted = {f.name: f.dataType for f in table(name).schema}
+    given = {f.name: f.dataType for f in source.schema if f.name in wanted and f.name not in keep}
     columns = [
-        parse(F.col(f"`{f.name}`"), f.dataType, wanted[f.name]).alias(f.name)
-        for f in source.schema
-        if f.name in wanted and f.name not in keep
+        f"`{c}`" if wanted[c] == t else parse(F.col(f"`{c}`"), t, wanted[c]).alias(c) for c, t in given.items()
     ]
-    return source.select(*columns, *[F.col(c) for c in keep])
+    return source.select(*columns, *keep)
 
 
 def conform(
@@ -44,7 +43,6 @@ def conform(
     rows = typed(source, name, keep=carried)
     if derive:
         rows = rows.withColumns(dict(derive))
-    for column in dict.fromkeys((*spec.key, *required)):
-        rows = rows.filter(F.col(column).isNotNull())
+    present = " AND ".join(f"`{c}` IS NOT NULL" for c in dict.fromkeys((*spec.key, *required)))
     columns = [c for c in spec.columns if c in rows.columns]
-    return latest_per_key(rows, spec.key, latest).select(*columns)
+    return latest_per_key(rows.filter(present), spec.key, latest).select(*columns)

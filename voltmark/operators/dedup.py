@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _RANK = "__rank"
@@ -23,7 +23,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest: Sequence[str] = (
     missing = [c for c in (*keys, *latest) if c not in df.columns]
     if missing:
         raise ValueError(f"columns not in the frame: {missing}")
-    rest = [c for c in df.columns if c not in keys and c not in latest]
-    order = [F.col(c).desc_nulls_last() for c in latest] + [F.col(c).asc_nulls_first() for c in rest]
-    ranked = df.withColumn(_RANK, F.row_number().over(Window.partitionBy(*keys).orderBy(*(order or [F.lit(1)]))))
-    return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
+    order = [f"`{c}` DESC NULLS LAST" for c in latest]
+    order += [f"`{c}` ASC NULLS FIRST" for c in df.columns if c not in keys and c not in latest]
+    partition = ", ".join(f"`{c}`" for c in keys)
+    # Frames of key columns only are ordered by the key, which is the same for all copies.
+    rank = F.expr(f"row_number() OVER (PARTITION BY {partition} ORDER BY {', '.join(order) or partition})")
+    return df.withColumn(_RANK, rank).filter(f"{_RANK} = 1").drop(_RANK)

@@ -162,27 +162,28 @@ class EntityGraph:
         spec.validate()
         self.tables = tables
         self.spec = spec
-        for e in spec.entities.values():
-            self._check(e.table, e.properties)
-        for link in spec.links.values():
-            self._check(link.table, (link.source_column, link.target_column))
-
-    def _check(self, name: str, columns: Sequence[str]) -> None:
-        if name not in self.tables:
-            return  # an error only once it is used
-        absent = [c for c in columns if c not in self.tables[name].columns]
+
+    def _table(self, name: str) -> DataFrame:
+        """A table of the graph, once it is known to have every column the spec binds."""
+        df = self.tables[name]
+        bound = [c for e in self.spec.entities.values() if e.table == name for c in e.properties]
+        for link in self.spec.links.values():
+            if link.table == name:
+                bound += [link.source_column, link.target_column]
+        absent = [c for c in dict.fromkeys(bound) if c not in df.columns]
         if absent:
             raise ValueError(f"table {name} has no columns {absent}")
+        return df
 
     def entity(self, name: str) -> DataFrame:
         """The bound columns of an entity and the name it is shown by."""
         e = self.spec.entity(name)
-        return self.tables[e.table].select(*e.properties, F.col(e.display_property).cast("string").alias("display_name"))
+        return self._table(e.table).select(*e.properties, F.col(e.display_property).cast("string").alias("display_name"))
 
     def edges(self, name: str) -> DataFrame:
         """Distinct ``src``, ``dst`` pairs of a link with both ends present."""
         link = self.spec.link(name)
-        pairs = self.tables[link.table].select(
+        pairs = self._table(link.table).select(
             F.col(link.source_column).alias("src"), F.col(link.target_column).alias("dst")
         )
         pairs = pairs.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
@@ -254,7 +255,7 @@ class EntityGraph:
             columns.append(onward.target_column)
         if extra:
             columns.append(extra)
-        return self.tables[e.table].select(*[F.col(c).alias(f"{i}|{c}") for c in dict.fromkeys(columns)])
+        return self._table(e.table).select(*[F.col(c).alias(f"{i}|{c}") for c in dict.fromkeys(columns)])
 
     def _stored_with(self, link: Link, e: Entity, column: str) -> bool:
         """Whether the link's table is the entity's own and ``column`` is its key there."""
