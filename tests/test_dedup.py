@@ -1,0 +1,61 @@
+from conftest import plan_of, rows_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import pytest
+
+from voltmark.operators import latest_per_key, top_k
+
+small = st.one_of(st.none(), st.integers(0, 3))
+quick = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+def survivor(rows):
+    """Highest second value (None last), then the smallest third (None first)."""
+    return min(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[2] is not None, r[2] or 0))
+
+
+@given(st.lists(st.tuples(st.sampled_from("abc"), small, small), min_size=1, max_size=25))
+@quick
+def test_same_as_brute_force_however_partitioned(spark, rows):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    expected = sorted((survivor(g) for g in groups.values()), key=repr)
+    frame = spark.createDataFrame(rows, "k string, at int, v int")
+    assert rows_of(latest_per_key(frame, ["k"], ["at"])) == expected
+    assert rows_of(latest_per_key(frame.repartition(3, "v"), ["k"], ["at"])) == expected
+
+
+def test_hot_key_is_cut_down_before_the_shuffle(spark):
+    """A third of the rows share a key: the map side keeps one per task."""
+    frame = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("at")
+    )
+    result = latest_per_key(frame, ["k"], ["at"])
+    plan = plan_of(result)
+    exchange = plan.index("Exchange hashpartitioning(k")
+    assert "Partial" in plan[exchange:] and "Final" in plan[:exchange]
+    assert result.count() == 20001
+    assert result.filter("k = -1").first()["at"] == 29997
+
+
+def test_keys_only_frame(spark):
+    frame = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    assert rows_of(latest_per_key(frame, ["k"])) == [("a",), ("b",)]
+
+
+def test_unknown_columns(spark):
+    with pytest.raises(ValueError):
+        latest_per_key(spark.range(1), ["nope"])
+
+
+def test_top_k(spark):
+    frame = spark.createDataFrame([("a", 1.0), ("c", 5.0), ("b", 5.0), ("d", None)], "k string, v double")
+    best = top_k(frame, "v", 2, "k")
+    assert [tuple(r) for r in best.collect()] == [("b", 5.0), ("c", 5.0)]
+    assert "TakeOrderedAndProject" in plan_of(best)
+    assert [r.k for r in top_k(frame, "v", 9, "k").collect()] == ["b", "c", "a", "d"]
+    with pytest.raises(ValueError):
+        top_k(frame, "v", 0, "k")

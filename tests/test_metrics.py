@@ -1,0 +1,205 @@
+from itertools import product
+
+import pytest
+from conftest import plan_of, rows_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from voltmark import ENERGY_MODEL, metrics
+from voltmark.plans.metrics import Relationship, StarModel, formatted, report_table
+
+close = pytest.approx
+ENERGY, COST = "Total Energy (kWh)", "Total Energy Cost"
+REGION, COUNTRY, DEVICE = ("dim_region", "region_name"), ("dim_site", "country"), ("dim_device", "device_type")
+
+
+def test_paths():
+    path = ENERGY_MODEL.path
+    assert [r.one for r in path("fact_energy_consumption", "dim_region")] == ["dim_site", "dim_region"]
+    assert [r.one for r in path("fact_energy_consumption", "dim_device")] == ["dim_device"]
+    assert path("fact_energy_cost", "dim_device") is None
+    assert path("dim_site", "dim_device") is None  # the relationship points the other way
+    assert path("dim_device", "dim_site") is None  # inactive
+    assert path("dim_site", "dim_site") == []
+    link = ENERGY_MODEL.relationship("dim_device", "dim_site")
+    assert [r.one for r in path("fact_energy_consumption", "dim_site", [link])] == ["dim_device", "dim_site"]
+
+
+def test_ambiguous_path():
+    doubled = StarModel(
+        ENERGY_MODEL.tables,
+        (*ENERGY_MODEL.relationships, Relationship("dim_device", "site_id", "dim_site", "site_id")),
+        ENERGY_MODEL.measures,
+    )
+    with pytest.raises(ValueError, match="ambiguous"):
+        doubled.path("fact_energy_consumption", "dim_site")
+
+
+def test_only_declared_measures_and_visible_columns(golden):
+    tables = golden.bind()
+    with pytest.raises(ValueError, match="unknown measure"):
+        metrics(tables, ["energy_kwh"])
+    with pytest.raises(ValueError, match="no measures"):
+        metrics(tables, [])
+    with pytest.raises(ValueError, match="hidden"):
+        metrics(tables, [COST], by=[("dim_site", "region")])
+    with pytest.raises(ValueError, match="no column"):
+        metrics(tables, [COST], by=[("dim_site", "nope")])
+    shown = metrics(tables, [COST], by=[("dim_site", "region")], allow_hidden=True)
+    assert rows_of(shown) == [("AMER", 1176.0), ("EMEA", 4812.5)]
+
+
+def test_report_table(golden):
+    site = report_table(golden.bind(), "dim_site")
+    assert site.columns == [
+        "site_name",
+        "country",
+        "latitude",
+        "longitude",
+        "site_type",
+        "contracted_power_kw",
+        "commissioned_date",
+    ]
+    assert site.schema["country"].metadata == {"category": "Country"}
+    assert site.schema["site_type"].metadata == {}
+
+
+def test_unreachable_can_be_refused(golden):
+    with pytest.raises(ValueError, match="cannot be sliced"):
+        metrics(golden.bind(), [COST], by=[DEVICE], on_unreachable="error")
+    with pytest.raises(ValueError, match="cannot be sliced"):
+        metrics(golden.bind(), [COST], where={DEVICE: ["ct_sensor"]}, on_unreachable="error")
+    with pytest.raises(ValueError):
+        metrics(golden.bind(), [COST], on_unreachable="maybe")
+
+
+def test_unreachable_alone_lists_all_members(golden):
+    assert rows_of(metrics(golden.bind(), [COST, "Site Count"], by=[DEVICE])) == [
+        ("ct_sensor", 5988.5, 3),
+        ("power_meter", 5988.5, 3),
+    ]
+
+
+def test_slicers_nothing_relates(golden):
+    with pytest.raises(ValueError, match="relates"):
+        metrics(golden.bind(), [COST], by=[DEVICE, COUNTRY])
+
+
+def test_partly_reachable(golden):
+    result = rows_of(metrics(golden.bind(), [ENERGY, COST], by=[DEVICE, COUNTRY]))
+    assert [r[:2] + r[3:] for r in result] == [
+        ("ct_sensor", "USA", 1176.0),
+        ("power_meter", "France", 2682.5),
+        ("power_meter", "Spain", 2130.0),
+    ]
+
+
+def test_filters(golden):
+    tables = golden.bind()
+    assert rows_of(metrics(tables, [COST], where={REGION: ["Americas"]})) == [(1176.0,)]
+    assert rows_of(metrics(tables, [COST], by=[COUNTRY], where={REGION: ["Americas"]})) == [("USA", 1176.0)]
+    own = metrics(tables, [COST], where={("fact_energy_cost", "currency"): ["EUR"]})
+    assert rows_of(own) == [(4812.5,)]
+    # a filter that does not reach the bills leaves them alone
+    ((energy, cost),) = rows_of(metrics(tables, [ENERGY, COST], where={DEVICE: ["ct_sensor"]}))
+    assert (energy, cost) == (10.0, 5988.5)
+    assert rows_of(metrics(tables, [COST], by=[COUNTRY], where={REGION: ["Nowhere"]})) == []
+    assert rows_of(metrics(tables, [COST, "Site Count"], where={REGION: ["Nowhere"]})) == [(None, None)]
+
+
+def test_same_column_name_in_two_tables(golden):
+    by = [("dim_site", "site_type"), ("dim_site", "country")]
+    assert metrics(golden.bind(), [COST], by=by).columns == ["site_type", "country", COST]
+    both = [("dim_site", "region_id"), ("dim_region", "region_id")]
+    result = metrics(golden.bind(), [COST], by=both, allow_hidden=True)
+    assert result.columns == ["dim_site_region_id", "dim_region_region_id", COST]
+    assert all(r[0] == r[1] for r in rows_of(result))
+
+
+def test_orphan_facts_form_a_null_group(golden, spark):
+    tables = golden.bind()
+    lost = tables["fact_energy_cost"].limit(1).withColumns({"cost_id": F.lit("X"), "site_id": F.lit("gone")})
+    tables["fact_energy_cost"] = tables["fact_energy_cost"].unionByName(lost)
+    regions = rows_of(metrics(tables, [COST], by=[REGION]), "region_name")
+    assert (None,) in regions and len(regions) == 3
+
+
+def test_inactive_relationship(golden):
+    tables = golden.bind()
+    # all devices moved to one site: readings follow their device only when told to
+    tables["dim_device"] = tables["dim_device"].withColumn("site_id", F.lit("SITE003"))
+    plain = metrics(tables, [ENERGY], by=[COUNTRY])
+    assert len(rows_of(plain)) == 3
+    moved = metrics(
+        tables, [ENERGY], by=[COUNTRY], use_relationship=[ENERGY_MODEL.relationship("dim_device", "dim_site")]
+    )
+    assert rows_of(moved) == [("USA", close(250.6))]
+
+
+def test_display_text(golden):
+    shown = formatted(metrics(golden.bind(), [COST, "Cost per kWh", "Site Count"], by=[COUNTRY]))
+    assert rows_of(shown) == [
+        ("France", "2,682.50", "20.307", "1"),
+        ("Spain", "2,130.00", "19.631", "1"),
+        ("USA", "1,176.00", "117.600", "1"),
+    ]
+
+
+def test_ratio_is_of_sums(golden):
+    ((ratio,),) = rows_of(metrics(golden.bind(), ["Cost per kWh"]))
+    assert ratio == close(5988.5 / 250.6)
+
+
+def test_facts_are_summed_before_joins_and_nothing_is_crossed(golden):
+    plan = plan_of(metrics(golden.bind(), [ENERGY, COST, "Site Count"], by=[REGION]))
+    assert "Cartesian" not in plan and "NestedLoop" not in plan and "Python" not in plan
+    one_fact = plan_of(metrics(golden.bind(), [ENERGY], by=[REGION]))
+    assert "partial_sum" in one_fact[one_fact.rindex("Join") :]
+    repeated = plan_of(metrics(golden.bind(), [ENERGY, COST], by=[DEVICE]))
+    assert "Cartesian" not in repeated and "NestedLoop" not in repeated and "Subquery" in repeated
+
+
+values = st.one_of(st.none(), st.integers(0, 50).map(float))
+keys = st.sampled_from(["s1", "s2", "s3", "gone", None])
+quick = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+@given(
+    st.lists(st.tuples(keys, values), max_size=12),
+    st.lists(st.tuples(keys, values, values), max_size=12),
+)
+@quick
+def test_same_as_brute_force(spark, golden, readings, bills):
+    """Random facts over three sites in two countries, with orphans and nulls."""
+    land = {"s1": "A", "s2": "A", "s3": "B"}
+    tables = golden.bind()
+    tables["dim_site"] = spark.createDataFrame(
+        list(land.items()), "site_id string, country string"
+    ).withColumn("region_id", F.lit("r"))
+    tables["fact_energy_consumption"] = spark.createDataFrame(readings, "site_id string, energy_kwh double")
+    tables["fact_energy_cost"] = spark.createDataFrame(
+        bills, "site_id string, energy_cost double, co2_emissions_kg double"
+    )
+
+    def total(rows, country, at):
+        picked = [r[at] for r in rows if land.get(r[0]) == country and r[at] is not None]
+        return sum(picked) if picked else None
+
+    expected = []
+    for country in ("A", "B", None):
+        energy, cost = total(readings, country, 1), total(bills, country, 1)
+        ratio = cost / energy if cost is not None and energy else None
+        sites = [s for s, c in land.items() if c == country]
+        row = (country, energy, cost, ratio, len(sites) or None)
+        if any(v is not None for v in row[1:]):
+            expected.append(row)
+    result = metrics(tables, [ENERGY, COST, "Cost per kWh", "Site Count"], by=[COUNTRY])
+    assert rows_of(result) == sorted(expected, key=repr)
+
+
+def test_every_slicer_with_every_measure(golden):
+    """No combination of a declared measure and a visible slicer fails."""
+    slicers = [REGION, COUNTRY, DEVICE, ("fact_energy_cost", "currency"), ("fact_energy_consumption", "reading_date")]
+    for measure, slicer in product(ENERGY_MODEL.measures, slicers):
+        assert metrics(golden.bind(), [measure], by=[slicer]).columns == [slicer[1], measure]
