@@ -188,7 +188,8 @@ def metrics(
     tables need one measure that reaches them all.
 
     Each fact is first summed per foreign key, so joins carry one row per key instead of one per
-    fact row; the facts then meet in one union and one last ``groupBy``, not in joins.
+    fact row and a key with a third of the rows is one row too. Facts meet in unions and one last
+    ``groupBy``, never in a join with each other.
     """
     if on_unreachable not in ("repeat", "error"):
         raise ValueError("on_unreachable is 'repeat' or 'error'")
@@ -205,28 +206,32 @@ def metrics(
                 if model.path(home, ref[0], use_relationship) is None:
                     raise ValueError(f"measures of {home} cannot be sliced by {ref[0]}.{ref[1]}")
 
-    branches = {
-        home: _branch(tables, model, home, [m for m in base if m.table == home], reach[home], where, names, use_relationship)
-        for home in homes
-    }
+    def measured(owners):
+        return [m for m in base if m.table in owners]
+
     keys = [names[ref] for ref in by]
-    whole = [home for home in homes if len(reach[home]) == len(by)]
-    partial = [home for home in homes if len(reach[home]) < len(by)]
-    parts = [branches[home] for home in whole]
     sliced = list(dict.fromkeys(ref[0] for ref in by))
+    together = _same_way(model, homes, reach, where, use_relationship)
+    whole = [owners for owners in together if len(reach[owners[0]]) == len(by)]
+    partial = [owners for owners in together if len(reach[owners[0]]) < len(by)]
+
+    def branch(owners):
+        return _branch(tables, model, owners, base, reach[owners[0]], where, names, use_relationship)
+
+    parts = [branch(owners) for owners in whole]
     if partial and len(sliced) == 1:
         parts.append(_members(tables, model, sliced[0], by, where, names, use_relationship))
     if not parts:
         raise ValueError(f"no measure asked for relates {' and '.join(sliced)}; add one that does")
-    sums = [c for home in whole for c in _partials([m for m in base if m.table == home])]
     rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
+    sums = [c for owners in whole for c in _partials(measured(owners))]
     if sums:
         groups = rows.groupBy(*keys).agg(*[F.sum(f"`{c}`").alias(c) for c in sums])
     else:
         groups = rows.distinct()
-    for home in partial:
-        columns = _partials([m for m in base if m.table == home])
-        groups = _attach(groups, branches[home], columns, [names[ref] for ref in reach[home]])
+    for owners in partial:
+        reached = [names[ref] for ref in reach[owners[0]]]
+        groups = _attach(groups, branch(owners), _partials(measured(owners)), reached)
 
     result = groups.select(*keys, *[_value(model, name).alias(name) for name in measures])
     if not by:
@@ -305,56 +310,81 @@ def _matches(column: Column, values: Sequence) -> Column:
     return column.isin(list(values))
 
 
-def _branch(tables, model, home, measures, slicers, where, names, use) -> DataFrame:
-    """Partial sums of one table's measures with the slicers it reaches, not yet one row per group.
+def _filters(model, home, where, use) -> dict[ColumnRef, Sequence]:
+    """The filters that reach a table; the others leave its measures alone."""
+    return {ref: values for ref, values in where.items() if model.path(home, ref[0], use) is not None}
+
+
+def _same_way(model, homes, reach, where, use) -> list[list[str]]:
+    """Tables grouped so that each group reaches the same slicers and filters by the same dimensions.
 
-    Rows are summed per foreign key (and own slicer) before dimensions are joined.
+    Their sums per foreign key can share one set of joins.
     """
-    filters = {ref: values for ref, values in where.items() if model.path(home, ref[0], use) is not None}
-    rows = tables[home]
-    for (owner, column), values in filters.items():
-        if owner == home:
-            rows = rows.filter(_matches(F.col(f"`{column}`"), values))
-    own = {names[ref]: ref[1] for ref in slicers if ref[0] == home}
-    remote = list(dict.fromkeys([ref for ref in (*slicers, *filters) if ref[0] != home]))
-    paths = [model.path(home, ref[0], use) for ref in remote]
-    links = {_link(path[0]): path[0].many_column for path in paths}
-    grain = {**own, **links}
-    summed = rows.groupBy(*[F.col(f"`{column}`").alias(name) for name, column in grain.items()]).agg(
-        *_aggregates(measures)
-    )
-    joined = _join_dimensions(summed, tables, paths, remote, names)
+    groups: dict[tuple, list[str]] = {}
+    for home in homes:
+        refs = (*reach[home], *_filters(model, home, where, use))
+        own = home if any(ref[0] == home for ref in refs) else None
+        ways = [tuple((s.one, s.one_column) for s in model.path(home, ref[0], use)) for ref in refs]
+        groups.setdefault((own, refs, tuple(ways)), []).append(home)
+    return list(groups.values())
+
+
+def _branch(tables, model, homes, base, slicers, where, names, use) -> DataFrame:
+    """Partial sums of some tables' measures with the slicers they reach, not yet one row per group.
+
+    Rows of each table are summed per foreign key (and own slicer) before dimensions are joined,
+    and tables that reach them the same way are joined as one.
+    """
+    lead = homes[0]
+    filters = _filters(model, lead, where, use)
+    remote = list(dict.fromkeys(ref for ref in (*slicers, *filters) if ref[0] != lead))
+    summed = []
+    for home in homes:
+        rows = tables[home]
+        for (owner, column), values in filters.items():
+            if owner == home:
+                rows = rows.filter(_matches(F.col(f"`{column}`"), values))
+        first_steps = [model.path(home, ref[0], use)[0] for ref in remote]
+        grain = {names[ref]: ref[1] for ref in slicers if ref[0] == home}
+        grain |= {_link(step, home): step.many_column for step in first_steps}
+        summed.append(
+            rows.groupBy(*[F.col(f"`{column}`").alias(name) for name, column in grain.items()]).agg(
+                *_aggregates([m for m in base if m.table == home])
+            )
+        )
+    together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), summed)
+    joined = _join_dimensions(together, tables, lead, [model.path(lead, ref[0], use) for ref in remote], remote, names)
     for ref, values in filters.items():
-        if ref[0] != home:
+        if ref[0] != lead:
             joined = joined.filter(_matches(F.col(f"`{names[ref]}`"), values))
-    return joined.select(*[F.col(f"`{names[ref]}`") for ref in slicers], *[F.col(f"`{c}`") for c in _partials(measures)])
+    partials = _partials([m for m in base if m.table in homes])
+    return joined.select(*[F.col(f"`{names[ref]}`") for ref in slicers], *[F.col(f"`{c}`") for c in partials])
 
 
-def _link(step: Relationship) -> str:
-    """Internal name of a foreign key on its way to a join."""
-    return f"->{step.many}.{step.many_column}>{step.one}"
+def _link(step: Relationship, home: str) -> str:
+    """Internal name of a foreign key on its way to a join; the same from every measured table."""
+    return f"->{step.one}" if step.many == home else f"->{step.many}.{step.many_column}>{step.one}"
 
 
-def _join_dimensions(rows, tables, paths, refs, names) -> DataFrame:
+def _join_dimensions(rows, tables, home, paths, refs, names) -> DataFrame:
     """Left joins along the paths, every dimension once, with the slicer columns and onward keys it has."""
     steps = list(dict.fromkeys(step for path in paths for step in path))
     for step in steps:
-        onward = {_link(s): s.many_column for s in steps if s.many == step.one}
-        sliced = {
-            names[ref]: ref[1] for ref, path in zip(refs, paths, strict=True) if path[-1] == step
-        }
+        onward = {_link(s, home): s.many_column for s in steps if s.many == step.one}
+        sliced = {names[ref]: ref[1] for ref, path in zip(refs, paths, strict=True) if path[-1] == step}
+        link = _link(step, home)
         member = tables[step.one].select(
-            F.col(f"`{step.one_column}`").alias(f"{_link(step)}!"),
+            F.col(f"`{step.one_column}`").alias(f"{link}!"),
             *[F.col(f"`{column}`").alias(name) for name, column in {**onward, **sliced}.items()],
         )
-        rows = rows.join(member, F.col(f"`{_link(step)}`") == F.col(f"`{_link(step)}!`"), "left")
+        rows = rows.join(member, F.col(f"`{link}`") == F.col(f"`{link}!`"), "left")
     return rows
 
 
 def _members(tables, model, owner, by, where, names, use) -> DataFrame:
     """The slicer values of a dimension table itself, filtered as a measure on it would be."""
     counted = [Measure("", owner, "count")]
-    return _branch(tables, model, owner, counted, list(by), where, names, use).select(*[names[ref] for ref in by])
+    return _branch(tables, model, [owner], counted, list(by), where, names, use).select(*[names[ref] for ref in by])
 
 
 def _attach(groups: DataFrame, branch: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
