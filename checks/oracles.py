@@ -481,7 +481,5 @@ ORACLES = {
         UNION ALL SELECT 'agg_daily_consumption_by_site', count(*) FROM ({_DAILY})
         UNION ALL SELECT 'kpi_co2_by_region', count(*) FROM ({_kpi()})"""),
     "lake_gold_daily": _sql(_DAILY),
-    "lake_appended_twice": _sql(
-        f"SELECT {_CONSUMPTION_TEXT} FROM fact_energy_consumption WHERE reading_date = DATE '2024-01-15'"
-    ),
+    "lake_appended_twice": _sql(f"SELECT {_CONSUMPTION_TEXT} FROM fact_energy_consumption"),
 }
