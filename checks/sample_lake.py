@@ -150,16 +150,16 @@ def supplier_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def maintenance_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as maintenance records; about a quarter of them revise an earlier one."""
+    """Order lines as typed maintenance records; about a quarter of them revise an earlier one."""
     return sample(spark, sf_dir, "lineitem").selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber) AS event_id",
         "CAST(l_partkey AS string) AS device_id",
         "CAST(l_partkey DIV 4 AS string) AS site_id",
         "CASE WHEN l_discount > 0 THEN CAST(l_suppkey AS string) END AS supplier_id",
-        "CAST(l_shipdate AS string) AS event_date",
+        "CAST(l_shipdate AS timestamp) AS event_date",
         "CASE l_returnflag WHEN 'R' THEN 'repair' WHEN 'A' THEN 'inspection' ELSE 'replacement' END AS event_type",
-        "CAST(l_quantity * 0.5D AS string) AS downtime_hours",
-        "CAST(CAST(round(l_extendedprice * 100) AS bigint) * 0.25D AS string) AS cost",
+        "l_quantity * 0.5D AS downtime_hours",
+        "round(l_extendedprice * 100) * 0.25D AS cost",
         "CASE WHEN l_linestatus = 'O' THEN 'EUR' ELSE 'USD' END AS currency",
         "concat('order ', l_orderkey, ' line ', l_linenumber) AS description",
     )

@@ -5,7 +5,7 @@ import pytest
 from conftest import BILLS, READINGS, plan_of, rows_of
 from pyspark.sql import functions as F
 
-from voltmark import Lake, land, land_rows
+from voltmark import Lake, land, land_rows, run_all
 from voltmark.plans import silver
 from voltmark.plans.medallion import load_maintenance
 from voltmark.registry import LAYERS, TABLES, layer_tables, table
@@ -204,3 +204,22 @@ def test_delta_options(spark, tmp_path):
     lake.create_tables()
     assert lake.append("raw_billing", land_rows(spark, "raw_billing", BILLS, "t")) == 3
     assert lake.truncate(["raw_billing"]) == {"raw_billing": "cleared"}
+
+
+def test_run_over_empty_tables(spark, lake):
+    """Nothing landed yet: every table is written, empty, with its schema."""
+    lake.create_tables()
+    counts = run_all(lake)
+    assert set(counts.values()) == {0}
+    for name in counts:
+        assert lake.read(name).isEmpty() and lake.read(name).columns == table(name).columns
+    assert lake.overwrite("dim_region", spark.createDataFrame([], table("dim_region").schema)) == 0
+
+
+def test_run_replaces_all_rows_when_bronze_shrinks(spark, lake):
+    lake.create_tables("bronze")
+    lake.append("raw_meter_readings", land_rows(spark, "raw_meter_readings", READINGS, "t"))
+    assert run_all(lake)["fact_energy_consumption"] == 8
+    lake.truncate(["raw_meter_readings"])
+    assert run_all(lake)["fact_energy_consumption"] == 0
+    assert lake.read("fact_energy_consumption").isEmpty()

@@ -8,6 +8,7 @@ table still reads with all its columns.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import types as T
 
@@ -18,17 +19,30 @@ INGESTED_AT = "ingested_at"
 SOURCE_FILE = "source_file"
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "long": T.LongType(),
+}
+
+
 @dataclass(frozen=True)
 class Table:
+    """``fields`` lists the columns as ``name type``, separated by commas."""
+
     name: str
     layer: str
-    ddl: str
+    fields: str
     key: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
 
-    @property
+    @cached_property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
+        pairs = [field.split() for field in self.fields.split(",")]
+        return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
     @property
     def columns(self) -> list[str]:
@@ -42,9 +56,9 @@ class Table:
 
 def _raw(name: str, key: str, columns: str) -> Table:
     """A landing table: business columns are all text, plus ingestion metadata."""
-    texts = [f"`{c}` string" for c in columns.split()]
-    ddl = ", ".join([*texts, f"{INGESTED_AT} timestamp", f"{SOURCE_FILE} string"])
-    return Table(name, "bronze", ddl, (key,))
+    texts = [f"{c} string" for c in columns.split()]
+    fields = ", ".join([*texts, f"{INGESTED_AT} timestamp", f"{SOURCE_FILE} string"])
+    return Table(name, "bronze", fields, (key,))
 
 
 _ALL = (
@@ -93,7 +107,7 @@ _ALL = (
     Table(
         "fact_energy_consumption",
         "silver",
-        "reading_id string, device_id string, site_id string, `timestamp` timestamp, active_power_kw double, "
+        "reading_id string, device_id string, site_id string, timestamp timestamp, active_power_kw double, "
         "energy_kwh double, voltage_v double, current_a double, power_factor double, reading_date date",
         ("reading_id",),
         ("reading_date",),

@@ -151,7 +151,7 @@ class Lake:
         return [spec for layer in layers or LAYERS for spec in layer_tables(layer)]
 
     def _empty(self, spec: Table) -> DataFrame:
-        return self.spark.createDataFrame([], spec.schema)
+        return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema])
 
     def _filesystem(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
