@@ -5,8 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
-from checks.compare import connect, differences
-from checks.queries import QUERIES
+from voltmark_checks.compare import connect, differences
+from voltmark_checks.queries import QUERIES
 
 SAMPLE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SAMPLE), reason="needs the sample tables")

@@ -37,7 +37,8 @@ def stable_uuid5(*parts: Column) -> Column:
     name = F.encode(_joined(parts), "UTF-8")
     digest = F.sha1(F.concat(F.unhex(F.lit(URL_NAMESPACE)), name))
     # The variant takes the two top bits of this digit: 8 + (digit mod 4), as text.
-    variant = F.substring(F.lit("89ab89ab89ab89ab"), F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") + 1, F.lit(1))
+    position = F.conv(F.substring(digest, 17, 1), 16, 10).cast("int") % 4 + 1
+    variant = F.substring(F.lit("89ab"), position, F.lit(1))
     return F.concat(
         F.substring(digest, 1, 8),
         F.lit("-"),

@@ -178,7 +178,8 @@ class EntityGraph:
     def entity(self, name: str) -> DataFrame:
         """The bound columns of an entity and the name it is shown by."""
         e = self.spec.entity(name)
-        return self._table(e.table).select(*e.properties, F.col(e.display_property).cast("string").alias("display_name"))
+        shown = F.col(e.display_property).cast("string").alias("display_name")
+        return self._table(e.table).select(*e.properties, shown)
 
     def edges(self, name: str) -> DataFrame:
         """Distinct ``src``, ``dst`` pairs of a link with both ends present."""
@@ -233,7 +234,9 @@ class EntityGraph:
         links = [self.spec.link(name) for name in path]
         for previous, following in zip(links, links[1:], strict=False):
             if previous.target != following.source:
-                raise ValueError(f"{previous.name} ends at {previous.target}, {following.name} starts at {following.source}")
+                raise ValueError(
+                    f"{previous.name} ends at {previous.target}, {following.name} starts at {following.source}"
+                )
         carry = carry or {}
         stops = [links[0].source, *[link.target for link in links]]
         unknown = [name for name in carry if name not in stops]
@@ -274,11 +277,13 @@ class EntityGraph:
         return _equi(_equi(walk, here, edges, "src"), "dst", stop, there).drop("src", "dst")
 
     def _output(self, stops, carry):
-        named = [
-            (i, c) for i, name in enumerate(stops) for c in dict.fromkeys((self.spec.entity(name).key, *carry.get(name, ())))
-        ]
-        names = [c for _, c in named]
-        return [F.col(f"`{i}|{c}`").alias(c if names.index(c) == at else f"{c}_{i}") for at, (i, c) in enumerate(named)]
+        columns = []
+        taken = set()
+        for i, name in enumerate(stops):
+            for c in dict.fromkeys((self.spec.entity(name).key, *carry.get(name, ()))):
+                columns.append(F.col(f"`{i}|{c}`").alias(f"{c}_{i}" if c in taken else c))
+                taken.add(c)
+        return columns
 
 
 def type_ids(spark: SparkSession, spec: GraphSpec = ENERGY_GRAPH) -> DataFrame:

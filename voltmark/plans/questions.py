@@ -65,16 +65,14 @@ def supplier_downtime_by_region(tables: Tables) -> DataFrame:
     )
     devices = graph.traverse(["^locatedIn", "hasDevice"], carry={"Region": ["region_name"]})
     suppliers = graph.entity("Supplier").select("supplier_id", "supplier_name")
+    sums = [F.sum(c).alias(c) for c in ("events", "downtime_hours", "cost")]
     per_region = (
         events.join(devices.select("device_id", "region_name"), "device_id")
         .groupBy("region_name", "supplier_id")
-        .agg(F.sum("events").alias("events"), F.sum("downtime_hours").alias("downtime_hours"), F.sum("cost").alias("cost"))
-    )
-    return (
-        per_region.join(suppliers, "supplier_id")
-        .groupBy("region_name", "supplier_id", "supplier_name")
-        .agg(F.sum("events").alias("events"), F.sum("downtime_hours").alias("downtime_hours"), F.sum("cost").alias("cost"))
+        .agg(*sums)
     )
+    named = per_region.join(suppliers, "supplier_id")
+    return named.select("region_name", "supplier_id", "supplier_name", "events", "downtime_hours", "cost")
 
 
 def energy_and_maintenance_by_region(tables: Tables) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Times a full run against the same tables built the straightforward way: ``python -m checks.baseline [sf_dir]``.
+"""Times a full run against the straightforward way: ``python -m voltmark_checks.baseline [sf_dir]``.
 
 The straightforward way keeps an arbitrary copy of each key with ``dropDuplicates``, counts a table by
 running its plan again after writing it, derives the site totals from the raw facts once more, and joins
@@ -14,7 +14,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.queries import loaded_lake, new_lake
+from voltmark_checks.queries import loaded_lake, new_lake
 from voltmark import Lake, build_session, run_all
 from voltmark.functions import surrogate_key
 from voltmark.operators import typed

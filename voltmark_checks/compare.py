@@ -1,4 +1,4 @@
-"""Runs registered queries and their SQL side by side: ``python -m checks.compare [sf_dir] [name ...]``."""
+"""Runs registered queries and their SQL side by side: ``python -m voltmark_checks.compare [sf_dir] [name ...]``."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ import time
 
 import duckdb
 
-from checks.oracles import ORACLES
-from checks.queries import QUERIES
+from voltmark_checks.oracles import ORACLES
+from voltmark_checks.queries import QUERIES
 from voltmark import build_session
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -57,7 +57,8 @@ def main(args: list[str]) -> int:
         except Exception as error:  # report and go on with the next query
             count, problem = 0, f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
-        print(f"{'FAIL' if problem else 'ok':4} {name:36} {count:7} rows {time.time() - start:6.2f} s  {problem or ''}", flush=True)
+        verdict = "FAIL" if problem else "ok"
+        print(f"{verdict:4} {name:36} {count:7} rows {time.time() - start:6.2f} s  {problem or ''}", flush=True)
     return failed
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# The extracts, as in checks.sample_lake.
+# The extracts, as in voltmark_checks.sample_lake.
 EXTRACTS = {
     "raw_site": """
         SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey::varchar END AS site_id,

@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.sample_lake import RAW, maintenance_source, raw_device, raw_meter_readings, raw_site, sample, silver_tables, supplier_source
 from voltmark import ENERGY_MODEL, EntityGraph, Lake, land, metrics, run_all
 from voltmark.functions import (
     display_number,
@@ -23,6 +22,16 @@ from voltmark.operators import top_k, typed
 from voltmark.plans import gold, questions, silver
 from voltmark.plans.medallion import load_maintenance
 from voltmark.plans.metrics import formatted, report_table
+from voltmark_checks.sample_lake import (
+    RAW,
+    maintenance_source,
+    raw_device,
+    raw_meter_readings,
+    raw_site,
+    sample,
+    silver_tables,
+    supplier_source,
+)
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -185,7 +194,8 @@ def graph_traverse_supplier(spark, sf_dir):
 def graph_traverse_back(spark, sf_dir):
     """From suppliers back to regions."""
     graph = EntityGraph(silver_tables(spark, sf_dir))
-    return graph.traverse(["^performedBy", "^hasMaintenance", "^hasDevice", "locatedIn"], carry={"Region": ["region_code"]})
+    path = ["^performedBy", "^hasMaintenance", "^hasDevice", "locatedIn"]
+    return graph.traverse(path, carry={"Region": ["region_code"]})
 
 
 def graph_readings_by_region(spark, sf_dir):
@@ -207,16 +217,15 @@ def snapshot_drift(spark, sf_dir):
     """Totals stored after the first deliveries against the facts after the second."""
     tables = silver_tables(spark, sf_dir)
     first = raw_meter_readings(spark, sf_dir).filter(F.col("ingested_at") < F.lit("2024-02-02").cast("timestamp"))
-    stored = silver.dim_site(
-        raw_site(spark, sf_dir), silver.fact_energy_consumption(first), tables["fact_energy_cost"]
-    )
-    return questions.snapshot_drift({"dim_site": stored, "fact_energy_consumption": tables["fact_energy_consumption"], "fact_energy_cost": tables["fact_energy_cost"]})
+    cost = tables["fact_energy_cost"]
+    stored = silver.dim_site(raw_site(spark, sf_dir), silver.fact_energy_consumption(first), cost)
+    live = tables["fact_energy_consumption"]
+    return questions.snapshot_drift({"dim_site": stored, "fact_energy_consumption": live, "fact_energy_cost": cost})
 
 
 def top_sites_by_cost(spark, sf_dir):
-    return top_k(
-        silver_tables(spark, sf_dir)["dim_site"].select("site_id", "total_energy_cost"), "total_energy_cost", 10, "site_id"
-    )
+    sites = silver_tables(spark, sf_dir)["dim_site"].select("site_id", "total_energy_cost")
+    return top_k(sites, "total_energy_cost", 10, "site_id")
 
 
 # -- storage -------------------------------------------------------------------

@@ -4,7 +4,7 @@ Numbers are multiples of powers of two, so sums of them are exact in any order a
 checking SQL must agree to the last bit. Faults are part of the data: keys that are missing, text
 that is no number, date or flag, rows delivered twice with other values. No row is left out.
 
-``checks.oracles.EXTRACTS`` states the same mapping in SQL.
+``voltmark_checks.oracles.EXTRACTS`` states the same mapping in SQL.
 """
 
 from __future__ import annotations
