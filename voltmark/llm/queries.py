@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voltmark.llm import line_dedup, near_dedup
+from voltmark.llm import decontaminate, line_dedup, near_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,8 +16,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, similarity=0.8)
 
 
-QUERIES = {f.__name__: f for f in (op7_near_dedup, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op4_decontaminate, op7_near_dedup, op9_line_dedup)}
