@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from voltmark.llm import decontaminate, line_dedup, near_dedup
+from voltmark.llm import bpe, decontaminate, line_dedup, near_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,11 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encoded(table(spark, sf_dir, "documents"), path, ids=False, digests=True)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
@@ -24,4 +30,4 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, similarity=0.8)
 
 
-QUERIES = {f.__name__: f for f in (op4_decontaminate, op7_near_dedup, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op4_decontaminate, op7_near_dedup, op9_line_dedup)}
