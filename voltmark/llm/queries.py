@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, line_dedup, near_dedup
+from voltmark.llm import bpe, decontaminate, line_dedup, near_dedup, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,4 +31,11 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, similarity=0.8)
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_decontaminate, op7_near_dedup, op9_line_dedup)}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.trained(docs, table(spark, sf_dir, "labels"))
+    held = docs.withColumn("held_out", F.coalesce(quality.held_out("doc_id"), F.lit(False)))
+    return quality.scored(held, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
+
+
+QUERIES = {f.__name__: f for f in (op2_bpe, op4_decontaminate, op7_near_dedup, op9_line_dedup, op10_quality)}
