@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, line_dedup, near_dedup, quality
+from voltmark.llm import bpe, decontaminate, language, line_dedup, near_dedup, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,13 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.trained(docs)
+    held = docs.select("doc_id", "text").withColumn("held_out", F.coalesce(language.held_out("doc_id"), F.lit(False)))
+    return language.identified(held, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, similarity=0.8)
 
@@ -38,4 +45,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(held, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_decontaminate, op7_near_dedup, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op4_decontaminate, op6_language, op7_near_dedup, op9_line_dedup, op10_quality)}
