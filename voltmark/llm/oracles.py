@@ -51,4 +51,25 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM doc_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op4_decontaminate": OP4_DECONTAMINATE, "op9_line_dedup": OP9_LINE_DEDUP}
+OP1_EMBEDDING_DEDUP = r"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))) AS size
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND a.size > 0 AND b.size > 0
+  WHERE list_dot_product(a.v, b.v) / (a.size * b.size) >= 0.95),
+reach AS (
+  SELECT a AS node, a AS least FROM links
+  UNION
+  SELECT links.b, reach.least FROM reach JOIN links ON links.a = reach.node WHERE reach.least < links.b),
+groups AS (SELECT node, min(least) AS component FROM reach GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS component_id,
+       coalesce(component, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN groups ON node = vec_id LEFT JOIN counts ON a = vec_id
+"""
+
+ORACLES = {"op1_embedding_dedup": OP1_EMBEDDING_DEDUP, "op4_decontaminate": OP4_DECONTAMINATE, "op9_line_dedup": OP9_LINE_DEDUP}

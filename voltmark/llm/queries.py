@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, language, line_dedup, near_dedup, quality
+from voltmark.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, near_dedup, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encoded(table(spark, sf_dir, "documents"), path, ids=False, digests=True)
@@ -45,4 +49,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(held, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op4_decontaminate, op6_language, op7_near_dedup, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op4_decontaminate, op6_language, op7_near_dedup, op9_line_dedup, op10_quality)}
