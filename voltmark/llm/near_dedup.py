@@ -111,10 +111,11 @@ def sketch(batch: pa.RecordBatch, shingle: int) -> pa.RecordBatch:
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(B.mixed(elements ^ np.uint64(salt)))])
         names.append(B.mixed(sums[ends[1:]] - sums[ends[:-1]]))
     bands = np.zeros((len(counts), BANDS), dtype=np.uint64)
+    band = B.random_table(19, BANDS)
     for i, j in B.pieces(ends, 200_000):
         signature = super_minhash(elements[ends[i] : ends[j]], counts[i:j], BANDS * ROWS).view(np.uint64).ravel()
         at = np.arange(0, len(signature), ROWS)
-        bands[i:j] = _BAND.of_values(B.mixed(signature), at, at + ROWS).reshape(-1, BANDS)
+        bands[i:j] = B.mixed(_BAND.of_values(B.mixed(signature), at, at + ROWS).reshape(-1, BANDS) ^ band)
     return pa.RecordBatch.from_arrays(
         [
             batch.column("doc_id"),
@@ -136,9 +137,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
 
     Rows with one ``doc_id`` count as one document that has all their sets. A row without ``doc_id`` takes part in
     nothing and is kept. Other columns are ignored. Members of a band bucket are compared with its
-    smallest and its largest, and then with the members that those comparisons have left in another component; pairs whose
-    sizes alone rule a link out are left aside. So no link between two components is lost, and a bucket of
-    near copies costs its size and not its square.
+    smallest and its largest, and then with the members that those comparisons have left in another component,
+    unless a bound rules a link out (``left_apart``). So no link between two components is lost, and a
+    bucket of near copies costs its size and not its square.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
@@ -157,41 +158,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
     sets = scratch.store(sets)
-    placed = sets.select("rep", "n", F.posexplode("bands").alias("band", "bucket"))
-    ends = (
-        placed.groupBy("band", "bucket")
-        .agg(F.min(F.struct("rep", "n")).alias("low"), F.max(F.struct("rep", "n")).alias("high"), F.count("*").alias("size"))
-        .where("size > 1 AND low.rep < high.rep")
-    )
-    members = scratch.store(placed.join(ends, ["band", "bucket"]).select("band", "bucket", "rep", "n", "low", "high"))
-
-    def fit(a: str, b: str):
-        return F.least(a, b) * 100 >= F.greatest(a, b) * share
+    placed = sets.select("rep", "n", F.explode("bands").alias("bucket"))
+    ends = placed.groupBy("bucket").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    members = scratch.store(placed.join(ends, "bucket"))
+    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
+    # A sort-merge join at any size, so that cost follows the input evenly.
+    texts = docs.join(wanted.hint("merge"), "doc_id", "left_semi")
+    full = scratch.store(texts.mapInArrow(full_sets(shingle), "doc_id long, set binary"))
 
     def pairs_of(to: str) -> DataFrame:
-        return members.where(F.col("rep") != F.col(f"{to}.rep")).where(fit("n", f"{to}.n")).select(
-            F.least("rep", f"{to}.rep").alias("a"), F.greatest("rep", f"{to}.rep").alias("b")
+        return members.where(F.col("rep") != F.col(to)).select(
+            F.least("rep", to).alias("a"), F.greatest("rep", to).alias("b")
         )
 
-    links = scratch.store(confirmed(pairs_of("low").unionByName(pairs_of("high")).distinct(), docs, shingle, share, scratch))
+    links = scratch.store(confirmed(pairs_of("low").unionByName(pairs_of("high")).distinct(), full, share))
     groups = scratch.store(components(links, scratch))
-    # What is left: members of one bucket in different components, neither of them compared with all of it.
-    rest = (
-        members.where("rep != low.rep AND rep != high.rep")
-        .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("band", "bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    )
-    mixed = rest.groupBy("band", "bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-    rest = scratch.store(rest.join(mixed.where("c1 < c2").select("band", "bucket"), ["band", "bucket"]))
-    left, right = rest.alias("l"), rest.alias("r")
-    across = (
-        left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.bucket") == F.col("r.bucket"))
-                  & (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component")) & fit("l.n", "r.n"))
-        .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
-    )
-    across = scratch.store(across)
+    across = scratch.store(left_apart(members, groups, full, share, scratch))
     if not across.isEmpty():
-        more = scratch.store(confirmed(across, docs, shingle, share, scratch))
+        more = scratch.store(confirmed(across, full, share))
         if not more.isEmpty():
             groups = scratch.store(components(links.unionByName(more), scratch))
 
@@ -206,37 +190,81 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     )
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, share: int, scratch: Scratch) -> DataFrame:
-    """The pairs ``a, b`` of documents whose full sets are similar enough."""
-    pairs = scratch.store(pairs)
+def full_sets(shingle: int):
+    """For ``mapInArrow``: the whole set of each document, six bytes of each shingle's hash."""
 
-    def full(batches):
+    def run(batches):
         for batch in batches:
             elements, counts = shingle_sets(batch, shingle)
             ends = np.concatenate([[0], np.cumsum(counts)])
-            # Six bytes of a hash tell shingles of two documents apart.
             raw = elements.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
             packed = [raw[6 * ends[k] : 6 * ends[k + 1]] for k in range(len(counts))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], names=["doc_id", "set"])
 
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(full, "doc_id long, set binary")
-    sets = scratch.store(sets.dropDuplicates(["doc_id"]))
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    return run
+
+
+def _integers(packed: pa.Scalar) -> np.ndarray:
+    raw = np.frombuffer(packed.as_buffer(), np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(raw), 8), dtype=np.uint8)
+    wide[:, :6] = raw
+    return wide.view(np.uint64).ravel()
+
+
+def confirmed(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
+    """The pairs ``a, b`` of documents whose full sets are similar enough."""
 
     def compare(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                x, y = (_integers(np.frombuffer(v.as_buffer(), np.uint8)) for v in (x, y))
-                shared = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * shared >= share * (len(x) + len(y) - shared))
+                x, y = _integers(x), _integers(y)
+                union = len(np.union1d(x, y))
+                keep.append(100 * (len(x) + len(y) - union) >= share * union)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
+    both = pairs.join(full.toDF("a", "set_a"), "a").join(full.toDF("b", "set_b"), "b")
     return both.select("a", "b", "set_a", "set_b").mapInArrow(compare, "a long, b long")
 
 
-def _integers(packed: np.ndarray) -> np.ndarray:
-    wide = np.zeros((len(packed) // 6, 8), dtype=np.uint8)
-    wide[:, :6] = packed.reshape(-1, 6)
-    return wide.view(np.uint64).ravel()
+def left_apart(members: DataFrame, groups: DataFrame, full: DataFrame, share: int, scratch: Scratch) -> DataFrame:
+    """Pairs ``a, b`` of one bucket in different components that may still be linked.
+
+    Most of what the two ends of a bucket leave apart can't be linked with anything: a shingle that no other
+    of these documents has is in no intersection, so similarity is at most the share of the others. Counting
+    the others gives a bound for each document and for each pair, and no link is lost by it.
+    """
+    rest = (
+        members.where("rep != low AND rep != high")
+        .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
+        .select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    )
+
+    def mixed(some: DataFrame) -> DataFrame:
+        spread = some.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+        return some.join(spread.where("c1 < c2").select("bucket"), "bucket")
+
+    rest = scratch.store(mixed(rest))
+
+    def exploded(batches):
+        for batch in batches:
+            sets = [_integers(x) for x in batch.column("set")]
+            ids = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], names=["rep", "shingle"])
+
+    ids = rest.select(F.col("rep").alias("doc_id")).distinct()
+    shingles = scratch.store(full.join(ids, "doc_id", "left_semi").distinct().mapInArrow(exploded, "rep long, shingle long"))
+    shared = shingles.groupBy("shingle").count().where("count > 1").select("shingle")
+    common = shingles.join(shared, "shingle").groupBy("rep").agg(F.count("*").alias("k"))
+    rest = rest.join(common, "rep").where(F.col("k") * 100 >= F.col("n") * share)
+    rest = scratch.store(mixed(rest))
+    left, right = rest.alias("l"), rest.alias("r")
+    most = F.least("l.k", "r.k")
+    return (
+        left.join(
+            right,
+            (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component"))
+            & (most * 100 >= (F.col("l.n") + F.col("r.n") - most) * share),
+        )
+        .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+    )
