@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, near_dedup, quality
+from voltmark.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, near_dedup, pii, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(table(spark, sf_dir, "documents"), path, ids=False, digests=True)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.personal_data(docs, pii.trained(docs)).drop("text")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
@@ -49,4 +54,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(held, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op4_decontaminate, op6_language, op7_near_dedup, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op6_language, op7_near_dedup, op9_line_dedup, op10_quality)}
