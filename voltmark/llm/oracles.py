@@ -72,4 +72,21 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(component, vec_id) AS
 FROM embeddings LEFT JOIN groups ON node = vec_id LEFT JOIN counts ON a = vec_id
 """
 
-ORACLES = {"op1_embedding_dedup": OP1_EMBEDDING_DEDUP, "op4_decontaminate": OP4_DECONTAMINATE, "op9_line_dedup": OP9_LINE_DEDUP}
+OP8_SUBSTRING_DEDUP = r"""
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS phrase
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 12, 0) + 1)) AS i FROM words WHERE len(w) >= 13)),
+firsts AS (SELECT phrase, min(doc_id) AS first FROM windows GROUP BY phrase HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p
+  FROM windows JOIN firsts USING (phrase) WHERE first < doc_id),
+each_word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM words),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
+  FROM each_word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {"op8_substring_dedup": OP8_SUBSTRING_DEDUP, "op1_embedding_dedup": OP1_EMBEDDING_DEDUP, "op4_decontaminate": OP4_DECONTAMINATE, "op9_line_dedup": OP9_LINE_DEDUP}

@@ -281,6 +281,8 @@ def spellings(kind: str, text: str, chance: random.Random) -> str:
     if kind == "email":
         local, _, domain = text.partition("@")
         local = local.strip(".-+%_") or "name"
+        if domain.count(".") > 1 and chance.random() < 0.5:
+            domain = domain.partition(".")[2]
         return chance.choice([
             f"{local} (at) {domain}", f"{local} [at] {domain}", f"{local}[at]{domain}", f"{local} at {domain.replace('.', ' dot ')}",
             f"{local} (at) {domain.replace('.', ' (dot) ')}",

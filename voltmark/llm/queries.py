@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, near_dedup, pii, quality
+from voltmark.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, near_dedup, pii, quality, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicated(docs, window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
@@ -54,4 +59,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(held, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op6_language, op7_near_dedup, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality)}
