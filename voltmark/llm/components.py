@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,3 +48,29 @@ def _stars(edges: DataFrame) -> bool:
     return (
         edges.join(centres, "a", "left_semi").isEmpty() and edges.groupBy("a").count().where("count > 1").isEmpty()
     )
+
+
+class Forest:
+    """Components of linked pairs of numbered rows, with as few pairs as hold them together."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+        self.edges: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            la, lb = self.label[a], self.label[b]
+            apart = la != lb
+            if not apart.any():
+                return
+            a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
+            # Each component joins the smallest one next to it, if that is smaller, by one pair.
+            high, low = np.maximum(la, lb), np.minimum(la, lb)
+            order = np.lexsort((low, high))
+            first = order[np.concatenate([[True], high[order][1:] != high[order][:-1]])]
+            parent = np.arange(len(self.label))
+            parent[high[first]] = low[first]
+            while (parent[parent] != parent).any():
+                parent = parent[parent]
+            self.label = parent[self.label]
+            self.edges.append((a[first], b[first]))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltmark.llm.components import components
+from voltmark.llm.components import Forest, components
 from voltmark.llm.scratch import Scratch
 
 #: Distinct vectors in a block; a task holds two blocks.
@@ -73,32 +73,6 @@ def quantised(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes, scales, np.sqrt(((unit - codes * scales[:, None]) ** 2).sum(axis=1))
 
 
-class Forest:
-    """Components of linked pairs of numbered rows, with as few pairs as hold them together."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-        self.edges: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def add(self, a: np.ndarray, b: np.ndarray) -> None:
-        while True:
-            la, lb = self.label[a], self.label[b]
-            apart = la != lb
-            if not apart.any():
-                return
-            a, b, la, lb = a[apart], b[apart], la[apart], lb[apart]
-            # Each component joins the smallest one next to it, if that is smaller, by one pair.
-            high, low = np.maximum(la, lb), np.minimum(la, lb)
-            order = np.lexsort((low, high))
-            first = order[np.concatenate([[True], high[order][1:] != high[order][:-1]])]
-            parent = np.arange(len(self.label))
-            parent[high[first]] = low[first]
-            while (parent[parent] != parent).any():
-                parent = parent[parent]
-            self.label = parent[self.label]
-            self.edges.append((a[first], b[first]))
-
-
 def linked(x: Block, y: Block | None, threshold: float) -> tuple[np.ndarray, np.ndarray, Forest]:
     """Weights of what each row of ``x`` and of ``y`` is linked with, and the components over ``x`` then ``y``.
     Without ``y`` the pairs of ``x`` with itself."""

@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltmark.llm import batches as B
-from voltmark.llm.components import components
+from voltmark.llm.components import Forest, components
 from voltmark.llm.scratch import Scratch
 
 #: Bands of the signature and values in a band. A pair at similarity 0.8 agrees in no band with a chance of 3e-7.
 BANDS, ROWS = 50, 6
+#: Documents in a block of a cluster; a task holds two blocks.
+BLOCK_DOCS = 512
 _WORD, _SHINGLE, _BAND = B.Spans(11), B.Spans(13), B.Spans(17)
 #: Up to this step, the permutation of an element is followed back through its swaps; from then on it is kept as a row.
 _CHAIN = 12
@@ -138,8 +140,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     Rows with one ``doc_id`` count as one document that has all their sets. A row without ``doc_id`` takes part in
     nothing and is kept. Other columns are ignored. Members of a band bucket are compared with its
     smallest and its largest, and then with the members that those comparisons have left in another component,
-    unless a bound rules a link out (``left_apart``). So no link between two components is lost, and a
-    bucket of near copies costs its size and not its square.
+    block by block (``left_apart``). So no link between two components is lost, and no pairs are sent around.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
@@ -173,11 +174,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
 
     links = scratch.store(confirmed(pairs_of("low").unionByName(pairs_of("high")).distinct(), full, share))
     groups = scratch.store(components(links, scratch))
-    across = scratch.store(left_apart(members, groups, full, share, scratch))
-    if not across.isEmpty():
-        more = scratch.store(confirmed(across, full, share))
-        if not more.isEmpty():
-            groups = scratch.store(components(links.unionByName(more), scratch))
+    more = scratch.store(left_apart(members, groups, full, share, scratch))
+    if not more.isEmpty():
+        groups = scratch.store(components(links.unionByName(more), scratch))
 
     named = sets.join(groups.withColumnRenamed("node", "rep"), "rep", "left").select(
         "s1", "s2", F.coalesce("component", "rep").alias("component_id")
@@ -228,23 +227,20 @@ def confirmed(pairs: DataFrame, full: DataFrame, share: int) -> DataFrame:
 
 
 def left_apart(members: DataFrame, groups: DataFrame, full: DataFrame, share: int, scratch: Scratch) -> DataFrame:
-    """Pairs ``a, b`` of one bucket in different components that may still be linked.
+    """Links ``a, b`` between members of one bucket that its two ends have left in different components.
 
-    Most of what the two ends of a bucket leave apart can't be linked with anything: a shingle that no other
-    of these documents has is in no intersection, so similarity is at most the share of the others. Counting
-    the others gives a bound for each document and for each pair, and no link is lost by it.
+    Documents of such buckets form clusters by the buckets they share. A cluster is cut into blocks of
+    bounded size, every two blocks meet in one task, and what comes out is a forest of links. A document of
+    which too few shingles are in any other of these documents can have no link and is left aside.
     """
     rest = (
         members.where("rep != low AND rep != high")
         .join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("bucket", "rep", "n", F.coalesce("component", "rep").alias("component"))
+        .select("bucket", "rep", "n", "low", F.coalesce("component", "rep").alias("component"))
     )
-
-    def mixed(some: DataFrame) -> DataFrame:
-        spread = some.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-        return some.join(spread.where("c1 < c2").select("bucket"), "bucket")
-
-    rest = scratch.store(mixed(rest))
+    spread = rest.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+    rest = scratch.store(rest.join(spread.where("c1 < c2").select("bucket"), "bucket"))
+    docs = rest.select("rep", "n", "component").distinct()
 
     def exploded(batches):
         for batch in batches:
@@ -252,19 +248,64 @@ def left_apart(members: DataFrame, groups: DataFrame, full: DataFrame, share: in
             ids = np.repeat(batch.column("doc_id").to_numpy(), [len(x) for x in sets])
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], names=["rep", "shingle"])
 
-    ids = rest.select(F.col("rep").alias("doc_id")).distinct()
-    shingles = scratch.store(full.join(ids, "doc_id", "left_semi").distinct().mapInArrow(exploded, "rep long, shingle long"))
+    own = scratch.store(full.join(docs.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").distinct())
+    shingles = own.mapInArrow(exploded, "rep long, shingle long")
     shared = shingles.groupBy("shingle").count().where("count > 1").select("shingle")
     common = shingles.join(shared, "shingle").groupBy("rep").agg(F.count("*").alias("k"))
-    rest = rest.join(common, "rep").where(F.col("k") * 100 >= F.col("n") * share)
-    rest = scratch.store(mixed(rest))
-    left, right = rest.alias("l"), rest.alias("r")
-    most = F.least("l.k", "r.k")
-    return (
-        left.join(
-            right,
-            (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.rep") < F.col("r.rep")) & (F.col("l.component") != F.col("r.component"))
-            & (most * 100 >= (F.col("l.n") + F.col("r.n") - most) * share),
-        )
-        .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b")).distinct()
+    docs = scratch.store(docs.join(common, "rep").where(F.col("k") * 100 >= F.col("n") * share).select("rep", "component"))
+
+    clusters = components(rest.select(F.col("rep").alias("a"), F.col("low").alias("b")), scratch).toDF("rep", "cluster")
+    placed = scratch.store(docs.join(clusters, "rep"))
+    sizes = placed.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("int").alias("blocks"))
+    blocked = placed.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    meeting = blocked.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "rep", "component", "cluster", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j")
     )
+
+    def compare(key, table):
+        _, i, j = (k.as_py() for k in key)
+        block = table.column("block").to_numpy()
+        x, y = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        reps, component = table.column("rep").to_numpy(), table.column("component").to_numpy()
+        forest = Forest(len(reps))
+        if len(x) and len(y) and component.min() < component.max():
+            sets = [_integers(v) for v in table.column("set")]
+            sizes = np.array([len(v) for v in sets])
+            shared = intersections([sets[k] for k in x], [sets[k] for k in y])
+            union = sizes[x][:, None] + sizes[y][None, :] - shared
+            r, c = np.nonzero((100 * shared >= share * union) & (component[x][:, None] != component[y][None, :]))
+            forest.add(x[r], y[c])
+        a, b = (np.concatenate([reps[e[k]] for e in forest.edges]) if forest.edges else np.zeros(0, np.int64) for k in (0, 1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    with_sets = meeting.join(own.toDF("rep", "set"), "rep")
+    return with_sets.groupBy("cluster", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of ``left`` shares with each of ``right``: elements of many sets by matrix
+    products, those of few by listing the pairs."""
+    elements = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(v) for v in (*left, *right)])
+    _, column, times = np.unique(elements, return_inverse=True, return_counts=True)
+    result = np.zeros((len(left), len(right)))
+    rare = (times > 1) & (times <= 8)
+    keep = rare[column]
+    order = np.argsort(column[keep], kind="stable")
+    col, own = column[keep][order], owner[keep][order]
+    starts = np.searchsorted(col, col)
+    count = times[col]
+    first = np.repeat(np.arange(len(col)), count)
+    second = np.repeat(starts, count) + np.arange(len(first)) - np.repeat(np.cumsum(count) - count, count)
+    a, b = own[first], own[second]
+    cross = (a < len(left)) & (b >= len(left))
+    np.add.at(result, (a[cross], b[cross] - len(left)), 1)
+    heavy = np.flatnonzero(times > 8)
+    place = np.full(len(times), -1)
+    place[heavy] = np.arange(len(heavy))
+    for start in range(0, len(heavy), 4096):
+        some = (place[column] >= start) & (place[column] < start + 4096)
+        matrix = np.zeros((len(left) + len(right), min(4096, len(heavy) - start)), dtype=np.float32)
+        matrix[owner[some], place[column[some]] - start] = 1
+        result += matrix[: len(left)] @ matrix[len(left) :].T
+    return result.astype(np.int64)
