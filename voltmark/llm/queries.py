@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, embedding_dedup, language, line_dedup, near_dedup, pii, quality, substring_dedup
+from voltmark.llm import bpe, decontaminate, embedding_dedup, html_text, language, line_dedup, near_dedup, pii, quality, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extracted(pages, html_text.trained(pages)).drop("html")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.trained(docs)
@@ -59,4 +64,4 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(held, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op5_html_text, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality)}
