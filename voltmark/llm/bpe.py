@@ -11,6 +11,7 @@ import hashlib
 import heapq
 import json
 import unicodedata
+from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from voltmark.llm import batches as B
 
 END = "</w>"
-#: Words and fragments whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+#: Pieces and fragments whose ids a task remembers; beyond that it starts anew.
+REMEMBERED = 300_000
+_ODD_SPACE = regex.compile("[\x1c-\x1f]")
 #: Fixed by the vocabulary's file: what is a word. White space only parts words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -49,6 +51,12 @@ class Remembered(dict):
         return value
 
 
+@lru_cache(maxsize=1)
+def loaded(definition: str) -> Bpe:
+    """One encoder for all tasks of a worker, so that words are remembered from task to task."""
+    return Bpe(definition)
+
+
 class Bpe:
     """Encoder and decoder for a tokenizer file with words that end in ``</w>``."""
 
@@ -67,20 +75,22 @@ class Bpe:
             self.merges[a, b] = rank
         self.characters = byte_characters()
         byte_of = {c: b for b, c in enumerate(self.characters)}
-        self.inside = np.zeros((256, 256), dtype=bool)
+        self.merges_of_rank = [a + b for a, b in self.merges]
+        # One flag for each pair of bytes: whether some token has it inside.
+        self.inside = bytearray(1 << 16)
         for token in vocab:
             for a, b in pairwise(token.removesuffix(END)):
                 if a in byte_of and b in byte_of:
-                    self.inside[byte_of[a], byte_of[b]] = True
+                    self.inside[byte_of[a] << 8 | byte_of[b]] = 1
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.fragments = Remembered(lambda key: b"".join(i.to_bytes(4, "little") for i in self.merged(*key)))
-        self.words = Remembered(self.word_ids)
+        self.pieces = Remembered(self.piece_ids)
 
     def cuts(self, word: bytes) -> list[bytes]:
         """The word's fragments between certain cuts."""
-        raw = np.frombuffer(word, np.uint8)
-        at = [0, *(np.flatnonzero(~self.inside[raw[:-1], raw[1:]]) + 1).tolist(), len(word)]
-        return [word[a:b] for a, b in pairwise(at)]
+        inside = self.inside
+        at = [k for k, (a, b) in enumerate(pairwise(word), 1) if not inside[a << 8 | b]]
+        return [word[a:b] for a, b in zip([0, *at], [*at, len(word)], strict=True)] if at else [word]
 
     def word_ids(self, word: str) -> bytes:
         *first, last = self.cuts(word.encode())
@@ -88,9 +98,27 @@ class Bpe:
 
     def merged(self, fragment: bytes, ends_word: bool) -> list[int]:
         """Ids of a fragment: the pair of lowest rank is merged first, of equal ones the leftmost."""
-        symbols: list[str | None] = [self.characters[b] for b in fragment]
+        symbols = [self.characters[b] for b in fragment]
         if ends_word:
             symbols[-1] += END
+        symbols = self._merged_short(symbols) if len(symbols) <= 32 else self._merged_long(symbols)
+        return [self.vocab[s] for s in symbols if s in self.vocab]
+
+    def _merged_short(self, symbols: list[str]) -> list[str]:
+        none, rank = len(self.merges), self.merges.get
+        ranks = [rank(p, none) for p in pairwise(symbols)]
+        while ranks and (least := min(ranks)) < none:
+            k = ranks.index(least)
+            symbols[k : k + 2] = [self.merges_of_rank[least]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((symbols[k - 1], symbols[k]), none)
+            if k < len(ranks):
+                ranks[k] = rank((symbols[k], symbols[k + 1]), none)
+        return symbols
+
+    def _merged_long(self, symbols: list[str | None]) -> list[str]:
+        """The same with a queue, for time that grows hardly more than the length."""
         after, before = list(range(1, len(symbols) + 1)), list(range(-1, len(symbols) - 1))
         queue = [(self.merges[p], k, p) for k, p in enumerate(pairwise(symbols)) if p in self.merges]
         heapq.heapify(queue)
@@ -107,7 +135,7 @@ class Bpe:
                 right = after[left] if left >= 0 else len(symbols)
                 if right < len(symbols) and (pair := (symbols[left], symbols[right])) in self.merges:
                     heapq.heappush(queue, (self.merges[pair], left, pair))
-        return [self.vocab[s] for s in symbols if s is not None and s in self.vocab]
+        return [s for s in symbols if s is not None]
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
@@ -121,7 +149,14 @@ class Bpe:
         if not text.isascii():
             # Each capital sigma becomes a plain small one, also at the end of a word.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return b"".join(map(self.words.__getitem__, WORD.findall(text.lower())))
+        text = text.lower()
+        # White space parts words anyway, so the pieces between it are remembered whole. The four
+        # separators that only Python takes for white space belong to words.
+        pieces = WORD.findall(text) if _ODD_SPACE.search(text) else text.split()
+        return b"".join(map(self.pieces.__getitem__, pieces))
+
+    def piece_ids(self, piece: str) -> bytes:
+        return b"".join(map(self.word_ids, WORD.findall(piece)))
 
     def decode(self, ids: bytes) -> str:
         """The tokens of the ids, joined by spaces: this vocabulary's file has no decoder of its own."""
@@ -140,7 +175,7 @@ def encoded(docs: DataFrame, tokenizer_path: str, ids: bool = True, digests: boo
     fields = ["n_tokens long"] + ["ids array<int>"] * ids + ["ids_sha256 string, decoded_sha256 string"] * digests
 
     def run(batches):
-        bpe = Bpe(sent.value)
+        bpe = loaded(sent.value)
         for batch in batches:
             packed = [bpe.encode(t.as_py()) for t in batch.column("text")]
             counts = np.array([len(p) // 4 for p in packed], dtype=np.int64)
