@@ -170,10 +170,9 @@ def deduplicated(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     See ``keep_bitmaps``. All columns of ``docs`` are kept; those with one of the names given here are replaced.
     A null text becomes an empty one.
     """
-    held = docs.withColumn("version", F.xxhash64("text")).join(
-        keep_bitmaps(docs, min_chars, min_docs).withColumnRenamed("keep", "_keep"), ["doc_id", "version"], "left"
-    )
-    order = [c for c in docs.columns if c not in ("text", "version")]
+    bitmaps = keep_bitmaps(docs, min_chars, min_docs).toDF("doc_id", "_version", "_keep")
+    held = docs.withColumn("_version", F.xxhash64("text")).join(bitmaps, ["doc_id", "_version"], "left")
+    order = [c for c in docs.columns if c != "text"]
 
     def compute(batch):
         texts, totals, drops, digests = [], [], [], []

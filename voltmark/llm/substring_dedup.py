@@ -228,9 +228,9 @@ def deduplicated(docs: DataFrame, window: int = 13) -> DataFrame:
     as they come. Null texts have no words. Rows that repeat a ``doc_id`` are no earlier than each other;
     rows without one neither lose nor cause anything. All columns stay; those with one of the names here are replaced.
     """
-    keys = docs.withColumn("version", F.xxhash64("text"))
-    held = keys.join(removals(docs, window).withColumnRenamed("starts", "_starts"), ["doc_id", "version"], "left")
-    order = [c for c in docs.columns if c not in ("text", "version")]
+    found = removals(docs, window).toDF("doc_id", "_version", "_starts")
+    held = docs.withColumn("_version", F.xxhash64("text")).join(found, ["doc_id", "_version"], "left")
+    order = [c for c in docs.columns if c != "text"]
 
     def compute(batch):
         texts, totals, gone, digests = [], [], [], []
