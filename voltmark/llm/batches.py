@@ -6,15 +6,17 @@ characters outside ASCII, so classes that treat all of those alike work on bytes
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from voltmark.llm.scratch import small_batches
+
 #: Bytes of text that are worked on at once. A longer document makes a larger piece of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -116,16 +118,22 @@ def lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
 
 
-def with_arrow(df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list[pa.Array]]) -> DataFrame:
+def with_arrow(
+    df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list[pa.Array]], consumed: Collection[str] = ()
+) -> DataFrame:
     """``df`` and the columns of ``fields`` (a DDL string), which ``compute`` makes from each Arrow batch.
-    A column of ``df`` with one of those names gives way to the new one."""
+    A column of ``df`` with one of those names gives way to the new one. ``compute`` gets the ``consumed`` columns,
+    but they are not sent back."""
+    small_batches(df.sparkSession)
     new = T._parse_datatype_string(fields)
-    df = df.drop(*[f.name for f in new])
-    schema = T.StructType(df.schema.fields + new.fields)
+    df = df.drop(*[f.name for f in new if f.name not in consumed])
+    kept = [f for f in df.schema.fields if f.name not in consumed]
+    schema = T.StructType(kept + new.fields)
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                yield pa.RecordBatch.from_arrays([*batch.columns, *compute(batch)], names=schema.names)
+                back = [batch.column(f.name) for f in kept]
+                yield pa.RecordBatch.from_arrays([*back, *compute(batch)], names=schema.names)
 
     return df.mapInArrow(run, schema)

@@ -17,11 +17,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 8 MB where the session has Spark's default of 64 MB: texts are large, and an executor
+    holds several copies of a batch on their way to Python and back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name) == "67108864b":
+        spark.conf.set(name, "8388608b")
+
+
 class Scratch:
     """Parquet tables under the shared folder. They outlive lost executors and go when the process ends,
     or earlier with ``drop``."""
 
     def __init__(self, spark: SparkSession, name: str):
+        small_batches(spark)
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
         self.tables = 0
