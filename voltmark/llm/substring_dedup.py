@@ -25,7 +25,7 @@ from voltmark.llm.scratch import Scratch
 #: Words in the runs that anchors are chosen from.
 RUN = 5
 #: Words of passages in a shard, about.
-SHARD_WORDS = 150_000
+SHARD_WORDS = 100_000
 #: An anchor in more passages than this is common; its windows are dealt each by its whole self, so that no
 #: shard gets all the contexts of a phrase that everyone uses.
 COMMON = 1000
@@ -192,12 +192,16 @@ def removals(docs: DataFrame, window: int, shard_words: int = SHARD_WORDS, commo
     shards = max(1, -(-total // shard_words))
 
     def match(_, table):
+        words, marks = table.column("words").to_pylist(), table.column("first").to_pylist()
+        firsts = [[mark] * (len(w) // _BYTES - window + 1) for w, mark in zip(words, marks, strict=True)]
+        meeting = _meeting(words, window)
         automaton = SuffixAutomaton()
-        sequences = [_symbols(w) for w in table.column("words").to_pylist()]
-        for sequence, mark in zip(sequences, table.column("first").to_pylist(), strict=True):
-            automaton.add(sequence, mark)
+        for k in meeting:
+            automaton.add(_symbols(words[k]), marks[k])
         automaton.finish()
-        firsts = [[mark if size >= window else None for size, mark in automaton.matching(s, window)][window - 1 :] for s in sequences]
+        for k in meeting:
+            ends = list(automaton.matching(_symbols(words[k]), window))[window - 1 :]
+            firsts[k] = [mark if size >= window else None for size, mark in ends]
         return pa.table({"anchor": table.column("anchor"), "content": table.column("content"), "firsts": pa.array(firsts, pa.list_(pa.int64()))})
 
     dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
@@ -208,6 +212,18 @@ def removals(docs: DataFrame, window: int, shard_words: int = SHARD_WORDS, commo
     return starts.groupBy("doc_id", "version").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
+def _meeting(words: list[bytes], window: int) -> np.ndarray:
+    """Which passages have a window that stands twice among them. The others can match nothing but themselves,
+    so the automaton needn't hold them."""
+    raw = np.frombuffer(b"".join(words), np.uint8).reshape(-1, _BYTES)
+    wide = np.zeros((len(raw), 8), dtype=np.uint8)
+    wide[:, :_BYTES] = raw
+    of = np.repeat(np.arange(len(words)), [len(w) // _BYTES for w in words])
+    at = B.windows(of, window)
+    _, place, times = np.unique(_PASSAGE.of_values(wide.view(np.uint64).ravel(), at, at + window), return_inverse=True, return_counts=True)
+    return np.unique(of[at[times[place] > 1]])
+
+
 def _codes(lists: pa.Array) -> np.ndarray:
     counts = lists.value_lengths().fill_null(0).to_numpy()
     of = np.repeat(np.arange(len(lists)), counts).astype(np.uint64)
@@ -220,8 +236,9 @@ def _symbols(words: bytes) -> list[int]:
     return wide.view(np.int64).ravel().tolist()
 
 
-def deduplicated(docs: DataFrame, window: int = 13) -> DataFrame:
-    """``docs`` with ``text`` (the words that stay, joined by one space), ``n_words``, ``n_removed``, ``kept_sha256``.
+def deduplicated(docs: DataFrame, window: int = 13, text: bool = True) -> DataFrame:
+    """``docs`` with ``text`` (the words that stay, joined by one space, unless it is not wanted), ``n_words``,
+    ``n_removed``, ``kept_sha256``.
 
     Words are longest runs of anything but ASCII white space. A word goes if it lies in ``window`` consecutive words of its
     document whose sequence also begins in a document with a smaller ``doc_id``; all windows are judged on the texts
@@ -234,8 +251,8 @@ def deduplicated(docs: DataFrame, window: int = 13) -> DataFrame:
 
     def compute(batch):
         texts, totals, gone, digests = [], [], [], []
-        for text, starts in zip(batch.column("_text"), batch.column("_starts"), strict=True):
-            words = (text.as_py() or "").encode().split()
+        for value, starts in zip(batch.column("_text"), batch.column("_starts"), strict=True):
+            words = (value.as_py() or "").encode().split()
             totals.append(len(words))
             if starts.is_valid:
                 change = np.zeros(len(words) + 1, dtype=np.int64)
@@ -246,10 +263,12 @@ def deduplicated(docs: DataFrame, window: int = 13) -> DataFrame:
                 words = [w for w, s in zip(words, stay.tolist(), strict=True) if s]
             gone.append(totals[-1] - len(words))
             kept = b" ".join(words)
-            texts.append(kept.decode())
+            if text:
+                texts.append(kept.decode())
             digests.append(hashlib.sha256(kept).hexdigest())
-        return [pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
+        numbers = [pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
+        return [pa.array(texts, pa.string()), *numbers] if text else numbers
 
     source = held.select(*order, F.col("text").alias("_text"), "_starts")
-    fields = "text string, n_words long, n_removed long, kept_sha256 string"
-    return B.with_arrow(source, fields, compute).drop("_text", "_starts")
+    fields = "text string, " * text + "n_words long, n_removed long, kept_sha256 string"
+    return B.with_arrow(source, fields, compute, consumed=("_text", "_starts"))
