@@ -21,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltmark.llm import batches as B
+from voltmark.llm.scratch import small_batches
 
 END = "</w>"
 #: Pieces and fragments whose ids a task remembers; beyond that it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")
 #: Fixed by the vocabulary's file: what is a word. White space only parts words.
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
@@ -170,13 +171,14 @@ def encoded(docs: DataFrame, tokenizer_path: str, ids: bool = True, digests: boo
     empty texts have no tokens. Rows that repeat an id each give a row. ``tokenizer_path`` is read on the
     driver; what executors get is the file's content, a few MB. Other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     with open(tokenizer_path, encoding="utf-8") as f:
         sent = docs.sparkSession.sparkContext.broadcast(f.read())
     fields = ["n_tokens long"] + ["ids array<int>"] * ids + ["ids_sha256 string, decoded_sha256 string"] * digests
 
     def run(batches):
         bpe = loaded(sent.value)
-        for batch in batches:
+        for batch in (whole.slice(i, j - i) for whole in batches for i, j in B.pieces(B.texts(whole.column("text"))[1])):
             packed = [bpe.encode(t.as_py()) for t in batch.column("text")]
             counts = np.array([len(p) // 4 for p in packed], dtype=np.int64)
             columns = [batch.column("doc_id"), pa.array(counts)]
