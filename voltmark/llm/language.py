@@ -139,11 +139,11 @@ def from_counts(counts: list[tuple[str, str, int]]) -> LanguageModel:
     return LanguageModel(languages, prior, lookups[0], lookups, np.concatenate(rows))
 
 
-def identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
+def identified(docs: DataFrame, model: LanguageModel, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, from the text alone.
 
     ``und`` with score 0 for null texts and texts without letters. A text whose words and letters are all unknown gets the
-    language that the model has most of. Columns of those names are replaced, all others stay.
+    language that the model has most of. Columns of those names are replaced, all others stay, ``text`` only with ``keep_text``.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     holder: list[Identifier] = []
@@ -154,4 +154,4 @@ def identified(docs: DataFrame, model: LanguageModel) -> DataFrame:
         found = [holder[0].identify(t.as_py()) for t in batch.column("text")]
         return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
 
-    return B.with_arrow(docs, "lang_pred string, score double", compute)
+    return B.with_arrow(docs, "lang_pred string, score double", compute, consumed=() if keep_text else ("text",))

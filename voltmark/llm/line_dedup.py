@@ -164,8 +164,8 @@ def docs_with_version(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
 
 
-def deduplicated(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """``docs`` with the lines that stay as ``text``, and ``n_lines``, ``n_dropped``, ``kept_sha256``.
+def deduplicated(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text: bool = True) -> DataFrame:
+    """``docs`` with the lines that stay as ``text`` (unless it is not wanted), and ``n_lines``, ``n_dropped``, ``kept_sha256``.
 
     See ``keep_bitmaps``. All columns of ``docs`` are kept; those with one of the names given here are replaced.
     A null text becomes an empty one.
@@ -176,17 +176,17 @@ def deduplicated(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
 
     def compute(batch):
         texts, totals, drops, digests = [], [], [], []
-        for text, keep in zip(batch.column("_text").to_pylist(), batch.column("_keep").to_pylist(), strict=True):
-            lines, total = split_kept(text, keep)
-            texts.append("\n".join(lines))
+        for value, keep in zip(batch.column("_text"), batch.column("_keep"), strict=True):
+            lines, total = split_kept(value.as_py(), keep.as_py())
+            kept = "\n".join(lines)
+            if text:
+                texts.append(kept)
             totals.append(total)
             drops.append(total - len(lines))
-            digests.append(hashlib.sha256(texts[-1].encode()).hexdigest())
-        return [pa.array(texts, pa.string()), pa.array(totals, pa.int64()), pa.array(drops, pa.int64()), pa.array(digests, pa.string())]
+            digests.append(hashlib.sha256(kept.encode()).hexdigest())
+        numbers = [pa.array(totals, pa.int64()), pa.array(drops, pa.int64()), pa.array(digests, pa.string())]
+        return [pa.array(texts, pa.string()), *numbers] if text else numbers
 
-    result = B.with_arrow(
-        held.select(*order, F.col("text").alias("_text"), "_keep"),
-        "text string, n_lines long, n_dropped long, kept_sha256 string",
-        compute,
-    )
-    return result.drop("_text", "_keep")
+    fields = "text string, " * text + "n_lines long, n_dropped long, kept_sha256 string"
+    source = held.select(*order, F.col("text").alias("_text"), "_keep")
+    return B.with_arrow(source, fields, compute, consumed=("_text", "_keep"))

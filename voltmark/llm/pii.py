@@ -309,7 +309,9 @@ def decoys(chance: random.Random) -> str:
 def trained(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_zones: int = SAMPLE_ZONES) -> SemiMarkov:
     """The field for ``docs``: its zones come from at most ``sample_rows`` documents that hold digits or
     at-signs, those with the smallest hashes of their ids, and at most ``sample_zones`` zones reach the driver."""
-    chosen = docs.where("text RLIKE '[0-9@]' AND doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(sample_rows)
+    telling = docs.where("text RLIKE '[0-9@]' AND doc_id IS NOT NULL")
+    ids = telling.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    chosen = telling.join(F.broadcast(ids), "doc_id", "left_semi")
 
     def cut(batches):
         for batch in batches:
@@ -399,12 +401,12 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join(parts) + text[at:]
 
 
-def personal_data(docs: DataFrame, field: SemiMarkov, redact: bool = False) -> DataFrame:
+def personal_data(docs: DataFrame, field: SemiMarkov, redact: bool = False, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``n_email, n_ip, n_card, n_phone`` (base spans), ``base_sha256``, ``spans`` (all, as
     ``kind:start:end``), and with ``redact`` also ``redacted``, the text without them.
 
     Null and empty texts hold nothing. Whole texts are read; time grows with their length. Columns of those names are
-    replaced, all others stay.
+    replaced, all others stay, ``text`` only with ``keep_text``.
     """
     sent = docs.sparkSession.sparkContext.broadcast((field.weights, field.follows))
     fields = ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string" + ", redacted string" * redact
@@ -419,4 +421,4 @@ def personal_data(docs: DataFrame, field: SemiMarkov, redact: bool = False) -> D
             rows.append([*row, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), *([redacted(text, spans)] if redact else [])])
         return [pa.array(c, pa.int64() if n < 4 else pa.string()) for n, c in enumerate(zip(*rows, strict=True))]
 
-    return B.with_arrow(docs, fields, compute)
+    return B.with_arrow(docs, fields, compute, consumed=() if keep_text else ("text",))

@@ -254,7 +254,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     )
     fields = "x array<double>"
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
-    measured = B.with_arrow(texts, fields, _as_lists).drop("text").orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample_rows).toArrow()
+    measured = B.with_arrow(texts, fields, _as_lists, consumed=("text",)).orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(sample_rows).toArrow()
     x = np.array(measured.column("x").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     return fit(x, np.array(measured.column("quality").to_pylist(), dtype=float))
 
@@ -264,15 +264,15 @@ def _as_lists(batch: pa.RecordBatch) -> list[pa.Array]:
     return [B.lists(pa.array(x.ravel()), np.full(len(x), x.shape[1]))]
 
 
-def scored(docs: DataFrame, model: Additive, threshold: float = 0.3) -> DataFrame:
+def scored(docs: DataFrame, model: Additive, threshold: float = 0.3, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: better) and ``predicted`` (1 from ``threshold`` on).
 
-    Null and empty texts are scored like a text without words. All columns of ``docs`` stay; those with one of the two
-    names are replaced.
+    Null and empty texts are scored like a text without words. All columns of ``docs`` stay, ``text`` only
+    with ``keep_text``; those with one of the two names are replaced.
     """
 
     def compute(batch):
         scores = model.scores(features(batch.column("text")))
         return [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
 
-    return B.with_arrow(docs, "score double, predicted int", compute)
+    return B.with_arrow(docs, "score double, predicted int", compute, consumed=() if keep_text else ("text",))

@@ -15,12 +15,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return substring_dedup.deduplicated(docs, window=13).select("doc_id", "n_words", "n_removed", "kept_sha256")
+    return substring_dedup.deduplicated(docs, window=13, text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.deduplicated(docs).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
+    return line_dedup.deduplicated(docs, text=False).select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.personal_data(docs, pii.trained(docs)).drop("text")
+    return pii.personal_data(docs, pii.trained(docs), keep_text=False)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,14 +43,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
-    return html_text.extracted(pages, html_text.trained(pages)).drop("html")
+    return html_text.extracted(pages, html_text.trained(pages), keep_html=False)
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.trained(docs)
     held = docs.select("doc_id", "text").withColumn("held_out", F.coalesce(language.held_out("doc_id"), F.lit(False)))
-    return language.identified(held, model).select("doc_id", "held_out", "lang_pred", "score")
+    return language.identified(held, model, keep_text=False).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +61,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.trained(docs, table(spark, sf_dir, "labels"))
     held = docs.withColumn("held_out", F.coalesce(quality.held_out("doc_id"), F.lit(False)))
-    return quality.scored(held, model, threshold=0.3).select("doc_id", "held_out", "score", "predicted")
+    return quality.scored(held, model, threshold=0.3, keep_text=False).select("doc_id", "held_out", "score", "predicted")
 
 
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op5_html_text, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality)}
