@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from voltmark.llm.scratch import small_batches
 
 #: Bytes of text that are worked on at once. A longer document makes a larger piece of its own.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

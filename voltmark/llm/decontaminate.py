@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -152,6 +153,10 @@ def _near(segment: Segment, terms: np.ndarray, anchor: int, reach: int) -> np.nd
     return np.unique(np.array(found, dtype=np.int64))
 
 
+HITS = "doc_id long, n_words long, hits array<struct<item_id:long,start:int,length:int>>"
+VERDICTS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+
+
 def search(index: DataFrame, items: DataFrame, window: int = 10, slop: int = 0) -> DataFrame:
     """``doc_id, n_words, hits array<struct<item_id, start, length>>`` for every indexed document.
 
@@ -159,20 +164,24 @@ def search(index: DataFrame, items: DataFrame, window: int = 10, slop: int = 0)
     none: nothing). A hit is a run of words of the document that equals a window; with ``slop`` it is a stretch of
     ``window + slop`` words that holds them all in any order. Items are sent out in groups of at most ``QUERY_BYTES``.
     """
+    results = [_search(index, sent, window, slop, _hits, HITS) for sent in _blocks(items)]
+    if len(results) == 1:
+        return results[0]
+    found = reduce(DataFrame.unionByName, results)
+    return found.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+
+
+def _blocks(items: DataFrame) -> list[pa.Table]:
+    """All items in parts of bounded size, split by a hash."""
     items = items.where("item_id IS NOT NULL").select(F.col("item_id").cast("long"), "text")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(size) // (QUERY_BYTES // 2)))
     blocked = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    results = [_search(index, blocked.where(F.col("block") == b).drop("block").toArrow(), window, slop) for b in range(blocks)]
-    if blocks == 1:
-        return results[0]
-    found = results[0]
-    for more in results[1:]:
-        found = found.unionByName(more)
-    return found.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    return [blocked.where(F.col("block") == b).drop("block").toArrow() for b in range(blocks)]
 
 
-def _search(index: DataFrame, items: pa.Table, window: int, slop: int) -> DataFrame:
+def _search(index: DataFrame, items: pa.Table, window: int, slop: int, answer, schema: str) -> DataFrame:
+    """One pass over the segments; ``answer`` makes the rows of a segment from its hits, by document."""
     groups = phrases(items.column("text"), window)
     names = items.column("item_id").to_numpy()
     sent = index.sparkSession.sparkContext.broadcast((groups, names))
@@ -181,12 +190,12 @@ def _search(index: DataFrame, items: pa.Table, window: int, slop: int) -> DataFr
         groups, names = sent.value
         for batch in batches:
             for row in range(batch.num_rows):
-                ids = batch.column("doc_ids")[row].values.to_numpy(zero_copy_only=False)
+                ids = batch.column("doc_ids")[row].values
                 starts, terms, first, positions = (
                     np.frombuffer(batch.column(c)[row].as_buffer(), kind)
                     for c, kind in (("doc_starts", np.int32), ("terms", np.uint64), ("first", np.int32), ("positions", np.int32))
                 )
-                segment = Segment(ids, starts, terms, first, positions)
+                segment = Segment(ids.to_numpy(zero_copy_only=False), starts, terms, first, positions)
                 parts = [[np.zeros(0, np.int64)] * 4]
                 for group in groups:
                     length = group.size + slop
@@ -194,22 +203,35 @@ def _search(index: DataFrame, items: pa.Table, window: int, slop: int) -> DataFr
                         parts.append([segment.document(at), np.full(len(at), names[item]), at, np.full(len(at), length)])
                 doc, item, at, length = (np.concatenate(p) for p in zip(*parts, strict=True))
                 order = np.lexsort((at, item, doc))
-                doc, item, at, length = doc[order], item[order], at[order], length[order]
-                ends = starts[doc + 1]
-                hits = pa.StructArray.from_arrays(
-                    [pa.array(item, pa.int64()), pa.array((at - starts[doc]).astype(np.int32)), pa.array((np.minimum(at + length, ends) - at).astype(np.int32))],
-                    names=["item_id", "start", "length"],
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_ids")[row].values,
-                        pa.array(np.diff(starts).astype(np.int64)),
-                        B.lists(hits, np.bincount(doc, minlength=len(starts) - 1)),
-                    ],
-                    names=["doc_id", "n_words", "hits"],
-                )
+                doc, item, at = doc[order], item[order], at[order]
+                length = np.minimum(at + length[order], starts[doc + 1]) - at
+                columns = [ids, pa.array(np.diff(starts).astype(np.int64))]
+                columns += answer(len(starts) - 1, doc, item, at - starts[doc], length)
+                yield pa.RecordBatch.from_arrays(columns, names=[c.split(" ")[0] for c in schema.split(", ")])
+
+    return index.mapInArrow(run, schema)
+
 
-    return index.mapInArrow(run, "doc_id long, n_words long, hits array<struct<item_id:long,start:int,length:int>>")
+def _hits(n: int, doc: np.ndarray, item: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[pa.Array]:
+    hits = [pa.array(item, pa.int64()), pa.array(start.astype(np.int32)), pa.array(length.astype(np.int32))]
+    return [B.lists(pa.StructArray.from_arrays(hits, names=["item_id", "start", "length"]), np.bincount(doc, minlength=n))]
+
+
+def _verdicts(n: int, doc: np.ndarray, item: np.ndarray, start: np.ndarray, length: np.ndarray) -> list[pa.Array]:
+    bounds = np.searchsorted(doc, np.arange(n + 1))
+    n_hit, n_items, digests = [], [], []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        ids = sorted(map(str, np.unique(item[a:b])))
+        n_items.append(len(ids))
+        digests.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
+        if a == b:
+            n_hit.append(0)
+            continue
+        change = np.zeros(int((start[a:b] + length[a:b]).max()) + 1, dtype=np.int64)
+        np.add.at(change, start[a:b], 1)
+        np.add.at(change, start[a:b] + length[a:b], -1)
+        n_hit.append(int((np.cumsum(change) > 0).sum()))
+    return [pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()), pa.array(digests, pa.string()), pa.array([k > 0 for k in n_hit], pa.bool_())]
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
@@ -217,37 +239,23 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
 
     A word is hit if it lies inside an occurrence of a window of ``items`` (see ``search``). ``items_sha256`` is
     of the items that occur, sorted as strings and joined by commas. Null and empty texts have no words and
-    are clean; items without words or id occur nowhere. Rows that repeat a ``doc_id`` are judged each for itself.
-    Other columns are ignored.
+    are clean; items without words or id occur nowhere. Rows that repeat a ``doc_id`` are judged each for itself, unless the
+    items are too many for one pass. Other columns are ignored.
     """
-    scratch = Scratch(docs.sparkSession, "index")
-    found = search(build_index(docs, scratch), items, window)
+    index = build_index(docs, Scratch(docs.sparkSession, "index"))
+    blocks = _blocks(items)
+    if len(blocks) == 1:
+        return _search(index, blocks[0], window, 0, _verdicts, VERDICTS)
 
-    def run(batches):
+    def verdicts(batches):
         for batch in batches:
             column = batch.column("hits")
-            hits, bounds = column.flatten(), np.append(0, np.cumsum(column.value_lengths().to_numpy()))
+            hits, counts = column.flatten(), column.value_lengths().to_numpy()
+            doc = np.repeat(np.arange(batch.num_rows), counts)
             item, start, length = (hits.field(k).to_numpy() for k in range(3))
-            n_hit, n_items, digests = [], [], []
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                ids = sorted(map(str, np.unique(item[a:b])))
-                n_items.append(len(ids))
-                digests.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
-                if a == b:
-                    n_hit.append(0)
-                    continue
-                change = np.zeros(int((start[a:b] + length[a:b]).max()) + 1, dtype=np.int64)
-                np.add.at(change, start[a:b], 1)
-                np.add.at(change, start[a:b] + length[a:b], -1)
-                n_hit.append(int((np.cumsum(change) > 0).sum()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"), batch.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(n_items, pa.int64()),
-                    pa.array(digests, pa.string()), pa.array([n > 0 for n in n_hit], pa.bool_()),
-                ],
-                names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-            )
+            columns = _verdicts(batch.num_rows, doc, item, start, length)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), *columns], names=[c.split(" ")[0] for c in VERDICTS.split(", ")])
 
-    return found.mapInArrow(
-        run, "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    )
+    results = [_search(index, sent, window, 0, _hits, HITS) for sent in blocks]
+    found = reduce(DataFrame.unionByName, results).groupBy("doc_id", "n_words")
+    return found.agg(F.flatten(F.collect_list("hits")).alias("hits")).mapInArrow(verdicts, VERDICTS)
