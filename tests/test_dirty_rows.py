@@ -197,7 +197,7 @@ def test_empty_inputs_give_empty_tables(spark):
 
 def test_maintenance_source(spark):
     suppliers = silver.dim_supplier(supplier_frame(spark))
-    assert rows_of(suppliers.filter("contract_since IS NULL"), "supplier_id") == [("SUP2",)]
+    assert rows_of(suppliers.filter("contract_since IS NULL"), "supplier_id") == [("o2",)]
     old = ("E1", "D", "S", "P", "2026-06-01 10:00:00", "repair", "bad", "1", "EUR", "first")
     new = ("E1", "D", "S", "P", "2026-06-02 10:00:00", "repair", "2", "1", "EUR", "second")
     lost = (None, "D", "S", "P", "2026-06-02 10:00:00", "repair", "2", "1", "EUR", "no id")

@@ -16,46 +16,48 @@ def graph(golden):
 def test_entities_have_their_bound_columns_and_a_name(graph):
     for name, e in ENERGY_GRAPH.entities.items():
         assert graph.entity(name).columns == [*e.properties, "display_name"]
-    assert rows_of(graph.entity("Site"), "site_id", "display_name")[0] == ("SITE001", "Site one")
-    assert rows_of(graph.entity("Device"), "device_id", "display_name")[0] == ("DEV001", "DEV001")
+    assert rows_of(graph.entity("Site"), "site_id", "display_name")[0] == ("mesa", "Mesa yard")
+    assert rows_of(graph.entity("Device"), "device_id", "display_name")[0] == ("m-1", "m-1")
     with pytest.raises(KeyError):
         graph.entity("Nope")
 
 
 def test_edges(graph):
     assert rows_of(graph.edges("hasDevice")) == [
-        ("SITE001", "DEV001"),
-        ("SITE001", "DEV002"),
-        ("SITE002", "DEV003"),
-        ("SITE003", "DEV004"),
+        ("mesa", "m-4"),
+        ("north-hall", "m-1"),
+        ("north-hall", "m-2"),
+        ("nowhere", "m-6"),
+        ("quay", "m-3"),
+        ("reef", "m-5"),
     ]
-    assert rows_of(graph.edges("^hasDevice"))[0] == ("DEV001", "SITE001")
-    assert ("E4", None) not in rows_of(graph.edges("performedBy"))
+    assert rows_of(graph.edges("^hasDevice"))[0] == ("m-1", "north-hall")
+    assert ("x4", None) not in rows_of(graph.edges("performedBy"))
     assert "Exchange" not in plan_of(graph.edges("produces"))  # distinct by the key of its table
 
 
 def test_all_nodes(graph):
     nodes = rows_of(graph.all_nodes())
-    assert len(nodes) == 2 + 3 + 4 + 8 + 3 + 2 + 4
-    assert ("MaintenanceEvent", "E1", "fuse") in nodes
+    assert len(nodes) == 3 + 5 + 6 + 9 + 6 + 2 + 5
+    assert ("MaintenanceEvent", "x1", "relay") in nodes
 
 
 def test_walk_to_suppliers(graph):
     walk = graph.traverse(["hasDevice", "hasMaintenance", "performedBy"], carry={"Supplier": ["supplier_name"]})
     assert walk.columns == ["site_id", "device_id", "event_id", "supplier_id", "supplier_name"]
     assert rows_of(walk) == [
-        ("SITE001", "DEV001", "E1", "SUP1", "Alpha"),
-        ("SITE001", "DEV001", "E2", "SUP2", "Beta"),
-        ("SITE003", "DEV004", "E3", "SUP2", "Beta"),
+        ("mesa", "m-4", "x3", "k7", "Kappa"),
+        ("north-hall", "m-1", "x1", "k7", "Kappa"),
+        ("north-hall", "m-1", "x2", "o2", "Omicron"),
     ]
 
 
 def test_walk_back_and_forth(graph):
     back = graph.traverse(["^performedBy", "^hasMaintenance", "^hasDevice", "locatedIn"], carry={"Region": ["region_code"]})
-    assert rows_of(back, "supplier_id", "region_code") == [("SUP1", "EMEA"), ("SUP2", "AMER"), ("SUP2", "EMEA")]
+    assert rows_of(back, "supplier_id", "region_code") == [("k7", "AMER"), ("k7", "EMEA"), ("o2", "EMEA")]
     twice = graph.traverse(["hasDevice", "^hasDevice"])
     assert twice.columns == ["site_id", "device_id", "site_id_2"]
-    assert len(rows_of(twice)) == 4 and all(r[0] == r[2] for r in rows_of(twice))
+    assert len(rows_of(twice)) == 5 and all(r[0] == r[2] for r in rows_of(twice))
 
 
 def test_a_hop_is_one_join(graph):
@@ -64,9 +66,29 @@ def test_a_hop_is_one_join(graph):
 
 
 def test_every_link_in_both_directions_equals_its_edges(graph):
-    for name in ENERGY_GRAPH.links:
-        assert rows_of(graph.traverse([name])) == rows_of(graph.edges(name))
-        assert rows_of(graph.traverse([f"^{name}"])) == rows_of(graph.edges(f"^{name}"))
+    keys = {e.name: {r[0] for r in rows_of(graph.entity(e.name), e.key)} for e in ENERGY_GRAPH.entities.values()}
+    for name, link in ENERGY_GRAPH.links.items():
+        known = [e for e in rows_of(graph.edges(name)) if e[0] in keys[link.source] and e[1] in keys[link.target]]
+        assert rows_of(graph.traverse([name])) == known
+        assert rows_of(graph.traverse([f"^{name}"])) == sorted(((b, a) for a, b in known), key=repr)
+
+
+def test_rollup(graph):
+    by = {"EnergyReading": ["power_factor"], "Device": ["device_type"], "Region": ["region_code"]}
+    got = graph.rollup(["^produces", "^hasDevice", "locatedIn"], {"n": None, "kwh": "energy_kwh"}, by)
+    assert got.columns == ["power_factor", "device_type", "region_code", "n", "kwh"]
+    assert rows_of(got.groupBy("region_code").agg({"n": "sum", "kwh": "sum"}).toDF("r", "n", "kwh"), "r", "n", "kwh") in (
+        [("AMER", 1, 32.0), ("APAC", 1, 0.5), ("EMEA", 5, 36.0), (None, 2, 8.0)],
+        [("AMER", 32.0, 1), ("APAC", 0.5, 1), ("EMEA", 36.0, 5), (None, 8.0, 2)],
+    )
+    with pytest.raises(ValueError, match="many to one"):
+        graph.rollup(["hasDevice"], {"n": None}, {})
+
+
+def test_a_rollup_sums_before_it_walks(graph):
+    plan = plan_of(graph.rollup(["^produces", "^hasDevice", "locatedIn"], {"kwh": "energy_kwh"}, {"Region": ["region_name"]}))
+    below = plan[plan.rindex("Join ") :]
+    assert "partial_sum" in below and plan.count("energy_kwh:double") == 1
 
 
 def test_bad_paths(graph):

@@ -2,7 +2,7 @@ import os
 from datetime import date
 
 import pytest
-from conftest import BILLS, READINGS, plan_of, rows_of
+from conftest import BILLS, READINGS, VALID_READINGS, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from voltmark import Lake, land, land_rows, run_all
@@ -58,15 +58,15 @@ def test_landing_files_records_their_paths(spark, tmp_path):
     schema = ", ".join(f"{c} string" for c in table("raw_billing").business_columns)
     read = spark.read.schema(schema).option("header", True).csv(path)
     landed = land(read, "raw_billing", F.col("_metadata.file_path"))
-    assert landed.count() == 3
+    assert landed.count() == len(BILLS)
     assert all("bills" in r.source_file for r in landed.collect())
 
 
 def test_append_adds_and_overwrite_replaces(spark, lake):
     bills = land_rows(spark, "raw_billing", BILLS, "t")
-    assert lake.append("raw_billing", bills) == 3
+    assert lake.append("raw_billing", bills) == len(BILLS)
     assert lake.append("raw_billing", bills.limit(1)) == 1
-    assert lake.read("raw_billing").count() == 4
+    assert lake.read("raw_billing").count() == len(BILLS) + 1
     assert lake.overwrite("raw_billing", bills.limit(2)) == 2
     assert lake.read("raw_billing").count() == 2
 
@@ -85,11 +85,12 @@ def test_schema_is_enforced(spark, lake):
 
 
 def test_partitions_are_written_and_pruned(spark, lake):
-    assert lake.overwrite("fact_energy_consumption", fact(spark)) == 8
-    folders = {f for f in os.listdir(lake.path("fact_energy_consumption")) if f.startswith("reading_date=")}
-    assert folders == {"reading_date=2026-06-01", "reading_date=2026-06-02"}
-    day = lake.read("fact_energy_consumption").filter(F.col("reading_date") == F.lit(date(2026, 6, 1)))
-    assert day.count() == 4
+    assert lake.overwrite("fact_energy_consumption", fact(spark)) == VALID_READINGS
+    folders = {f for f in os.listdir(lake.location("fact_energy_consumption")) if f.startswith("reading_date=")}
+    days = ("2023-10-28", "2023-10-29", "2023-10-30", "2023-11-01", "2023-11-02")
+    assert folders == {f"reading_date={d}" for d in days}
+    day = lake.read("fact_energy_consumption").filter(F.col("reading_date") == F.lit(date(2023, 10, 29)))
+    assert day.count() == 3
     plan = plan_of(day)
     assert "PartitionFilters: [isnotnull(reading_date" in plan
     assert lake.read("fact_energy_consumption").columns == table("fact_energy_consumption").columns
@@ -99,7 +100,7 @@ def test_a_partition_is_not_scattered_over_all_tasks(spark, lake):
     """Rows of a day are brought together before writing: few files, however the rows were spread."""
     many = [(f"R{i}", "d", "s", f"2026-06-0{1 + i % 5} 08:00:00", "1", "1", "1", "1", "1") for i in range(2000)]
     lake.overwrite("fact_energy_consumption", fact(spark, many).repartition(16))
-    files = [f for d, _, names in os.walk(lake.path("fact_energy_consumption")) for f in names if f.endswith(".parquet")]
+    files = [f for d, _, names in os.walk(lake.location("fact_energy_consumption")) for f in names if f.endswith(".parquet")]
     assert len(files) == 5
 
 
@@ -122,7 +123,7 @@ def test_a_hot_partition_is_split(spark, lake):
             F.expr("CASE WHEN id % 5 = 0 THEN date'2026-06-02' ELSE date'2026-06-01' END").alias("reading_date"),
         )
         assert lake.overwrite("fact_energy_consumption", many.repartition(8)) == 40000
-        hot = os.listdir(f"{lake.path('fact_energy_consumption')}/reading_date=2026-06-01")
+        hot = os.listdir(f"{lake.location('fact_energy_consumption')}/reading_date=2026-06-01")
         assert len([f for f in hot if f.endswith(".parquet")]) > 2
         assert lake.read("fact_energy_consumption").count() == 40000
     finally:
@@ -149,14 +150,14 @@ def test_create_tables(spark, lake):
         assert df.isEmpty() and df.columns == spec.columns
     lake.append("raw_billing", land_rows(spark, "raw_billing", BILLS, "t"))
     assert lake.create_tables("bronze") == []
-    assert lake.read("raw_billing").count() == 3
+    assert lake.read("raw_billing").count() == len(BILLS)
 
 
 def test_a_column_declared_later_reads_as_null(spark, lake):
     bills = land_rows(spark, "raw_billing", BILLS, "t").drop("currency")
-    bills.write.parquet(lake.path("raw_billing"))
+    bills.write.parquet(f"{lake.path('raw_billing')}/v00000001")
     assert lake.create_tables("bronze") == ["raw_site", "raw_device", "raw_meter_readings"]
-    assert rows_of(lake.read("raw_billing"), "cost_id", "currency") == [("C0001", None), ("C0002", None), ("C0003", None)]
+    assert rows_of(lake.read("raw_billing"), "cost_id", "currency") == [(b[0], None) for b in BILLS]
 
 
 def test_truncate_keeps_schemas_and_goes_on_past_missing_tables(spark, lake):
@@ -193,7 +194,7 @@ def test_required_table(spark, lake):
 
 def test_views(golden, spark):
     golden.bind("dim_site", views=True)
-    assert spark.sql("SELECT count(*) AS n FROM dim_site").first().n == 3
+    assert spark.sql("SELECT count(*) AS n FROM dim_site").first().n == 5
     assert set(golden.bind()) == {t.name for t in layer_tables("silver")}
 
 
@@ -202,7 +203,7 @@ def test_delta_options(spark, tmp_path):
         pytest.skip("needs a session with Delta")
     lake = Lake(spark, str(tmp_path), fmt="delta")
     lake.create_tables()
-    assert lake.append("raw_billing", land_rows(spark, "raw_billing", BILLS, "t")) == 3
+    assert lake.append("raw_billing", land_rows(spark, "raw_billing", BILLS, "t")) == len(BILLS)
     assert lake.truncate(["raw_billing"]) == {"raw_billing": "cleared"}
 
 
@@ -219,7 +220,52 @@ def test_run_over_empty_tables(spark, lake):
 def test_run_replaces_all_rows_when_bronze_shrinks(spark, lake):
     lake.create_tables("bronze")
     lake.append("raw_meter_readings", land_rows(spark, "raw_meter_readings", READINGS, "t"))
-    assert run_all(lake)["fact_energy_consumption"] == 8
+    assert run_all(lake)["fact_energy_consumption"] == VALID_READINGS
     lake.truncate(["raw_meter_readings"])
     assert run_all(lake)["fact_energy_consumption"] == 0
     assert lake.read("fact_energy_consumption").isEmpty()
+
+
+def test_a_failed_overwrite_leaves_the_table_as_it_was(spark, lake):
+    lake.overwrite("raw_billing", land_rows(spark, "raw_billing", BILLS, "t"))
+    before = rows_of(lake.read("raw_billing"), "cost_id")
+    broken = lake.read("raw_billing").withColumn("currency", F.expr("CAST(raise_error('no') AS string)"))
+    with pytest.raises(Exception, match="no"):
+        lake.overwrite("raw_billing", broken)
+    assert rows_of(lake.read("raw_billing"), "cost_id") == before
+    mended = lake.read("raw_billing").where("cost_id <> 'i-1'")
+    assert lake.overwrite("raw_billing", mended) == len(BILLS) - 1  # a table may be rewritten from itself
+    assert lake.read("raw_billing").count() == len(BILLS) - 1
+
+
+def test_a_reader_under_way_keeps_its_version(spark, lake):
+    lake.overwrite("raw_billing", land_rows(spark, "raw_billing", BILLS, "t"))
+    reader = lake.read("raw_billing")
+    lake.overwrite("raw_billing", land_rows(spark, "raw_billing", BILLS[:1], "t"))
+    assert reader.count() == len(BILLS) and lake.read("raw_billing").count() == 1
+    lake.overwrite("raw_billing", land_rows(spark, "raw_billing", BILLS[:2], "t"))
+    assert len([f for f in os.listdir(lake.path("raw_billing")) if f.startswith("v")]) == 2
+
+
+def test_an_unfinished_table_is_not_read_as_empty(spark, lake):
+    with pytest.raises(FileNotFoundError, match="raw_billing"):
+        lake.read("raw_billing")
+    lake.overwrite("raw_billing", land_rows(spark, "raw_billing", BILLS, "t"))
+    os.remove(f"{lake.location('raw_billing')}/_SUCCESS")
+    with pytest.raises(FileNotFoundError, match="raw_billing"):
+        lake.read("raw_billing")
+    assert lake.truncate(["raw_billing"])["raw_billing"].startswith("skipped")
+
+
+def test_truncate_goes_on_past_any_failure(spark, lake, monkeypatch):
+    lake.create_tables("bronze")
+    save = Lake._save
+
+    def failing(self, spec, rows, mode):
+        if spec.name == "raw_site":
+            raise RuntimeError("no permission")
+        save(self, spec, rows, mode)
+
+    monkeypatch.setattr(Lake, "_save", failing)
+    outcome = lake.truncate(["raw_site", "raw_billing"])
+    assert outcome == {"raw_site": "skipped: no permission", "raw_billing": "cleared"}

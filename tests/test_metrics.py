@@ -47,7 +47,7 @@ def test_only_declared_measures_and_visible_columns(golden):
     with pytest.raises(ValueError, match="no column"):
         metrics(tables, [COST], by=[("dim_site", "nope")])
     shown = metrics(tables, [COST], by=[("dim_site", "region")], allow_hidden=True)
-    assert rows_of(shown) == [("AMER", 1176.0), ("EMEA", 4812.5)]
+    assert rows_of(shown) == [("AMER", 40.0), ("EMEA", 140.0), (None, 10.0)]
 
 
 def test_report_table(golden):
@@ -69,15 +69,16 @@ def test_unreachable_can_be_refused(golden):
     with pytest.raises(ValueError, match="cannot be sliced"):
         metrics(golden.bind(), [COST], by=[DEVICE], on_unreachable="error")
     with pytest.raises(ValueError, match="cannot be sliced"):
-        metrics(golden.bind(), [COST], where={DEVICE: ["ct_sensor"]}, on_unreachable="error")
+        metrics(golden.bind(), [COST], where={DEVICE: ["gas_meter"]}, on_unreachable="error")
     with pytest.raises(ValueError):
         metrics(golden.bind(), [COST], on_unreachable="maybe")
 
 
 def test_unreachable_alone_lists_all_members(golden):
     assert rows_of(metrics(golden.bind(), [COST, "Site Count"], by=[DEVICE])) == [
-        ("ct_sensor", 5988.5, 3),
-        ("power_meter", 5988.5, 3),
+        ("gas_meter", 190.0, 5),
+        ("power_meter", 190.0, 5),
+        ("water_meter", 190.0, 5),
     ]
 
 
@@ -87,23 +88,54 @@ def test_slicers_nothing_relates(golden):
 
 
 def test_partly_reachable(golden):
-    result = rows_of(metrics(golden.bind(), [ENERGY, COST], by=[DEVICE, COUNTRY]))
-    assert [r[:2] + r[3:] for r in result] == [
-        ("ct_sensor", "USA", 1176.0),
-        ("power_meter", "France", 2682.5),
-        ("power_meter", "Spain", 2130.0),
+    """Costs repeat over the device types of a country, and a country only bills have is a row of its own."""
+    tables = golden.bind()
+    tables["fact_energy_consumption"] = tables["fact_energy_consumption"].where("site_id <> 'mesa'")
+    assert rows_of(metrics(tables, [ENERGY, COST], by=[DEVICE, COUNTRY])) == [
+        ("power_meter", "Fiji", 0.5, None),
+        ("power_meter", "Norway", 34.0, 140.0),
+        ("water_meter", "Norway", 2.0, 140.0),
+        (None, "Chile", None, 40.0),
+        (None, "Oman", 3.0, 8.0),
+        (None, None, None, 2.0),
     ]
 
 
+def test_partly_reachable_blank_member(golden):
+    tables = golden.bind()
+    rows = rows_of(metrics(tables, [ENERGY, COST], by=[DEVICE, REGION]))
+    assert ("gas_meter", "Americas", 32.0, 40.0) in rows and (None, None, 3.0, 10.0) in rows
+    assert ("power_meter", None, 5.0, 10.0) in rows  # its device is known, its site is not
+    total = sum({r[1]: r[3] for r in rows if r[3] is not None}.values())
+    assert total == 190.0
+
+
+def test_totals_repeat_over_members_of_every_sliced_table(golden):
+    """Bills reach neither slicer; types and dates without readings are rows too."""
+    tables = golden.bind()
+    tables["fact_energy_consumption"] = tables["fact_energy_consumption"].where("device_id = 'm-2'")
+    day = ("fact_energy_consumption", "reading_date")
+    rows = rows_of(metrics(tables, [ENERGY, COST], by=[DEVICE, day]), "device_type", ENERGY, COST)
+    assert rows == [("gas_meter", None, 190.0), ("power_meter", None, 190.0), ("water_meter", 2.0, 190.0)]
+
+
+def test_blank_members_can_be_asked_for(golden):
+    tables = golden.bind()
+    assert rows_of(metrics(tables, [COST, ENERGY], by=[REGION], where={REGION: [None]})) == [(None, 10.0, 8.0)]
+    assert rows_of(metrics(tables, [COST], by=[REGION], where={REGION: [None, "Americas"]})) == [("Americas", 40.0), (None, 10.0)]
+    own = tables["fact_energy_cost"].withColumn("currency", F.expr("nullif(currency, 'USD')"))
+    assert rows_of(metrics({**tables, "fact_energy_cost": own}, [COST], where={("fact_energy_cost", "currency"): [None]})) == [(40.0,)]
+
+
 def test_filters(golden):
     tables = golden.bind()
-    assert rows_of(metrics(tables, [COST], where={REGION: ["Americas"]})) == [(1176.0,)]
-    assert rows_of(metrics(tables, [COST], by=[COUNTRY], where={REGION: ["Americas"]})) == [("USA", 1176.0)]
+    assert rows_of(metrics(tables, [COST], where={REGION: ["Americas"]})) == [(40.0,)]
+    assert rows_of(metrics(tables, [COST], by=[COUNTRY], where={REGION: ["Americas"]})) == [("Chile", 40.0)]
     own = metrics(tables, [COST], where={("fact_energy_cost", "currency"): ["EUR"]})
-    assert rows_of(own) == [(4812.5,)]
+    assert rows_of(own) == [(110.0,)]
     # a filter that does not reach the bills leaves them alone
-    ((energy, cost),) = rows_of(metrics(tables, [ENERGY, COST], where={DEVICE: ["ct_sensor"]}))
-    assert (energy, cost) == (10.0, 5988.5)
+    ((energy, cost),) = rows_of(metrics(tables, [ENERGY, COST], where={DEVICE: ["gas_meter"]}))
+    assert (energy, cost) == (32.0, 190.0)
     assert rows_of(metrics(tables, [COST], by=[COUNTRY], where={REGION: ["Nowhere"]})) == []
     assert rows_of(metrics(tables, [COST, "Site Count"], where={REGION: ["Nowhere"]})) == [(None, None)]
 
@@ -128,27 +160,29 @@ def test_orphan_facts_form_a_null_group(golden, spark):
 def test_inactive_relationship(golden):
     tables = golden.bind()
     # all devices moved to one site: readings follow their device only when told to
-    tables["dim_device"] = tables["dim_device"].withColumn("site_id", F.lit("SITE003"))
+    tables["dim_device"] = tables["dim_device"].withColumn("site_id", F.lit("mesa"))
     plain = metrics(tables, [ENERGY], by=[COUNTRY])
-    assert len(rows_of(plain)) == 3
+    assert len(rows_of(plain)) == 5
     moved = metrics(
         tables, [ENERGY], by=[COUNTRY], use_relationship=[ENERGY_MODEL.relationship("dim_device", "dim_site")]
     )
-    assert rows_of(moved) == [("USA", close(250.6))]
+    assert rows_of(moved) == [("Chile", close(73.5)), (None, close(3.0))]
 
 
 def test_display_text(golden):
     shown = formatted(metrics(golden.bind(), [COST, "Cost per kWh", "Site Count"], by=[COUNTRY]))
     assert rows_of(shown) == [
-        ("France", "2,682.50", "20.307", "1"),
-        ("Spain", "2,130.00", "19.631", "1"),
-        ("USA", "1,176.00", "117.600", "1"),
+        ("Chile", "40.00", "1.250", "1"),
+        ("Fiji", None, None, "1"),
+        ("Norway", "140.00", "3.889", "2"),
+        ("Oman", "8.00", "2.667", "1"),
+        (None, "2.00", "0.400", None),
     ]
 
 
 def test_ratio_is_of_sums(golden):
     ((ratio,),) = rows_of(metrics(golden.bind(), ["Cost per kWh"]))
-    assert ratio == close(5988.5 / 250.6)
+    assert ratio == close(190 / 76.5)
 
 
 def test_facts_are_summed_before_joins_and_nothing_is_crossed(golden):

@@ -160,3 +160,14 @@ def test_a_hot_key_in_a_question_is_one_row_per_supplier(spark, skewed):
     with session_settings(spark, LARGE):
         plan = plan_of(questions.supplier_downtime_by_region(tables))
     assert re.search(r"HashAggregate\(keys=\[device_id#\d+, supplier_id#\d+\], functions=\[partial_count", plan)
+
+
+def test_a_filter_on_the_day_prunes_partitions(golden):
+    from datetime import date
+
+    from voltmark import metrics
+
+    day = {("fact_energy_consumption", "reading_date"): [date(2023, 10, 29)]}
+    result = metrics(golden.bind(), ["Total Energy (kWh)"], by=[("dim_region", "region_name")], where=day)
+    assert re.search(r"PartitionFilters: \[[^\]]*reading_date#\d+ (IN|=)", plan_of(result))
+    assert [r[1] for r in result.collect()] == [32.0]

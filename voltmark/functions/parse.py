@@ -14,8 +14,9 @@ def to_double(text: Column) -> Column:
 
 
 def to_timestamp(text: Column) -> Column:
-    """Text without an offset is read in the session time zone."""
-    return F.try_to_timestamp(text)
+    """Text without an offset is read in the session time zone. Text without a date is no timestamp:
+    Spark would put the day of the run before it, and a later run would give another value."""
+    return F.try_to_timestamp(F.regexp_extract(text, r"(?s)^\s*[+-]?\d{4,6}(-.*|\s*)$", 0))
 
 
 def to_date(text: Column) -> Column:

@@ -27,18 +27,18 @@ def conform(
     name: str,
     derive: Mapping[str, Column] | None = None,
     required: Sequence[str] = (),
-    latest: Sequence[str] | None = None,
+    latest: Sequence[str] = (),
 ) -> DataFrame:
     """``source`` as table ``name``: unique by its key, columns in table order.
 
     ``derive`` adds columns computed from the parsed ones. Rows with a null key or a null
     ``required`` column are dropped *before* deduplication, so a bad copy of a row never replaces
     a good one. Any other value that does not parse becomes null and its row stays. The survivor
-    of a key is the row with the highest ``latest`` columns, by default the last ingested one.
+    of a key is the last ingested row, where the source has ingestion times, and among those the one with
+    the highest ``latest`` columns.
     """
     spec = table(name)
-    if latest is None:
-        latest = [INGESTED_AT] if INGESTED_AT in source.columns else []
+    latest = [*([INGESTED_AT] if INGESTED_AT in source.columns else []), *latest]
     carried = [c for c in latest if c not in spec.columns]
     rows = typed(source, name, keep=carried)
     if derive:

@@ -229,6 +229,44 @@ class EntityGraph:
         names its source, or the source's own row its target. So each hop of the energy graph is
         one equi-join, and skewed keys in it are split by adaptive execution.
         """
+        carry = carry or {}
+        links, stops = self._path(path, carry)
+        walk = self._stop(0, stops[0], carry, links[0])
+        for i, link in enumerate(links, start=1):
+            walk = self._hop(walk, i, link, carry, links[i] if i < len(links) else None)
+        return walk.select(*self._output(stops, carry))
+
+    def rollup(
+        self, path: Sequence[str], measures: Mapping[str, str | None], by: Mapping[str, Sequence[str]]
+    ) -> DataFrame:
+        """Sums over the first entity of a path, by properties of the entities along it.
+
+        ``measures`` names the sums: a numeric column of the first entity's table, or None for the number of its rows.
+        Every link must lead from many to one and be stored with its source. Rows whose link ends nowhere
+        are counted under nulls, so the groups add up to all rows.
+
+        The first table is summed per outgoing key (and own property) before any hop, so it is shuffled
+        once as partial sums, and hops carry one row per key however many rows a key has.
+        """
+        links, stops = self._path(path, by)
+        for link in links:
+            if not self._stored_with(link, self.spec.entity(link.source), link.source_column):
+                raise ValueError(f"{link.name} does not lead from many to one")
+        first = self.spec.entity(links[0].source)
+        grain = dict.fromkeys([links[0].target_column, *by.get(first.name, ())])
+        sums = [(F.sum(c) if c else F.count(F.lit(1))).alias(f"sum|{name}") for name, c in measures.items()]
+        walk = self._table(first.table).groupBy(*[F.col(c).alias(f"0|{c}") for c in grain]).agg(*sums)
+        for i, link in enumerate(links, start=1):
+            walk = self._hop(walk, i, link, by, links[i] if i < len(links) else None, how="left")
+        groups, taken = [], set()
+        for i, name in enumerate(stops):
+            for c in by.get(name, ()):
+                groups.append(F.col(f"`{i}|{c}`").alias(f"{c}_{i}" if c in taken else c))
+                taken.add(c)
+        return walk.groupBy(*groups).agg(*[F.sum(f"`sum|{name}`").alias(name) for name in measures])
+
+    def _path(self, path: Sequence[str], named: Mapping[str, Sequence[str]]) -> tuple[list[Link], list[str]]:
+        """The links of a path and the entities along it."""
         if not path:
             raise ValueError("a traversal needs at least one link")
         links = [self.spec.link(name) for name in path]
@@ -237,16 +275,11 @@ class EntityGraph:
                 raise ValueError(
                     f"{previous.name} ends at {previous.target}, {following.name} starts at {following.source}"
                 )
-        carry = carry or {}
         stops = [links[0].source, *[link.target for link in links]]
-        unknown = [name for name in carry if name not in stops]
+        unknown = [name for name in named if name not in stops]
         if unknown:
             raise ValueError(f"{unknown} are not on the path {stops}")
-
-        walk = self._stop(0, stops[0], carry, links[0])
-        for i, link in enumerate(links, start=1):
-            walk = self._hop(walk, i, link, carry, links[i] if i < len(links) else None)
-        return walk.select(*self._output(stops, carry))
+        return links, stops
 
     # Columns on the way are named "{step}|{property}".
 
@@ -264,7 +297,7 @@ class EntityGraph:
         """Whether the link's table is the entity's own and ``column`` is its key there."""
         return link.table == e.table and column == e.key
 
-    def _hop(self, walk: DataFrame, i: int, link: Link, carry, onward: Link | None) -> DataFrame:
+    def _hop(self, walk: DataFrame, i: int, link: Link, carry, onward: Link | None, how: str = "inner") -> DataFrame:
         source, target = self.spec.entity(link.source), self.spec.entity(link.target)
         here, there = f"{i - 1}|{source.key}", f"{i}|{target.key}"
         if self._stored_with(link, target, link.target_column):
@@ -272,7 +305,7 @@ class EntityGraph:
             return _equi(walk, here, stop, f"{i}|{link.source_column}")
         stop = self._stop(i, target.name, carry, onward)
         if self._stored_with(link, source, link.source_column):
-            return _equi(walk, f"{i - 1}|{link.target_column}", stop, there)
+            return _equi(walk, f"{i - 1}|{link.target_column}", stop, there, how)
         edges = self.edges(link.name)
         return _equi(_equi(walk, here, edges, "src"), "dst", stop, there).drop("src", "dst")
 
@@ -310,5 +343,5 @@ def _union(frames) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), frames)
 
 
-def _equi(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
-    return left.join(right, F.col(f"`{left_key}`") == F.col(f"`{right_key}`"))
+def _equi(left: DataFrame, left_key: str, right: DataFrame, right_key: str, how: str = "inner") -> DataFrame:
+    return left.join(right, F.col(f"`{left_key}`") == F.col(f"`{right_key}`"), how)

@@ -20,7 +20,6 @@ class ModelTable:
     """A table of the model. Hidden columns serve joins and measures but not reports."""
 
     name: str
-    key: str | None = None
     hidden: frozenset[str] = frozenset()
     categories: Mapping[str, str] | None = None
 
@@ -107,18 +106,17 @@ def _by_name(items):
 ENERGY_MODEL = StarModel(
     tables=_by_name(
         [
-            ModelTable("dim_region", "region_id", frozenset({"region_id"})),
+            ModelTable("dim_region", frozenset({"region_id"})),
             ModelTable(
                 "dim_site",
-                "site_id",
                 frozenset(
                     {"site_id", "region_id", "region", "total_energy_kwh", "total_energy_cost", "total_co2_kg"}
                 ),
                 {"latitude": "Latitude", "longitude": "Longitude", "country": "Country"},
             ),
-            ModelTable("dim_device", "device_id", frozenset({"device_id", "site_id"})),
-            ModelTable("fact_energy_consumption", None, frozenset({"reading_id", "device_id", "site_id"})),
-            ModelTable("fact_energy_cost", None, frozenset({"cost_id", "site_id"})),
+            ModelTable("dim_device", frozenset({"device_id", "site_id"})),
+            ModelTable("fact_energy_consumption", frozenset({"reading_id", "device_id", "site_id"})),
+            ModelTable("fact_energy_cost", frozenset({"cost_id", "site_id"})),
         ]
     ),
     relationships=(
@@ -182,10 +180,13 @@ def metrics(
 
     A column of a table that a measure's own table does not lead to cannot slice or filter the
     measure: its value repeats over that column (``on_unreachable="error"`` refuses instead). Rows
-    that refer to no dimension member form a group of nulls. Groups where every measure is null
-    are left out. Rows are the groups of the measures that reach all slicers; when a measure does
-    not and one table is sliced, all members of this table are rows as well. Slicers on several
-    tables need one measure that reaches them all.
+    that refer to no dimension member form a group of nulls, which ``where`` asks for with None. Groups
+    where every measure is null are left out.
+
+    Rows are the groups of the measures that reach all slicers. A measure that reaches some repeats over
+    the groups that share them, and a group only it has is a row with nulls for the others. With a measure that
+    reaches none, and so repeats its total, members of each sliced table that no row has are rows too, again with
+    nulls for the others. Slicers on several tables need one measure that reaches them all.
 
     Each fact is first summed per foreign key, so joins carry one row per key instead of one per
     fact row and a key with a third of the rows is one row too. Facts meet in unions and one last
@@ -218,20 +219,27 @@ def metrics(
     def branch(owners):
         return _branch(tables, model, owners, base, reach[owners[0]], where, names, use_relationship)
 
-    parts = [branch(owners) for owners in whole]
-    if partial and len(sliced) == 1:
-        parts.append(_members(tables, model, sliced[0], by, where, names, use_relationship))
-    if not parts:
-        raise ValueError(f"no measure asked for relates {' and '.join(sliced)}; add one that does")
-    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-    sums = [c for owners in whole for c in _partials(measured(owners))]
-    if sums:
+    def members(owner):
+        own = [ref for ref in by if ref[0] == owner]
+        return _members(tables, model, owner, own, where, names, use_relationship)
+
+    if whole:
+        rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), map(branch, whole))
+        sums = [c for owners in whole for c in _partials(measured(owners))]
         groups = rows.groupBy(*keys).agg(*[F.sum(f"`{c}`").alias(c) for c in sums])
+    elif len(sliced) == 1:
+        groups = members(sliced[0])
     else:
-        groups = rows.distinct()
-    for owners in partial:
+        raise ValueError(f"no measure asked for relates {' and '.join(sliced)}; add one that does")
+    some = [owners for owners in partial if reach[owners[0]]]
+    none = [owners for owners in partial if not reach[owners[0]]]
+    for owners in some:
         reached = [names[ref] for ref in reach[owners[0]]]
         groups = _attach(groups, branch(owners), _partials(measured(owners)), reached)
+    for owner in sliced if none and whole else ():
+        groups = _with_members(groups, members(owner))
+    for owners in none:
+        groups = _attach(groups, branch(owners), _partials(measured(owners)), [])
 
     result = groups.select(*keys, *[_value(model, name).alias(name) for name in measures])
     if not by:
@@ -307,7 +315,9 @@ def _value(model: StarModel, name: str) -> Column:
 
 
 def _matches(column: Column, values: Sequence) -> Column:
-    return column.isin(list(values))
+    """Whether the column has one of the values; None among them asks for nulls."""
+    present = [v for v in values if v is not None]
+    return column.isin(present) | column.isNull() if len(present) < len(values) else column.isin(present)
 
 
 def _filters(model, home, where, use) -> dict[ColumnRef, Sequence]:
@@ -381,23 +391,33 @@ def _join_dimensions(rows, tables, home, paths, refs, names) -> DataFrame:
     return rows
 
 
-def _members(tables, model, owner, by, where, names, use) -> DataFrame:
-    """The slicer values of a dimension table itself, filtered as a measure on it would be."""
+def _members(tables, model, owner, own, where, names, use) -> DataFrame:
+    """The distinct slicer values of a table itself, filtered as a measure on it would be."""
     counted = [Measure("", owner, "count")]
-    return _branch(tables, model, [owner], counted, list(by), where, names, use).select(*[names[ref] for ref in by])
+    rows = _branch(tables, model, [owner], counted, own, where, names, use)
+    return rows.select(*[f"`{names[ref]}`" for ref in own]).distinct()
+
+
+def _with_members(groups: DataFrame, members: DataFrame) -> DataFrame:
+    """``groups`` and a row for each member that none of them has."""
+    renamed = members.toDF(*[f"{c}!" for c in members.columns])
+    taken = groups.select(*[f"`{c}`" for c in members.columns]).distinct()
+    same = reduce(lambda a, b: a & b, [taken[c].eqNullSafe(renamed[f"{c}!"]) for c in members.columns])
+    return groups.unionByName(renamed.join(taken, same, "left_anti").toDF(*members.columns), allowMissingColumns=True)
 
 
 def _attach(groups: DataFrame, branch: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
     """Add the values of a measure that reaches only ``keys`` of the slicers."""
     sums = [F.sum(f"`{c}`").alias(c) for c in columns]
+    kept = [F.col(f"`{c}`") for c in groups.columns]
     if not keys:
         # One row whatever the data, fetched once as a scalar subquery.
         total = branch.agg(*sums).select(F.struct(*[F.col(f"`{c}`") for c in columns])).scalar()
-        kept = [F.col(f"`{c}`") for c in groups.columns]
         held = groups.withColumn("|total", total)
         return held.select(*kept, *[F.col("`|total`").getField(c).alias(c) for c in columns])
     values = branch.groupBy(*keys).agg(*sums).select(
         *[F.col(k).alias(f"{k}!") for k in keys], *[F.col(f"`{c}`") for c in columns]
     )
     same = reduce(lambda a, b: a & b, [groups[k].eqNullSafe(values[f"{k}!"]) for k in keys])
-    return groups.join(values, same, "left").drop(*[f"{k}!" for k in keys])
+    found = [F.coalesce(f"`{c}`", f"`{c}!`").alias(c) if c in keys else F.col(f"`{c}`") for c in groups.columns]
+    return groups.join(values, same, "full_outer").select(*found, *[F.col(f"`{c}`") for c in columns])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,29 +50,18 @@ def rounded(df: DataFrame, digits: int) -> DataFrame:
 def supplier_downtime_by_region(tables: Tables) -> DataFrame:
     """Maintenance events, downtime and cost per region and supplier.
 
-    The walk is Region, Site, Device, MaintenanceEvent, Supplier. Events are summed per device and
-    supplier before they meet the devices, so a device or supplier with most of the events does
-    not weigh on any join.
+    Events of unknown devices, sites or regions stand under a null region, those without a supplier under a null
+    one, so the rows add up to all events. Events are summed per device and supplier before they meet the
+    devices, so a device or supplier with most of the events does not weigh on any join.
     """
     graph = EntityGraph(tables)
-    events = (
-        graph.entity("MaintenanceEvent")
-        .groupBy("device_id", "supplier_id")
-        .agg(
-            F.count(F.lit(1)).alias("events"),
-            F.sum("downtime_hours").alias("downtime_hours"),
-            F.sum("cost").alias("cost"),
-        )
+    per_region = graph.rollup(
+        ["^hasMaintenance", "^hasDevice", "locatedIn"],
+        measures={"events": None, "downtime_hours": "downtime_hours", "cost": "cost"},
+        by={"MaintenanceEvent": ["supplier_id"], "Region": ["region_name"]},
     )
-    devices = graph.traverse(["^locatedIn", "hasDevice"], carry={"Region": ["region_name"]})
     suppliers = graph.entity("Supplier").select("supplier_id", "supplier_name")
-    sums = [F.sum(c).alias(c) for c in ("events", "downtime_hours", "cost")]
-    per_region = (
-        events.join(devices.select("device_id", "region_name"), "device_id")
-        .groupBy("region_name", "supplier_id")
-        .agg(*sums)
-    )
-    named = per_region.join(suppliers, "supplier_id")
+    named = per_region.join(suppliers, "supplier_id", "left")
     return named.select("region_name", "supplier_id", "supplier_name", "events", "downtime_hours", "cost")
 
 
@@ -79,24 +69,23 @@ def energy_and_maintenance_by_region(tables: Tables) -> DataFrame:
     """Metered energy, emissions, downtime and maintenance cost side by side per region.
 
     Readings, bills and events hang off the same sites and devices. Each is summed on its own and
-    only the sums meet, since joined row by row they would multiply each other.
+    only the sums meet, since joined row by row they would multiply each other. What belongs to no known
+    region stands under a null one, so the rows add up to all facts.
     """
     graph = EntityGraph(tables)
-    site_region = graph.traverse(["locatedIn"], carry={"Region": ["region_name"]}).select("site_id", "region_name")
-    device_site = graph.entity("Device").select("device_id", "site_id")
-    energy = tables["fact_energy_consumption"].groupBy("device_id").agg(F.sum("energy_kwh").alias("energy_kwh"))
-    upkeep = (
-        graph.entity("MaintenanceEvent")
-        .groupBy("device_id")
-        .agg(F.sum("downtime_hours").alias("downtime_hours"), F.sum("cost").alias("maintenance_cost"))
-    )
-    billed = tables["fact_energy_cost"].groupBy("site_id").agg(F.sum("co2_emissions_kg").alias("co2_kg"))
-    per_device = energy.unionByName(upkeep, allowMissingColumns=True)
-    per_site = per_device.join(device_site, "device_id").drop("device_id").unionByName(billed, allowMissingColumns=True)
+    region = {"Region": ["region_name"]}
+    parts = [
+        graph.rollup(["^produces", "^hasDevice", "locatedIn"], {"energy_kwh": "energy_kwh"}, region),
+        graph.rollup(["^billedFor", "locatedIn"], {"co2_kg": "co2_emissions_kg"}, region),
+        graph.rollup(
+            ["^hasMaintenance", "^hasDevice", "locatedIn"],
+            {"downtime_hours": "downtime_hours", "maintenance_cost": "cost"},
+            region,
+        ),
+    ]
+    rows = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
     measures = ["energy_kwh", "co2_kg", "downtime_hours", "maintenance_cost"]
-    return (
-        per_site.join(site_region, "site_id").groupBy("region_name").agg(*[F.sum(m).alias(m) for m in measures])
-    )
+    return rows.groupBy("region_name").agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def snapshot_drift(tables: Tables) -> DataFrame:

@@ -74,10 +74,11 @@ def dim_site(raw_site: DataFrame, consumption: DataFrame, cost: DataFrame) -> Da
 
 
 def dim_supplier(suppliers: DataFrame) -> DataFrame:
-    """Suppliers from the maintenance source."""
+    """Suppliers from the maintenance source; the last ingested record survives, or else the latest contract."""
     return conform(suppliers, "dim_supplier", latest=["contract_since"])
 
 
 def maintenance_event(events: DataFrame) -> DataFrame:
-    """Events from the maintenance source; the latest dated record of an event id survives."""
+    """Events from the maintenance source; the last ingested record of an event id survives,
+    or else the latest dated one."""
     return conform(events, "maintenance_event", latest=["event_date"])

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +15,10 @@ class Lake:
     """Reads and writes the registered tables under ``root``, any Hadoop path.
 
     ``fmt`` is ``"parquet"`` or ``"delta"``; Delta needs its package on the session.
-    A Parquet overwrite is not atomic: run it again if it is interrupted. Delta's is.
+
+    A Parquet table is a folder of numbered versions. An overwrite writes the next one beside the others; it counts
+    from the moment Spark marks it as complete, so a failed or interrupted overwrite leaves the table as it was. The
+    version before stays until the next overwrite, for readers that are under way. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -29,16 +32,28 @@ class Lake:
         return f"{self.root}/{table(name).layer}/{name}"
 
     def exists(self, name: str) -> bool:
-        fs, path = self._filesystem(name)
+        """Whether the table can be read."""
+        if self.fmt == "parquet":
+            return bool(self._versions(name, complete=True))
+        fs, path = self._filesystem(self.path(name))
         return fs.exists(path)
 
+    def location(self, name: str) -> str:
+        """The folder whose files are the table's rows now; an error if no complete version exists."""
+        if self.fmt != "parquet":
+            return self.path(name)
+        complete = self._versions(name, complete=True)
+        if not complete:
+            raise FileNotFoundError(f"no complete table {name} at {self.path(name)}")
+        return f"{self.path(name)}/{complete[-1]}"
+
     def read(self, name: str) -> DataFrame:
         """A lazy scan. With the table's own schema for Parquet, so that empty tables read and
         columns declared after a file was written come back as null."""
         reader = self.spark.read.format(self.fmt)
         if self.fmt == "parquet":
             reader = reader.schema(table(name).schema)
-        return reader.load(self.path(name))
+        return reader.load(self.location(name))
 
     def read_required(self, name: str) -> DataFrame:
         """As :meth:`read`, but an error when the table has no rows yet."""
@@ -76,10 +91,35 @@ class Lake:
             rows = rows.hint("rebalance", *[F.col(c) for c in spec.partition_by])
         # Counted while writing; a count() afterwards would run the whole plan again.
         seen = Observation()
-        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        self._writer(spec, rows, mode).save(self.path(spec.name))
+        self._save(spec, rows.observe(seen, F.count(F.lit(1)).alias("rows")), mode)
         return seen.get["rows"]
 
+    def _save(self, spec: Table, rows: DataFrame, mode: str) -> None:
+        if self.fmt != "parquet":
+            self._writer(spec, rows, mode).save(self.path(spec.name))
+            return
+        before = self._versions(spec.name, complete=True)
+        if mode == "append" and before:
+            self._writer(spec, rows, "append").save(f"{self.path(spec.name)}/{before[-1]}")
+            return
+        taken = self._versions(spec.name, complete=False)
+        new = f"v{int(taken[-1][1:]) + 1 if taken else 1:08}"
+        self._writer(spec, rows, "errorifexists").save(f"{self.path(spec.name)}/{new}")
+        for version in set(taken) - set(before[-1:]):
+            fs, path = self._filesystem(f"{self.path(spec.name)}/{version}")
+            fs.delete(path, True)
+
+    def _versions(self, name: str, complete: bool) -> list[str]:
+        """Version folders of a Parquet table in order; with ``complete`` those that Spark has marked as written."""
+        fs, path = self._filesystem(self.path(name))
+        if not fs.exists(path):
+            return []
+        found = sorted(x.getPath().getName() for x in fs.listStatus(path) if re.fullmatch(r"v\d{8,}", x.getPath().getName()))
+        if not complete:
+            return found
+        marks = {v: self._filesystem(f"{self.path(name)}/{v}/_SUCCESS")[1] for v in found}
+        return [v for v in found if fs.exists(marks[v])]
+
     def _writer(self, spec: Table, df: DataFrame, mode: str) -> DataFrameWriter:
         writer = df.write.format(self.fmt).mode(mode)
         if mode == "overwrite":
@@ -103,17 +143,17 @@ class Lake:
         for spec in self._tables_of(layers):
             if self.fmt == "parquet" and self.exists(spec.name):
                 continue
-            writer = self._writer(spec, self._empty(spec), "append")
             if self.fmt == "delta":
-                writer = writer.option("mergeSchema", "true")
-            writer.save(self.path(spec.name))
+                self._writer(spec, self._empty(spec), "append").option("mergeSchema", "true").save(self.path(spec.name))
+            else:
+                self._save(spec, self._empty(spec), "append")
             created.append(spec.name)
         return created
 
     def truncate(self, tables: Iterable[str] | None = None) -> dict[str, str]:
         """Delete every row of the tables (default: all) and keep their schemas.
 
-        Goes on past tables that are missing or fail; returns ``"cleared"`` or why not, by table.
+        Goes on past tables that are missing or fail, whatever the failure; returns ``"cleared"`` or why not, by table.
         """
         outcome = {}
         for name in tables if tables is not None else TABLES:
@@ -125,9 +165,9 @@ class Lake:
                 if self.fmt == "delta":
                     self.spark.sql(f"DELETE FROM delta.`{self.path(name)}`")
                 else:
-                    self._writer(spec, self._empty(spec), "overwrite").save(self.path(name))
+                    self._save(spec, self._empty(spec), "overwrite")
                 outcome[name] = "cleared"
-            except AnalysisException as error:
+            except Exception as error:  # storage and permission errors come in many types
                 outcome[name] = f"skipped: {error}"
         return outcome
 
@@ -140,7 +180,7 @@ class Lake:
             raise ValueError("reset removes tables for good; pass confirm=True")
         removed = []
         for spec in self._tables_of(layers):
-            fs, path = self._filesystem(spec.name)
+            fs, path = self._filesystem(self.path(spec.name))
             if fs.exists(path) and fs.delete(path, True):
                 removed.append(spec.name)
         return removed
@@ -153,8 +193,8 @@ class Lake:
     def _empty(self, spec: Table) -> DataFrame:
         return self.spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in spec.schema])
 
-    def _filesystem(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+    def _filesystem(self, folder: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
 

@@ -13,22 +13,31 @@ EXTRACTS = {
                CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'unknown'
                     ELSE (n_nationkey * 2.5::double)::varchar END AS latitude,
                (n_nationkey * -7.25::double)::varchar AS longitude,
-               c_mktsegment AS site_type, c_acctbal::varchar AS contracted_power_kw,
+               CASE WHEN again THEN lower(c_mktsegment) ELSE c_mktsegment END AS site_type, c_acctbal::varchar AS contracted_power_kw,
                '2020-' || lpad((1 + n_nationkey % 12)::varchar, 2, '0') || '-' || (31 - n_nationkey % 3)::varchar
-                   AS commissioned_date
-        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+                   AS commissioned_date, ingested_at
+        FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+             CROSS JOIN (VALUES (TIMESTAMP '2024-02-01 00:00:00', false), (TIMESTAMP '2024-02-03 00:00:00', true))
+                        d(ingested_at, again)
+        WHERE NOT again OR c_nationkey % 5 = 0""",
     "raw_device": """
         SELECT CASE WHEN p_size > 2 THEN p_partkey::varchar END AS device_id,
-               (p_partkey // 4)::varchar AS site_id, p_type AS device_type, p_brand AS model,
+               (p_partkey // 4)::varchar AS site_id, p_type AS device_type,
+               CASE WHEN again THEN 'A-' ELSE '' END || p_brand AS model,
                CASE WHEN p_type = 'SMALL' THEN 'A' ELSE 'kWh' END AS measurement_unit,
                'feeder-' || p_size::varchar AS install_location,
                CASE WHEN p_size < 10 THEN 'true' WHEN p_size < 20 THEN 'TRUE' WHEN p_size < 30 THEN 'False'
-                    WHEN p_size < 40 THEN ' true ' WHEN p_size < 45 THEN 'yes' END AS is_active
-        FROM part""",
+                    WHEN p_size < 40 THEN ' true ' WHEN p_size < 45 THEN 'yes' END AS is_active, ingested_at
+        FROM part, (VALUES (TIMESTAMP '2024-02-01 00:00:00', false), (TIMESTAMP '2024-02-03 00:00:00', true))
+                   d(ingested_at, again)
+        WHERE NOT again OR p_size % 7 = 0""",
     "raw_meter_readings": """
         SELECT CASE WHEN event_type = 'signup' AND value > 60 THEN NULL ELSE event_id::varchar END AS reading_id,
-               user_id::varchar AS device_id, (user_id // 4)::varchar AS site_id,
-               CASE WHEN event_type = damaged AND value < 5 THEN 'x' ELSE ts::varchar END AS "timestamp",
+               user_id::varchar AS device_id,
+               CASE WHEN event_type = 'view' AND value < 2 THEN NULL ELSE (user_id // 4)::varchar END AS site_id,
+               CASE WHEN event_type = damaged AND value < 5 THEN 'x'
+                    WHEN event_type = 'purchase' AND value < 3 THEN '08:00:00'
+                    WHEN event_type = 'purchase' AND value < 4 THEN 'T08:00' ELSE ts::varchar END AS "timestamp",
                CASE WHEN event_type = 'signup' AND value < 5 THEN 'n/a'
                     ELSE (round(value * 100) * 0.5::double)::varchar END AS active_power_kw,
                CASE WHEN event_type = 'view' AND value > 60 THEN 'abc'
@@ -44,34 +53,42 @@ EXTRACTS = {
     "raw_billing": """
         SELECT CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice < 10000 THEN NULL
                     ELSE o_orderkey::varchar END AS cost_id,
-               o_custkey::varchar AS site_id, strftime(o_orderdate, '%Y-%m') AS billing_period,
+               CASE WHEN o_orderpriority = '3-MEDIUM' AND o_totalprice < 5000 THEN NULL
+                    ELSE o_custkey::varchar END AS site_id,
+               strftime(o_orderdate, '%Y-%m') AS billing_period,
                CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice < 20000 THEN ''
                     ELSE (round(o_totalprice * 100) * 0.125::double)::varchar END AS energy_consumed_kwh,
                (round(o_totalprice * 100)::bigint % 1000 * 0.5::double)::varchar AS peak_demand_kw,
                '0.125' AS tariff_rate,
-               (round(o_totalprice * 100) * 0.25::double)::varchar AS energy_cost,
+               (round(o_totalprice * 100) * 0.25::double + extra)::varchar AS energy_cost,
                (round(o_totalprice * 100) * 0.0625::double)::varchar AS co2_emissions_kg,
-               CASE WHEN o_orderstatus = 'F' THEN 'EUR' ELSE 'USD' END AS currency
-        FROM orders""",
+               CASE WHEN o_orderstatus = 'F' THEN 'EUR' ELSE 'USD' END AS currency, ingested_at
+        FROM orders, (VALUES (0, TIMESTAMP '2024-02-01 00:00:00'), (3, TIMESTAMP '2024-02-04 00:00:00'))
+                     d(extra, ingested_at)
+        WHERE extra = 0 OR o_orderkey % 10 = 0""",
     "supplier_source": """
         SELECT s_suppkey::varchar AS supplier_id, s_name AS supplier_name,
                CASE WHEN s_acctbal < 1000 THEN 'Distributor' WHEN s_acctbal < 6000 THEN 'Service Partner'
                     ELSE 'OEM' END AS supplier_type,
                n_name AS country,
-               '2021-' || lpad((1 + n_nationkey % 12)::varchar, 2, '0') || '-' || (31 - n_nationkey % 3)::varchar
-                   AS contract_since
-        FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+               contract_year || '-' || lpad((1 + n_nationkey % 12)::varchar, 2, '0') || '-' || (31 - n_nationkey % 3)::varchar
+                   AS contract_since, ingested_at
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey
+             CROSS JOIN (VALUES ('2021', TIMESTAMP '2024-02-01 00:00:00'), ('2020', TIMESTAMP '2024-02-05 00:00:00'))
+                        d(contract_year, ingested_at)
+        WHERE contract_year = '2021' OR s_suppkey % 3 = 0""",
     "maintenance_source": """
         SELECT l_orderkey::varchar || '-' || l_linenumber::varchar AS event_id,
                l_partkey::varchar AS device_id, (l_partkey // 4)::varchar AS site_id,
                CASE WHEN l_discount > 0 THEN l_suppkey::varchar END AS supplier_id,
-               l_shipdate AS event_date,
+               l_shipdate - to_days(back) AS event_date,
                CASE l_returnflag WHEN 'R' THEN 'repair' WHEN 'A' THEN 'inspection' ELSE 'replacement' END AS event_type,
                l_quantity * 0.5::double AS downtime_hours,
                round(l_extendedprice * 100) * 0.25::double AS cost,
                CASE WHEN l_linestatus = 'O' THEN 'EUR' ELSE 'USD' END AS currency,
-               'order ' || l_orderkey::varchar || ' line ' || l_linenumber::varchar AS description
-        FROM lineitem""",
+               'order ' || l_orderkey::varchar || ' line ' || l_linenumber::varchar AS description, ingested_at
+        FROM lineitem, (VALUES (0, TIMESTAMP '2024-02-01 00:00:00'), (30, TIMESTAMP '2024-02-05 00:00:00')) d(back, ingested_at)
+        WHERE back = 0 OR l_partkey % 9 = 0""",
 }
 
 _D = "try_cast({0} AS double) AS {0}".format
@@ -109,6 +126,15 @@ def _consumption(where: str = "") -> str:
     )
 
 
+_LAST_SITES = _first(
+    "*",
+    "SELECT * FROM raw_site WHERE site_id IS NOT NULL",
+    "site_id",
+    "ingested_at",
+    "site_name country region latitude longitude site_type contracted_power_kw commissioned_date",
+)
+
+
 def _sites(consumption: str) -> str:
     return f"""
         SELECT s.site_id, site_name, country, region, md5(region) AS region_id,
@@ -117,12 +143,11 @@ def _sites(consumption: str) -> str:
                try_cast(commissioned_date AS date) AS commissioned_date,
                coalesce(e.kwh, 0) AS total_energy_kwh, coalesce(c.cost, 0) AS total_energy_cost,
                coalesce(c.co2, 0) AS total_co2_kg
-        FROM raw_site s
+        FROM ({_LAST_SITES}) s
         LEFT JOIN (SELECT site_id, sum(energy_kwh) AS kwh FROM {consumption} GROUP BY site_id) e
                ON e.site_id = s.site_id
         LEFT JOIN (SELECT site_id, sum(energy_cost) AS cost, sum(co2_emissions_kg) AS co2
-                   FROM fact_energy_cost GROUP BY site_id) c ON c.site_id = s.site_id
-        WHERE s.site_id IS NOT NULL"""
+                   FROM fact_energy_cost GROUP BY site_id) c ON c.site_id = s.site_id"""
 
 
 SILVER = {
@@ -131,24 +156,35 @@ SILVER = {
                CASE region WHEN 'EMEA' THEN 'Europe, Middle East & Africa' WHEN 'AMER' THEN 'Americas'
                            WHEN 'APAC' THEN 'Asia-Pacific' ELSE region END AS region_name
         FROM raw_site WHERE region IS NOT NULL""",
-    "dim_device": """
-        SELECT device_id, site_id, device_type, model, measurement_unit, install_location,
-               lower(is_active) = 'true' AS is_active
-        FROM raw_device WHERE device_id IS NOT NULL""",
+    "dim_device": _first(
+        "device_id, site_id, device_type, model, measurement_unit, install_location, lower(is_active) = 'true' AS is_active",
+        "SELECT * FROM raw_device WHERE device_id IS NOT NULL",
+        "device_id",
+        "ingested_at",
+        "site_id device_type model measurement_unit install_location is_active",
+    ),
     "fact_energy_consumption": _consumption(),
-    "fact_energy_cost": f"""
-        SELECT cost_id, site_id, billing_period, {_D('energy_consumed_kwh')}, {_D('peak_demand_kw')},
-               {_D('tariff_rate')}, {_D('energy_cost')}, {_D('co2_emissions_kg')}, currency
-        FROM raw_billing WHERE cost_id IS NOT NULL""",
+    "fact_energy_cost": _first(
+        f"cost_id, site_id, billing_period, {_D('energy_consumed_kwh')}, {_D('peak_demand_kw')}, "
+        f"{_D('tariff_rate')}, {_D('energy_cost')}, {_D('co2_emissions_kg')}, currency",
+        "SELECT * FROM raw_billing WHERE cost_id IS NOT NULL",
+        "cost_id",
+        "ingested_at",
+        "site_id billing_period energy_consumed_kwh peak_demand_kw tariff_rate energy_cost co2_emissions_kg currency",
+    ),
     "dim_site": _sites("fact_energy_consumption"),
-    "dim_supplier": """
-        SELECT supplier_id, supplier_name, supplier_type, country, try_cast(contract_since AS date) AS contract_since
-        FROM supplier_source""",
+    "dim_supplier": _first(
+        "supplier_id, supplier_name, supplier_type, country, try_cast(contract_since AS date) AS contract_since",
+        "SELECT * FROM supplier_source WHERE supplier_id IS NOT NULL",
+        "supplier_id",
+        "ingested_at DESC NULLS LAST, try_cast(contract_since AS date)",
+        "supplier_name supplier_type country",
+    ),
     "maintenance_event": _first(
         "event_id, device_id, site_id, supplier_id, event_date, event_type, downtime_hours, cost, currency, description",
-        "maintenance_source",
+        "SELECT * FROM maintenance_source WHERE event_id IS NOT NULL",
         "event_id",
-        "event_date",
+        "ingested_at DESC NULLS LAST, event_date",
         "device_id site_id supplier_id event_type downtime_hours cost currency description",
     ),
 }
@@ -266,6 +302,26 @@ _PROPERTIES = {
                                     FROM maintenance_event""",
 }
 
+# Every device with the region it stands in, if any.
+_DEVICE_REGION = """SELECT d.device_id, region_name FROM dim_device d
+                    LEFT JOIN dim_site s ON s.site_id = d.site_id LEFT JOIN dim_region USING (region_id)"""
+
+# Energy reaches both slicers; CO2 and site count only the second, over whose groups they repeat. A member
+# that only they have is a row without a device type.
+_PARTLY = """
+    SELECT g.device_type, g.{column}, e.total_energy, c.total_co2, s.site_count
+    FROM (SELECT DISTINCT device_type, {column} FROM energy_star
+          UNION ALL
+          SELECT NULL, {column} FROM (SELECT {column} FROM cost_star UNION SELECT {column} FROM site_star) m
+          WHERE NOT EXISTS (SELECT 1 FROM energy_star x WHERE x.{column} IS NOT DISTINCT FROM m.{column})) g
+    LEFT JOIN (SELECT device_type, {column}, sum(energy_kwh) AS total_energy FROM energy_star GROUP BY ALL) e
+           ON e.device_type IS NOT DISTINCT FROM g.device_type AND e.{column} IS NOT DISTINCT FROM g.{column}
+    LEFT JOIN (SELECT {column}, sum(co2_emissions_kg) AS total_co2 FROM cost_star GROUP BY ALL) c
+           ON c.{column} IS NOT DISTINCT FROM g.{column}
+    LEFT JOIN (SELECT {column}, count(*) AS site_count FROM site_star GROUP BY ALL) s
+           ON s.{column} IS NOT DISTINCT FROM g.{column}
+    WHERE total_energy IS NOT NULL OR total_co2 IS NOT NULL OR site_count IS NOT NULL"""
+
 _EVENT_WALK = """
     FROM dim_site s JOIN dim_device d ON d.site_id = s.site_id
          JOIN maintenance_event m ON m.device_id = d.device_id JOIN dim_supplier p ON p.supplier_id = m.supplier_id"""
@@ -285,7 +341,7 @@ ORACLES = {
     "kpi_co2_by_region_and_currency": _sql(_kpi(", currency")),
     "safe_casts": _sql(f"""
         SELECT reading_id, device_id, site_id, strftime("timestamp", '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
-               active_power_kw, energy_kwh, power_factor, {_time('ingested_at')}
+               active_power_kw, energy_kwh, voltage_v, current_a, power_factor, {_time('ingested_at')}
         FROM ({_READINGS})"""),
     "site_casts": _sql(f"""
         SELECT site_id, site_name, country, region, {_D('latitude')}, {_D('longitude')}, site_type,
@@ -342,14 +398,18 @@ ORACLES = {
         **_STAR,
     ),
     "metric_partly_reachable": _sql(
-        """SELECT e.device_type, e.region_name, e.total_energy, c.total_co2, s.site_count
-           FROM (SELECT device_type, region_name, sum(energy_kwh) AS total_energy FROM energy_star
-                 GROUP BY device_type, region_name) e
-           LEFT JOIN (SELECT region_name, sum(co2_emissions_kg) AS total_co2 FROM cost_star GROUP BY region_name) c
-                  ON e.region_name IS NOT DISTINCT FROM c.region_name
-           LEFT JOIN (SELECT region_name, count(*) AS site_count FROM site_star GROUP BY region_name) s
-                  ON e.region_name IS NOT DISTINCT FROM s.region_name
-           WHERE total_energy IS NOT NULL OR total_co2 IS NOT NULL OR site_count IS NOT NULL""",
+        _PARTLY.format(column="region_name"),
+        **_STAR,
+    ),
+    "metric_partly_reachable_by_site": _sql(_PARTLY.format(column="site_name"), **_STAR),
+    "metric_blank_filtered": _sql(
+        """SELECT country, sum(total_energy) AS total_energy, sum(total_co2) AS total_co2,
+                  sum(site_count)::bigint AS site_count
+           FROM (SELECT country, energy_kwh AS total_energy, NULL::double AS total_co2, NULL::bigint AS site_count
+                 FROM energy_star WHERE region_name IS NULL
+                 UNION ALL SELECT country, NULL, co2_emissions_kg, NULL FROM cost_star WHERE region_name IS NULL
+                 UNION ALL SELECT country, NULL, NULL, 1 FROM site_star WHERE region_name IS NULL)
+           GROUP BY country HAVING sum(total_energy) IS NOT NULL OR sum(total_co2) IS NOT NULL OR sum(site_count) > 0""",
         **_STAR,
     ),
     "metric_blank_member": _measured("site_type", "total_energy total_co2"),
@@ -417,8 +477,8 @@ ORACLES = {
         {_EVENT_WALK} JOIN dim_region r ON r.region_id = s.region_id"""),
     "graph_readings_by_region": _sql("""
         SELECT region_name, device_type, count(*) AS readings, sum(energy_kwh) AS energy_kwh
-        FROM fact_energy_consumption f JOIN dim_device d USING (device_id)
-             JOIN dim_site s ON s.site_id = d.site_id JOIN dim_region USING (region_id)
+        FROM fact_energy_consumption f LEFT JOIN dim_device d USING (device_id)
+             LEFT JOIN dim_site s ON s.site_id = d.site_id LEFT JOIN dim_region USING (region_id)
         GROUP BY region_name, device_type"""),
     "cost_by_region": _sql(
         "SELECT region_name, sum(energy_cost) AS total_energy_cost FROM cost_star GROUP BY region_name", **_STAR
@@ -434,25 +494,30 @@ ORACLES = {
         "SELECT site_name, co2_intensity FROM", "SELECT site_name, round(co2_intensity, 3) AS co2_intensity FROM"
     ),
     "supplier_downtime_by_region": _sql(f"""
-        SELECT region_name, p.supplier_id, p.supplier_name, count(*) AS events, sum(downtime_hours) AS downtime_hours,
+        SELECT region_name, m.supplier_id, p.supplier_name, count(*) AS events, sum(downtime_hours) AS downtime_hours,
                sum(cost) AS cost
-        {_EVENT_WALK} JOIN dim_region r ON r.region_id = s.region_id
-        GROUP BY region_name, p.supplier_id, p.supplier_name"""),
-    "energy_and_maintenance_by_region": _sql("""
+        FROM maintenance_event m LEFT JOIN ({_DEVICE_REGION}) r ON r.device_id = m.device_id
+             LEFT JOIN dim_supplier p ON p.supplier_id = m.supplier_id
+        GROUP BY region_name, m.supplier_id, p.supplier_name"""),
+    "energy_and_maintenance_by_region": _sql(f"""
         SELECT region_name, max(energy_kwh) AS energy_kwh, max(co2_kg) AS co2_kg, max(downtime_hours) AS downtime_hours,
                max(maintenance_cost) AS maintenance_cost
         FROM (SELECT region_name, sum(energy_kwh) AS energy_kwh, NULL::double AS co2_kg,
                      NULL::double AS downtime_hours, NULL::double AS maintenance_cost
-              FROM fact_energy_consumption f JOIN dim_device d USING (device_id)
-                   JOIN dim_site s ON s.site_id = d.site_id JOIN dim_region USING (region_id) GROUP BY region_name
+              FROM fact_energy_consumption f LEFT JOIN ({_DEVICE_REGION}) r ON r.device_id = f.device_id GROUP BY region_name
               UNION ALL
-              SELECT region_name, NULL, sum(co2_emissions_kg), NULL, NULL
-              FROM fact_energy_cost JOIN dim_site USING (site_id) JOIN dim_region USING (region_id) GROUP BY region_name
+              SELECT region_name, NULL, sum(co2_emissions_kg), NULL, NULL FROM cost_star GROUP BY region_name
               UNION ALL
               SELECT region_name, NULL, NULL, sum(downtime_hours), sum(cost)
-              FROM maintenance_event m JOIN dim_device d USING (device_id)
-                   JOIN dim_site s ON s.site_id = d.site_id JOIN dim_region USING (region_id) GROUP BY region_name)
-        GROUP BY region_name"""),
+              FROM maintenance_event m LEFT JOIN ({_DEVICE_REGION}) r ON r.device_id = m.device_id GROUP BY region_name)
+        GROUP BY region_name""", **_STAR),
+    "site_totals_with_nan": _sql(
+        f"""SELECT site_id, CASE WHEN isnan(total_energy_kwh) THEN 0 ELSE total_energy_kwh END AS total_energy_kwh,
+                   total_energy_cost, total_co2_kg
+            FROM ({_sites('spoiled')})""",
+        spoiled="""SELECT site_id, CASE WHEN active_power_kw > 40 THEN 'NaN'::double ELSE energy_kwh END AS energy_kwh
+                   FROM fact_energy_consumption""",
+    ),
     "snapshot_drift": _sql(
         """SELECT a.site_id, a.total_energy_kwh, a.total_energy_cost, a.total_co2_kg,
                   b.total_energy_kwh AS live_total_energy_kwh, b.total_energy_cost AS live_total_energy_cost,
@@ -481,5 +546,26 @@ ORACLES = {
         UNION ALL SELECT 'agg_daily_consumption_by_site', count(*) FROM ({_DAILY})
         UNION ALL SELECT 'kpi_co2_by_region', count(*) FROM ({_kpi()})"""),
     "lake_gold_daily": _sql(_DAILY),
+    "stored_metric_by_region": _measured("region_name", _ALL),
+    "stored_metric_one_day": _sql(
+        """SELECT region_name, sum(energy_kwh) AS total_energy,
+                  sum(power_factor) / nullif(count(power_factor), 0) AS avg_power_factor
+           FROM (SELECT f.*, s.region_name FROM fact_energy_consumption f LEFT JOIN site_star s USING (site_id))
+           WHERE reading_date = DATE '2024-01-05'
+           GROUP BY region_name""",
+        **_STAR,
+    ),
+    "stored_traverse_supplier": _sql(
+        f"SELECT s.site_id, s.site_name, d.device_id, m.event_id, p.supplier_id, p.supplier_name, p.country {_EVENT_WALK}"
+    ),
+    "lifecycle_truncate": _sql(f"""
+        SELECT 'dim_region' AS table_name, count(*) AS first_run, count(*) AS second_run FROM dim_region
+        UNION ALL SELECT 'dim_site', count(*), count(*) FROM dim_site
+        UNION ALL SELECT 'dim_device', count(*), count(*) FROM dim_device
+        UNION ALL SELECT 'fact_energy_consumption', count(*), 0 FROM fact_energy_consumption
+        UNION ALL SELECT 'fact_energy_cost', count(*), 0 FROM fact_energy_cost
+        UNION ALL SELECT 'agg_daily_consumption_by_site', count(*), 0 FROM ({_DAILY})
+        UNION ALL SELECT 'kpi_co2_by_region', count(*), 0 FROM ({_kpi()})"""),
+    "lifecycle_reset_gold": _sql(_kpi()),
     "lake_appended_twice": _sql(f"SELECT {_CONSUMPTION_TEXT} FROM fact_energy_consumption"),
 }

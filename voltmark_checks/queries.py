@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from voltmark.functions import (
 )
 from voltmark.operators import top_k, typed
 from voltmark.plans import gold, questions, silver
-from voltmark.plans.medallion import load_maintenance
+from voltmark.plans.medallion import load_maintenance, silver_to_gold
 from voltmark.plans.metrics import formatted, report_table
 from voltmark_checks.sample_lake import (
     RAW,
@@ -48,6 +49,7 @@ def named(df: DataFrame, **names: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(old.get(c, c)) for c in df.columns])
 
 
+# The measures of the energy model.
 MEASURES = {
     "total_energy_cost": "Total Energy Cost",
     "total_co2": "Total CO2 (kg)",
@@ -77,6 +79,16 @@ def _ask(question, *args):
     return lambda spark, sf_dir: question(silver_tables(spark, sf_dir), *args)
 
 
+def site_totals_with_nan(spark, sf_dir):
+    """Site totals where strong readings are NaN: such a total counts as none."""
+    tables = silver_tables(spark, sf_dir)
+    spoiled = tables["fact_energy_consumption"].withColumn(
+        "energy_kwh", F.when(F.col("active_power_kw") > 40, F.lit("NaN").cast("double")).otherwise(F.col("energy_kwh"))
+    )
+    sites = silver.dim_site(raw_site(spark, sf_dir), spoiled, tables["fact_energy_cost"])
+    return sites.select("site_id", *silver.TOTALS)
+
+
 # -- gold ----------------------------------------------------------------------
 
 
@@ -101,7 +113,7 @@ def kpi_co2_by_currency(spark, sf_dir):
 def safe_casts(spark, sf_dir):
     """Every delivered reading and site as parsed, bad values as null, before rows are dropped."""
     readings = typed(raw_meter_readings(spark, sf_dir), "fact_energy_consumption", keep=["ingested_at"])
-    return plain(readings.drop("voltage_v", "current_a"))
+    return plain(readings)
 
 
 def site_casts(spark, sf_dir):
@@ -200,13 +212,10 @@ def graph_traverse_back(spark, sf_dir):
 
 def graph_readings_by_region(spark, sf_dir):
     """Readings and energy per region and device type, by walking the graph."""
-    graph = EntityGraph(silver_tables(spark, sf_dir))
-    walk = graph.traverse(
+    return EntityGraph(silver_tables(spark, sf_dir)).rollup(
         ["^produces", "^hasDevice", "locatedIn"],
-        carry={"EnergyReading": ["energy_kwh"], "Device": ["device_type"], "Region": ["region_name"]},
-    )
-    return walk.groupBy("region_name", "device_type").agg(
-        F.count(F.lit(1)).alias("readings"), F.sum("energy_kwh").alias("energy_kwh")
+        measures={"readings": None, "energy_kwh": "energy_kwh"},
+        by={"Device": ["device_type"], "Region": ["region_name"]},
     )
 
 
@@ -231,18 +240,21 @@ def top_sites_by_cost(spark, sf_dir):
 # -- storage -------------------------------------------------------------------
 
 
-# Where no shared folder is named and Spark is local; removed when the process ends.
-_LOCAL = tempfile.TemporaryDirectory(prefix="voltmark-")
-
-
 def new_lake(spark: SparkSession) -> Lake:
-    """An empty lake in the folder the cluster shares, or in a local one where none is named."""
+    """An empty lake in the folder the cluster shares: that for checkpoints, or else the warehouse.
+    It is removed when the process ends."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = _LOCAL.name
-    return Lake(spark, f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex}")
+    shared = shared or spark.conf.get("spark.sql.warehouse.dir")
+    lake = Lake(spark, f"{shared.rstrip('/')}/lake-{uuid.uuid4().hex}")
+    atexit.register(_remove, lake)
+    return lake
+
+
+def _remove(lake: Lake) -> None:
+    context = lake.spark.sparkContext
+    if context._jsc is not None and not context._jsc.sc().isStopped():
+        root = context._jvm.org.apache.hadoop.fs.Path(lake.root)
+        root.getFileSystem(context._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
@@ -253,6 +265,62 @@ def loaded_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
+_stored: dict[tuple[str, str], Lake] = {}
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Silver as stored by a full run with the maintenance source; one lake for all queries of a session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _stored:
+        lake = loaded_lake(spark, sf_dir)
+        run_all(lake)
+        load_maintenance(lake, supplier_source(spark, sf_dir), maintenance_source(spark, sf_dir))
+        _stored[at] = lake
+    return _stored[at].bind()
+
+
+def stored_metric_by_region(spark, sf_dir):
+    result = metrics(stored_tables(spark, sf_dir), list(MEASURES.values()), by=[("dim_region", "region_name")])
+    return named(result, **MEASURES)
+
+
+def stored_metric_one_day(spark, sf_dir):
+    """One day of readings: the scan reads that partition alone."""
+    asked = {m: MEASURES[m] for m in ("total_energy", "avg_power_factor")}
+    day = {("fact_energy_consumption", "reading_date"): [date(2024, 1, 5)]}
+    tables = stored_tables(spark, sf_dir)
+    return named(metrics(tables, list(asked.values()), by=[("dim_region", "region_name")], where=day), **asked)
+
+
+def stored_traverse_supplier(spark, sf_dir):
+    return EntityGraph(stored_tables(spark, sf_dir)).traverse(
+        ["hasDevice", "hasMaintenance", "performedBy"],
+        carry={"Site": ["site_name"], "Supplier": ["supplier_name", "country"]},
+    )
+
+
+def lifecycle_truncate(spark, sf_dir):
+    """Tables created, filled, built; the raw facts truncated, and all built again: rows per table of both runs."""
+    lake = new_lake(spark)
+    lake.create_tables()
+    for name, build in RAW.items():
+        lake.append(name, build(spark, sf_dir))
+    first = run_all(lake)
+    lake.truncate(["raw_meter_readings", "raw_billing"])
+    second = run_all(lake)
+    rows = [(name, first[name], second[name]) for name in first]
+    return spark.createDataFrame(rows, "table_name string, first_run bigint, second_run bigint")
+
+
+def lifecycle_reset_gold(spark, sf_dir):
+    """Gold removed and built again from stored silver."""
+    lake = loaded_lake(spark, sf_dir)
+    run_all(lake)
+    lake.reset("gold", confirm=True)
+    silver_to_gold(lake)
+    return lake.read("kpi_co2_by_region")
+
+
 def landing(spark, sf_dir):
     """Typed rows landed as text with their metadata."""
     extract = sample(spark, sf_dir, "orders").select(
@@ -303,6 +371,7 @@ QUERIES = {
     "dim_site_totals": _silver("dim_site"),
     "dim_supplier": _silver("dim_supplier"),
     "maintenance_event_dedup": _silver("maintenance_event"),
+    "site_totals_with_nan": site_totals_with_nan,
     # gold
     "agg_daily_consumption_by_site": agg_daily,
     "kpi_co2_by_region": kpi_co2,
@@ -330,6 +399,14 @@ QUERIES = {
     "metric_partly_reachable": _metrics(
         ["total_energy", "total_co2", "site_count"], [("dim_device", "device_type"), ("dim_region", "region_name")]
     ),
+    "metric_partly_reachable_by_site": _metrics(
+        ["total_energy", "total_co2", "site_count"], [("dim_device", "device_type"), ("dim_site", "site_name")]
+    ),
+    "metric_blank_filtered": _metrics(
+        ["total_energy", "total_co2", "site_count"],
+        [("dim_site", "country")],
+        where={("dim_region", "region_name"): [None]},
+    ),
     "metric_blank_member": _metrics(["total_energy", "total_co2"], [("dim_site", "site_type")]),
     "metric_by_period": _metrics(["total_co2", "total_energy_cost"], [("fact_energy_cost", "billing_period")]),
     "metric_filtered": _metrics(
@@ -377,4 +454,9 @@ QUERIES = {
     "lake_run_counts": lake_run_counts,
     "lake_gold_daily": lake_gold_daily,
     "lake_appended_twice": lake_appended_twice,
+    "stored_metric_by_region": stored_metric_by_region,
+    "stored_metric_one_day": stored_metric_one_day,
+    "stored_traverse_supplier": stored_traverse_supplier,
+    "lifecycle_truncate": lifecycle_truncate,
+    "lifecycle_reset_gold": lifecycle_reset_gold,
 }

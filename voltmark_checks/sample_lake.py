@@ -44,14 +44,18 @@ def _stamped(df: DataFrame, ingested_at: str, source_file: str) -> DataFrame:
 
 
 def raw_site(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers. Closed accounts have lost their id, new ones have no region yet."""
+    """Customers. Closed accounts have lost their id, new ones have no region yet. Every fifth country delivers
+    again, with other types."""
     nation = sample(spark, sf_dir, "nation")
     region = sample(spark, sf_dir, "region")
-    sites = (
+    customers = (
         sample(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .selectExpr(
+    )
+
+    def delivery(rows: DataFrame, site_type: str) -> DataFrame:
+        return rows.selectExpr(
             "CASE WHEN c_acctbal >= 0 THEN CAST(c_custkey AS string) END AS site_id",
             "c_name AS site_name",
             "n_name AS country",
@@ -60,34 +64,40 @@ def raw_site(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN 'unknown' "
             "ELSE CAST(n_nationkey * 2.5D AS string) END AS latitude",
             "CAST(n_nationkey * -7.25D AS string) AS longitude",
-            "c_mktsegment AS site_type",
+            f"{site_type} AS site_type",
             "CAST(c_acctbal AS string) AS contracted_power_kw",
             "concat('2020-', lpad(CAST(1 + n_nationkey % 12 AS string), 2, '0'), '-', "
             "CAST(31 - n_nationkey % 3 AS string)) AS commissioned_date",
         )
-    )
-    return _stamped(sites, "2024-02-01 00:00:00", "sites")
+
+    first = _stamped(delivery(customers, "c_mktsegment"), "2024-02-01 00:00:00", "sites")
+    again = delivery(customers.filter("c_nationkey % 5 = 0"), "lower(c_mktsegment)")
+    return first.unionByName(_stamped(again, "2024-02-03 00:00:00", "sites again"))
 
 
 def raw_device(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts, four to a site. The smallest ones carry no id; the flag is written in many ways."""
-    devices = sample(spark, sf_dir, "part").selectExpr(
+    """Parts, four to a site. The smallest ones carry no id; the flag is written in many ways. Some are delivered
+    again as another model, the earlier delivery coming last."""
+    parts = sample(spark, sf_dir, "part")
+    columns = (
         "CASE WHEN p_size > 2 THEN CAST(p_partkey AS string) END AS device_id",
         "CAST(p_partkey DIV 4 AS string) AS site_id",
         "p_type AS device_type",
-        "p_brand AS model",
         "CASE WHEN p_type = 'SMALL' THEN 'A' ELSE 'kWh' END AS measurement_unit",
         "concat('feeder-', CAST(p_size AS string)) AS install_location",
         "CASE WHEN p_size < 10 THEN 'true' WHEN p_size < 20 THEN 'TRUE' WHEN p_size < 30 THEN 'False' "
         "WHEN p_size < 40 THEN ' true ' WHEN p_size < 45 THEN 'yes' END AS is_active",
     )
-    return _stamped(devices, "2024-02-01 00:00:00", "devices")
+    refitted = parts.filter("p_size % 7 = 0").selectExpr(*columns, "concat('A-', p_brand) AS model")
+    later = _stamped(refitted, "2024-02-03 00:00:00", "devices again")
+    return later.unionByName(_stamped(parts.selectExpr(*columns, "p_brand AS model"), "2024-02-01 00:00:00", "devices"))
 
 
 def raw_meter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events, where clicks and errors were delivered again a day later with one more kWh.
 
-    A first delivery may have lost its timestamp and be mended by the second, and the reverse.
+    A first delivery may have lost its timestamp and be mended by the second, and the reverse. Some readings
+    have a time without a date, some no site.
     """
     events = sample(spark, sf_dir, "events").withColumn("hundredths", F.expr("CAST(round(value * 100) AS bigint)"))
 
@@ -95,8 +105,10 @@ def raw_meter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         return rows.selectExpr(
             "CASE WHEN event_type = 'signup' AND value > 60 THEN NULL ELSE CAST(event_id AS string) END AS reading_id",
             "CAST(user_id AS string) AS device_id",
-            "CAST(user_id DIV 4 AS string) AS site_id",
-            f"CASE WHEN event_type = '{damaged}' AND value < 5 THEN 'x' ELSE CAST(ts AS string) END AS timestamp",
+            "CASE WHEN event_type <> 'view' OR value >= 2 THEN CAST(user_id DIV 4 AS string) END AS site_id",
+            f"CASE WHEN event_type = '{damaged}' AND value < 5 THEN 'x' "
+            "WHEN event_type = 'purchase' AND value < 3 THEN '08:00:00' "
+            "WHEN event_type = 'purchase' AND value < 4 THEN 'T08:00' ELSE CAST(ts AS string) END AS timestamp",
             "CASE WHEN event_type = 'signup' AND value < 5 THEN 'n/a' "
             "ELSE CAST(hundredths * 0.5D AS string) END AS active_power_kw",
             "CASE WHEN event_type = 'view' AND value > 60 THEN 'abc' "
@@ -114,55 +126,72 @@ def raw_meter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders. Bills of customers without a site id are orphans."""
+    """Orders. Bills of customers without a site id are orphans, some bills name no site. Every tenth bill is
+    corrected later."""
     orders = sample(spark, sf_dir, "orders").withColumn("cents", F.expr("CAST(round(o_totalprice * 100) AS bigint)"))
-    bills = orders.selectExpr(
-        "CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice < 10000 THEN NULL "
-        "ELSE CAST(o_orderkey AS string) END AS cost_id",
-        "CAST(o_custkey AS string) AS site_id",
-        "date_format(o_orderdate, 'yyyy-MM') AS billing_period",
-        "CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice < 20000 THEN '' "
-        "ELSE CAST(cents * 0.125D AS string) END AS energy_consumed_kwh",
-        "CAST(cents % 1000 * 0.5D AS string) AS peak_demand_kw",
-        "'0.125' AS tariff_rate",
-        "CAST(cents * 0.25D AS string) AS energy_cost",
-        "CAST(cents * 0.0625D AS string) AS co2_emissions_kg",
-        "CASE WHEN o_orderstatus = 'F' THEN 'EUR' ELSE 'USD' END AS currency",
-    )
-    return _stamped(bills, "2024-02-01 00:00:00", "bills")
+
+    def delivery(rows: DataFrame, extra_cost: int) -> DataFrame:
+        return rows.selectExpr(
+            "CASE WHEN o_orderpriority = '5-LOW' AND o_totalprice < 10000 THEN NULL "
+            "ELSE CAST(o_orderkey AS string) END AS cost_id",
+            "CASE WHEN o_orderpriority <> '3-MEDIUM' OR o_totalprice >= 5000 THEN CAST(o_custkey AS string) END AS site_id",
+            "date_format(o_orderdate, 'yyyy-MM') AS billing_period",
+            "CASE WHEN o_orderpriority = '1-URGENT' AND o_totalprice < 20000 THEN '' "
+            "ELSE CAST(cents * 0.125D AS string) END AS energy_consumed_kwh",
+            "CAST(cents % 1000 * 0.5D AS string) AS peak_demand_kw",
+            "'0.125' AS tariff_rate",
+            f"CAST(cents * 0.25D + {extra_cost} AS string) AS energy_cost",
+            "CAST(cents * 0.0625D AS string) AS co2_emissions_kg",
+            "CASE WHEN o_orderstatus = 'F' THEN 'EUR' ELSE 'USD' END AS currency",
+        )
+
+    first = _stamped(delivery(orders, 0), "2024-02-01 00:00:00", "bills")
+    return first.unionByName(_stamped(delivery(orders.filter("o_orderkey % 10 = 0"), 3), "2024-02-04 00:00:00", "corrections"))
 
 
 def supplier_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers; every third is corrected later, to a contract of a year before."""
     nation = sample(spark, sf_dir, "nation")
-    return (
-        sample(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .selectExpr(
+    suppliers = sample(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+
+    def delivery(rows: DataFrame, year: int, ingested_at: str) -> DataFrame:
+        return rows.selectExpr(
             "s_suppkey AS supplier_id",
             "s_name AS supplier_name",
             "CASE WHEN s_acctbal < 1000 THEN 'Distributor' WHEN s_acctbal < 6000 THEN 'Service Partner' "
             "ELSE 'OEM' END AS supplier_type",
             "n_name AS country",
-            "concat('2021-', lpad(CAST(1 + n_nationkey % 12 AS string), 2, '0'), '-', "
+            f"concat('{year}-', lpad(CAST(1 + n_nationkey % 12 AS string), 2, '0'), '-', "
             "CAST(31 - n_nationkey % 3 AS string)) AS contract_since",
+            f"TIMESTAMP '{ingested_at}' AS ingested_at",
         )
-    )
+
+    corrected = delivery(suppliers.filter("s_suppkey % 3 = 0"), 2020, "2024-02-05 00:00:00")
+    return corrected.unionByName(delivery(suppliers, 2021, "2024-02-01 00:00:00"))
 
 
 def maintenance_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as typed maintenance records; about a quarter of them revise an earlier one."""
-    return sample(spark, sf_dir, "lineitem").selectExpr(
-        "concat_ws('-', l_orderkey, l_linenumber) AS event_id",
-        "CAST(l_partkey AS string) AS device_id",
-        "CAST(l_partkey DIV 4 AS string) AS site_id",
-        "CASE WHEN l_discount > 0 THEN CAST(l_suppkey AS string) END AS supplier_id",
-        "CAST(l_shipdate AS timestamp) AS event_date",
-        "CASE l_returnflag WHEN 'R' THEN 'repair' WHEN 'A' THEN 'inspection' ELSE 'replacement' END AS event_type",
-        "l_quantity * 0.5D AS downtime_hours",
-        "round(l_extendedprice * 100) * 0.25D AS cost",
-        "CASE WHEN l_linestatus = 'O' THEN 'EUR' ELSE 'USD' END AS currency",
-        "concat('order ', l_orderkey, ' line ', l_linenumber) AS description",
-    )
+    """Order lines as typed maintenance records; about a quarter of them revise an earlier one. Some are
+    corrected later, to a date before."""
+
+    def delivery(rows: DataFrame, days_back: int, ingested_at: str) -> DataFrame:
+        return rows.selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber) AS event_id",
+            "CAST(l_partkey AS string) AS device_id",
+            "CAST(l_partkey DIV 4 AS string) AS site_id",
+            "CASE WHEN l_discount > 0 THEN CAST(l_suppkey AS string) END AS supplier_id",
+            f"CAST(l_shipdate AS timestamp) - INTERVAL {days_back} DAYS AS event_date",
+            "CASE l_returnflag WHEN 'R' THEN 'repair' WHEN 'A' THEN 'inspection' ELSE 'replacement' END AS event_type",
+            "l_quantity * 0.5D AS downtime_hours",
+            "round(l_extendedprice * 100) * 0.25D AS cost",
+            "CASE WHEN l_linestatus = 'O' THEN 'EUR' ELSE 'USD' END AS currency",
+            "concat('order ', l_orderkey, ' line ', l_linenumber) AS description",
+            f"TIMESTAMP '{ingested_at}' AS ingested_at",
+        )
+
+    lines = sample(spark, sf_dir, "lineitem")
+    corrected = delivery(lines.filter("l_partkey % 9 = 0"), 30, "2024-02-05 00:00:00")
+    return corrected.unionByName(delivery(lines, 0, "2024-02-01 00:00:00"))
 
 
 RAW = {
