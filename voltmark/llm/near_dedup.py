@@ -114,7 +114,7 @@ def sketch(batch: pa.RecordBatch, shingle: int) -> pa.RecordBatch:
         names.append(B.mixed(sums[ends[1:]] - sums[ends[:-1]]))
     bands = np.zeros((len(counts), BANDS), dtype=np.uint64)
     band = B.random_table(19, BANDS)
-    for i, j in B.pieces(ends, 200_000):
+    for i, j in B.pieces(ends, 100_000):
         signature = super_minhash(elements[ends[i] : ends[j]], counts[i:j], BANDS * ROWS).view(np.uint64).ravel()
         at = np.arange(0, len(signature), ROWS)
         bands[i:j] = B.mixed(_BAND.of_values(B.mixed(signature), at, at + ROWS).reshape(-1, BANDS) ^ band)
