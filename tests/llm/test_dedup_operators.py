@@ -10,6 +10,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from llm_fixtures import corpus, docs_of  # noqa: F401
 from voltmark.llm import embedding_dedup, line_dedup, near_dedup, substring_dedup
 from voltmark.llm.components import Forest, components
 from voltmark.llm.scratch import Scratch

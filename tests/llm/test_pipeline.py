@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
+from llm_fixtures import corpus  # noqa: F401
 from test_dedup_operators import least_reachable, plain_lines, shingles
 from test_text_operators import plain_contamination
 from voltmark.llm import quality

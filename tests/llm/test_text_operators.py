@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from llm_fixtures import corpus, docs_of  # noqa: F401
 from voltmark.llm import batches as B
 from voltmark.llm import bpe, decontaminate, html_text, language, pii, quality
 from voltmark.llm.scratch import Scratch
