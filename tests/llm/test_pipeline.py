@@ -17,7 +17,7 @@ from test_text_operators import plain_contamination
 from voltmark.llm import quality
 from voltmark.llm.oracles import ORACLES
 from voltmark.llm.queries import QUERIES
-from voltmark.llm.scratch import Scratch
+from voltmark.llm.scratch import Scratch, shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +88,29 @@ def test_registered():
     assert set(QUERIES) <= set(entry_module.queries()) and "pipeline" in entry_module.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLES) <= set(entry_module.oracle_sql())
+
+
+def test_intermediate_tables_go_to_the_shared_folder_and_away(spark):
+    class Unset:
+        def __init__(self, values):
+            self.get = lambda name, default=None: values.get(name, default)
+
+    class Session:
+        conf = Unset({"spark.sql.warehouse.dir": "file:/w/"})
+
+        class sparkContext:
+            getConf = staticmethod(lambda: Unset({}))
+
+    assert shared_folder(Session) == "file:/w/_checkpoints"
+    Session.conf = Unset({"spark.checkpoint.dir": "hdfs://shared/c/"})
+    assert shared_folder(Session) == "hdfs://shared/c"
+    scratch = Scratch(spark, "t")
+    assert scratch.folder.startswith(shared_folder(spark))
+    one, two = scratch.store(spark.range(3)), scratch.store(spark.range(2))
+    scratch.drop(one)
+    assert two.count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(one.scratch_path)
+    scratch.drop()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(two.scratch_path)

@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset, a folder in the warehouse, which then is set."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
