@@ -240,6 +240,18 @@ def test_blocks():
     assert len(html_text.blocks("<div>" * 3000 + "x" + "<a b='" * 500)) <= 2
 
 
+def test_a_head_ends_without_its_end_tag_and_fallbacks_count():
+    def texts(source):
+        return [b.text for b in html_text.blocks(source)]
+
+    assert texts("<html><head><title>x</title><body><article>one<p>two</article>") == ["one", "two"]
+    assert texts("<head><meta charset=u><script>s</script> <link rel=x><div>one</div></head><p>two") == ["one", "two"]
+    assert texts("<html><head><title>x</title>\n one <b>two</b></html>") == ["one two"]
+    assert texts("<head><title>x</title>\n</head>\n<body>one") == ["one"]
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then<p>3") == ["if x=2 then", "3"]
+    assert texts("<p>a <video><source src=v>b</video> c <object><param name=x>d</object> <audio>e</audio><p>f") == ["a b c d e", "f"]
+
+
 def test_main_text_of_pages_laid_out_otherwise(page_field):
     f = page_field
     assert html_text.main_text(page(900, [LONG, "Short.", LONG]), f) == f"Title 900 {LONG} Short. {LONG}"
