@@ -252,6 +252,13 @@ def test_a_head_ends_without_its_end_tag_and_fallbacks_count():
     assert texts("<p>a <video><source src=v>b</video> c <object><param name=x>d</object> <audio>e</audio><p>f") == ["a b c d e", "f"]
 
 
+def test_all_names_of_an_element_count():
+    many = "col-md-4 col-sm-12 d-none d-lg-block order-lg-2 sidebar"
+    found = html_text.blocks(f'<main><p>{LONG}</p><div class="{many}">Offers</div></main>')
+    assert found[1].path == ("main", "div col md sm none lg block order sidebar")
+    assert html_text.labelled(found) == [1, 0]
+
+
 def test_main_text_of_pages_laid_out_otherwise(page_field):
     f = page_field
     assert html_text.main_text(page(900, [LONG, "Short.", LONG]), f) == f"Title 900 {LONG} Short. {LONG}"
