@@ -204,6 +204,21 @@ def test_contamination_against_brute_force(spark, docs_of, corpus, query_bytes,
     assert decontaminate.contamination(docs_of(docs), df.limit(0)).where("contaminated").isEmpty()
 
 
+@pytest.mark.parametrize("query_bytes", [32 << 20, 60])
+def test_rows_without_id_or_with_one_id_are_judged_each(spark, query_bytes, monkeypatch):
+    monkeypatch.setattr(decontaminate, "QUERY_BYTES", query_bytes)
+    monkeypatch.setattr(decontaminate, "SEGMENT_TOKENS", 7)
+    docs = [(1, "one two three"), (1, "one two three"), (1, "four five six"), (1, "seven is clean"), (None, "one two three"), (None, "seven is clean"), (None, "seven is clean"), (None, None), (None, None)]
+    items = [(k, t) for k, t in enumerate(["one two three", "four five six", "never seen words", "other words unseen"] * 3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    questions = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(df, questions, window=3).collect()
+    expected = [(i, *plain_contamination([(i, t)], items, 3)[i]) for i, t in docs]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, expected))
+    index = decontaminate.build_index(df, Scratch(spark, "t"))
+    assert sorted(len(r.hits) for r in decontaminate.search(index, questions, window=3).collect()) == [0] * 5 + [3] * 4
+
+
 def test_proximity_search(spark, docs_of):
     docs = [(1, "alpha x beta gamma"), (2, "gamma y beta z alpha"), (3, "alpha beta x y z gamma"), (4, "alpha beta")]
     index = decontaminate.build_index(docs_of(docs, False), Scratch(spark, "t"))

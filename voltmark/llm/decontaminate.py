@@ -64,13 +64,15 @@ def segments(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """Segments of a positional index over all words of ``docs (doc_id, text)``, written to the shared folder.
-    A null text has no words."""
+    A null text has no words. ``segment`` numbers the segments, so a row of ``docs`` is known by that and its place,
+    whatever its ``doc_id``."""
 
     def run(batches):
         for batch in batches:
             yield from segments(batch)
 
-    return scratch.store(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SEGMENT))
+    cut = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, SEGMENT)
+    return scratch.store(cut.select(F.monotonically_increasing_id().alias("segment"), *cut.columns))
 
 
 @dataclass
@@ -153,6 +155,7 @@ def _near(segment: Segment, terms: np.ndarray, anchor: int, reach: int) -> np.nd
     return np.unique(np.array(found, dtype=np.int64))
 
 
+ROW = "segment long, place int"
 HITS = "doc_id long, n_words long, hits array<struct<item_id:long,start:int,length:int>>"
 VERDICTS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
@@ -164,11 +167,16 @@ def search(index: DataFrame, items: DataFrame, window: int = 10, slop: int = 0)
     none: nothing). A hit is a run of words of the document that equals a window; with ``slop`` it is a stretch of
     ``window + slop`` words that holds them all in any order. Items are sent out in groups of at most ``QUERY_BYTES``.
     """
-    results = [_search(index, sent, window, slop, _hits, HITS) for sent in _blocks(items)]
+    return _merged(index, _blocks(items), window, slop).select("doc_id", "n_words", "hits")
+
+
+def _merged(index: DataFrame, blocks: list[pa.Table], window: int, slop: int) -> DataFrame:
+    """Hits of all passes for every indexed row, which is known by its segment and place in it."""
+    results = [_search(index, sent, window, slop, _hits, HITS) for sent in blocks]
     if len(results) == 1:
         return results[0]
-    found = reduce(DataFrame.unionByName, results)
-    return found.groupBy("doc_id", "n_words").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    found = reduce(DataFrame.unionByName, results).groupBy("segment", "place", "doc_id", "n_words")
+    return found.agg(F.flatten(F.collect_list("hits")).alias("hits"))
 
 
 def _blocks(items: DataFrame) -> list[pa.Table]:
@@ -181,7 +189,9 @@ def _blocks(items: DataFrame) -> list[pa.Table]:
 
 
 def _search(index: DataFrame, items: pa.Table, window: int, slop: int, answer, schema: str) -> DataFrame:
-    """One pass over the segments; ``answer`` makes the rows of a segment from its hits, by document."""
+    """One pass over the segments; ``answer`` makes the rows of a segment from its hits, by document. The rows
+    have the columns of ``ROW`` first."""
+    schema = f"{ROW}, {schema}"
     groups = phrases(items.column("text"), window)
     names = items.column("item_id").to_numpy()
     sent = index.sparkSession.sparkContext.broadcast((groups, names))
@@ -205,8 +215,10 @@ def _search(index: DataFrame, items: pa.Table, window: int, slop: int, answer, s
                 order = np.lexsort((at, item, doc))
                 doc, item, at = doc[order], item[order], at[order]
                 length = np.minimum(at + length[order], starts[doc + 1]) - at
-                columns = [ids, pa.array(np.diff(starts).astype(np.int64))]
-                columns += answer(len(starts) - 1, doc, item, at - starts[doc], length)
+                n = len(starts) - 1
+                columns = [pa.array(np.full(n, batch.column("segment")[row].as_py())), pa.array(np.arange(n, dtype=np.int32))]
+                columns += [ids, pa.array(np.diff(starts).astype(np.int64))]
+                columns += answer(n, doc, item, at - starts[doc], length)
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split(" ")[0] for c in schema.split(", ")])
 
     return index.mapInArrow(run, schema)
@@ -239,13 +251,14 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
 
     A word is hit if it lies inside an occurrence of a window of ``items`` (see ``search``). ``items_sha256`` is
     of the items that occur, sorted as strings and joined by commas. Null and empty texts have no words and
-    are clean; items without words or id occur nowhere. Rows that repeat a ``doc_id`` are judged each for itself, unless the
-    items are too many for one pass. Other columns are ignored.
+    are clean; items without words or id occur nowhere. Every row is judged for itself,
+    also where rows repeat a ``doc_id`` or have none. Other columns are ignored.
     """
     index = build_index(docs, Scratch(docs.sparkSession, "index"))
     blocks = _blocks(items)
+    columns = [c.split(" ")[0] for c in VERDICTS.split(", ")]
     if len(blocks) == 1:
-        return _search(index, blocks[0], window, 0, _verdicts, VERDICTS)
+        return _search(index, blocks[0], window, 0, _verdicts, VERDICTS).select(*columns)
 
     def verdicts(batches):
         for batch in batches:
@@ -253,9 +266,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
             hits, counts = column.flatten(), column.value_lengths().to_numpy()
             doc = np.repeat(np.arange(batch.num_rows), counts)
             item, start, length = (hits.field(k).to_numpy() for k in range(3))
-            columns = _verdicts(batch.num_rows, doc, item, start, length)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), *columns], names=[c.split(" ")[0] for c in VERDICTS.split(", ")])
+            judged = _verdicts(batch.num_rows, doc, item, start, length)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), *judged], names=columns)
 
-    results = [_search(index, sent, window, 0, _hits, HITS) for sent in blocks]
-    found = reduce(DataFrame.unionByName, results).groupBy("doc_id", "n_words")
-    return found.agg(F.flatten(F.collect_list("hits")).alias("hits")).mapInArrow(verdicts, VERDICTS)
+    return _merged(index, blocks, window, 0).select("doc_id", "n_words", "hits").mapInArrow(verdicts, VERDICTS)
