@@ -325,6 +325,18 @@ def test_language_on_held_out_documents(spark):
     assert language.identified(df, language.trained(df.limit(0))).where("lang_pred <> 'und'").isEmpty()
 
 
+def test_a_rare_language_is_learned_beside_a_common_one(spark):
+    rng = random.Random(3)
+    rows = [(i, speech(rng, "aa", 30), "aa") for i in range(900)] + [(i, speech(rng, "bb", 30), "bb") for i in range(900, 906)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.trained(df, sample_rows=60, model_words=40)
+    assert model.languages == ["aa", "bb"] and np.exp(model.prior)[0] > 0.98
+    rare = {w for _, t, lang in rows if lang == "bb" for w in t.split()}
+    assert len(rare & set(model.words)) >= 30
+    got = {r.doc_id: r.lang_pred for r in language.identified(df, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)
+
+
 def test_unseen_words_fall_back_to_shorter_grams():
     model = language.from_counts([("strasse", "de", 9), ("street", "en", 9), ("xyz", "en", 9)])
     place = {lang: k for k, lang in enumerate(model.languages)}

@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmark.llm import batches as B
 
-#: Documents the model learns from at most (those whose id has the smallest hashes), and words it keeps at most.
+#: About how many documents of each language the model learns from (those whose id has the smallest hashes; all where there are fewer), and
+#: words of each language that it keeps at most.
 SAMPLE_ROWS, MODEL_WORDS = 6_000, 100_000
 LONGEST = 5
 UNDETERMINED = "und"
@@ -87,14 +88,16 @@ def held_out(doc_id) -> F.Column:
 def trained(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, model_words: int = MODEL_WORDS) -> LanguageModel:
     """Log frequencies from ``docs (doc_id, text, lang)``: documents that aren't held out and have a language and text.
 
-    Words are counted on the executors over whole texts of at most ``sample_rows`` documents; the
-    ``model_words`` most frequent words of at least two occurrences come to the driver.
+    Every language of those has a part: all its documents where they are no more than ``sample_rows``, else about that many.
+    Words are counted on the executors over their whole texts; the ``model_words`` most frequent words of each language
+    come to the driver. The prior is the share of a language in all the documents.
     """
-    ids = (
-        docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out("doc_id"))
-        .select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    )
-    chosen = docs.where("lang IS NOT NULL").join(F.broadcast(ids), "doc_id").select("lang", "text")
+    usable = docs.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL").where(~held_out("doc_id"))
+    documents = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count("*").alias("n")).toArrow().to_pylist()}
+    shares = docs.sparkSession.createDataFrame([(lang, min(1.0, sample_rows / n)) for lang, n in documents.items()], "lang string, share double")
+    # Languages are bounded by a threshold on the hash, not by a rank, so that none has to be sorted in one task.
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    chosen = usable.join(F.broadcast(shares), "lang").where(place < F.col("share")).select("lang", "text")
 
     def words(batches):
         for batch in batches:
@@ -109,12 +112,15 @@ def trained(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, model_words: int =
             )
 
     counted = chosen.mapInArrow(words, "lang string, word string, n long").groupBy("word", "lang").agg(F.sum("n").alias("n"))
-    frequent = counted.where("n > 1").orderBy(F.desc("n"), "word", "lang").limit(model_words).toArrow().to_pylist()
-    return from_counts([(r["word"], r["lang"], r["n"]) for r in frequent])
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    kept = counted.withColumn("rank", rank).where(F.col("rank") <= model_words).select("word", "lang", "n").orderBy(F.desc("n"), "word", "lang")
+    frequent = kept.toArrow()
+    return from_counts(list(zip(*(frequent.column(c).to_pylist() for c in ("word", "lang", "n")), strict=True)), documents)
 
 
-def from_counts(counts: list[tuple[str, str, int]]) -> LanguageModel:
-    """A model from how often each word stands in each language; of n-grams those seen at least three times count."""
+def from_counts(counts: list[tuple[str, str, int]], documents: dict[str, int] | None = None) -> LanguageModel:
+    """A model from how often each word stands in each language; of n-grams those seen at least three times count.
+    Languages are weighed by their ``documents``, or else by their words."""
     languages = sorted({lang for _, lang, _ in counts})
     place = {lang: k for k, lang in enumerate(languages)}
     plain: list[dict[str, list[float]]] = [defaultdict(lambda: [0.0] * len(languages)) for _ in range(LONGEST + 1)]
@@ -130,11 +136,17 @@ def from_counts(counts: list[tuple[str, str, int]]) -> LanguageModel:
     base = 0
     for size, table in enumerate(plain):
         names = [x for x, row in table.items() if size == 0 or sum(row) >= 3]
-        matrix = np.array([table[x] for x in names]).reshape(len(names), len(languages)) + 0.5
-        rows.append(np.log(matrix / matrix.sum(axis=0)) if len(names) else matrix)
+        matrix = np.array([table[x] for x in names]).reshape(len(names), len(languages))
+        if len(names):
+            # What a language never has counts alike for all: half of one occurrence in the largest.
+            seen = np.maximum(matrix.sum(axis=0), 1.0)
+            matrix = np.log(matrix / seen + 0.5 / seen.max())
+        rows.append(matrix)
         lookups.append({x: base + k for k, x in enumerate(names)})
         base += len(names)
-    totals = np.array([sum(n for _, lang, n in counts if lang == x) for x in languages], dtype=float)
+    totals = np.zeros(len(languages))
+    for _, lang, n in counts if documents is None else [(None, lang, n) for lang, n in documents.items() if lang in place]:
+        totals[place[lang]] += n
     prior = np.log(totals / totals.sum()) if len(languages) else totals
     return LanguageModel(languages, prior, lookups[0], lookups, np.concatenate(rows))
 
