@@ -168,6 +168,16 @@ def test_personal_data_table(docs_of, field):
     assert pii.personal_data(docs_of([], False), pii.trained(docs_of([], False))).isEmpty()
 
 
+def test_rare_labels_are_learned_from(docs_of, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit", lambda texts: seen.extend(texts))
+    rows = [(i, f"in {1000 + i} it cost {i},50 and more") for i in range(10, 900)] + [(5000, f"pay {CARD} now"), (5001, "call +1 (603) 555-8791 now")]
+    rows += [(5002, " ".join(f"at 84.26.86.{k} up" for k in range(60)))]
+    pii.trained(docs_of(rows), sample_zones=40)
+    kinds = [{s[0] for s in pii.base_spans(t)} for t in seen]
+    assert sum("card" in k for k in kinds) == sum("phone" in k for k in kinds) == 1 and sum("ip" in k for k in kinds) == 10 and sum(not k for k in kinds) == 10
+
+
 # -- decontamination -------------------------------------------------------------------
 
 
@@ -282,6 +292,15 @@ def test_main_text_of_pages_laid_out_otherwise(page_field):
     assert html_text.main_text(None, f) == html_text.main_text("", f) == html_text.main_text("<p></p>", f) == ""
 
 
+def test_pages_that_mark_an_article_are_learned_from(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(html_text, "fit", lambda sources: seen.extend(sources))
+    plain = [(i, f"<body><div>page {i}</div><main><nav>menu</nav></main>") for i in range(300)]
+    marked = [(1000 + i, page(i, [LONG])) for i in range(5)]
+    html_text.trained(spark.createDataFrame([*plain, *marked, marked[0]], "page_id long, html string").repartition(3), sample_pages=4)
+    assert len(seen) == 4 and set(seen) < {h for _, h in marked}
+
+
 def test_viterbi_is_the_best_labelling():
     rng = random.Random(4)
     for _ in range(100):

@@ -16,14 +16,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltmark.llm import batches as B
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents with digits or at-signs that the field is trained on at most, and zones of those.
-SAMPLE_ROWS, SAMPLE_ZONES = 600, 400
+#: Zones that the field is trained on at most: a quarter of them with base spans of each kind, and a quarter more without any.
+SAMPLE_ZONES = 400
+#: Characters of a zone that is trained on; a longer one is cut around its base spans.
+ZONE_CHARS = 400
 #: The longest segment, in tokens.
 LONGEST = 24
 
@@ -306,26 +308,49 @@ def decoys(chance: random.Random) -> str:
     ])
 
 
-def trained(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_zones: int = SAMPLE_ZONES) -> SemiMarkov:
-    """The field for ``docs``: its zones come from at most ``sample_rows`` documents that hold digits or
-    at-signs, those with the smallest hashes of their ids, and at most ``sample_zones`` zones reach the driver."""
-    telling = docs.where("text RLIKE '[0-9@]' AND doc_id IS NOT NULL")
-    ids = telling.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    chosen = telling.join(F.broadcast(ids), "doc_id", "left_semi")
+def samples(text: str) -> list[str]:
+    """The zones of a text; a long one as the surroundings of each of its base spans, which cut no other span."""
+    found = []
+    for a, b in zones(text):
+        zone = text[a:b]
+        if b - a <= ZONE_CHARS:
+            found.append(zone)
+            continue
+        spans = _apart(base_spans(zone))
+        for n, (_, start, end) in enumerate(spans):
+            low = max(start - _REACH, spans[n - 1][2] if n else 0)
+            high = min(end + _REACH, spans[n + 1][1] if n + 1 < len(spans) else len(zone))
+            left, right = zone.find(" ", low, start), zone.rfind(" ", end, high)
+            piece = zone[left if left >= 0 else low : right if right >= 0 else high]
+            if len(piece) <= ZONE_CHARS:
+                found.append(piece)
+    return found
+
+
+def trained(docs: DataFrame, sample_zones: int = SAMPLE_ZONES) -> SemiMarkov:
+    """The field for ``docs``. All documents with digits or at-signs are looked through; of the zones with a base span of
+    each kind a quarter of ``sample_zones`` are learned from, and as many of those without, the ones with the smallest hashes."""
+    each = max(1, sample_zones // len(KINDS))
 
     def cut(batches):
+        least: dict[str, dict[str, int]] = {kind: {} for kind in (*KINDS, "none")}
         for batch in batches:
-            ids, parts = [], []
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                for a, b in zones(text)[:8]:
-                    if b - a <= 400:
-                        ids.append(key)
-                        parts.append(text[a:b])
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(parts, pa.string())], names=["doc_id", "zone"])
-
-    found = chosen.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, "doc_id long, zone string")
-    rows = found.distinct().orderBy(F.xxhash64("zone"), "zone").limit(sample_zones).toArrow().column("zone").to_pylist()
-    return fit(rows)
+            for value in batch.column("text"):
+                for zone in samples(value.as_py()):
+                    place = int.from_bytes(hashlib.blake2b(zone.encode(), digest_size=8).digest(), "big", signed=True)
+                    for kind in {s[0] for s in base_spans(zone)} or {"none"}:
+                        least[kind][zone] = place
+                        if len(least[kind]) >= 4 * each:
+                            least[kind] = dict(sorted(least[kind].items(), key=lambda x: (x[1], x[0]))[:each])
+        rows = [(kind, place, zone) for kind, some in least.items() for place, zone in sorted((p, z) for z, p in some.items())[:each]]
+        columns = [pa.array([r[n] for r in rows], t) for n, t in enumerate((pa.string(), pa.int64(), pa.string()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["kind", "place", "zone"])
+
+    telling = docs.where("text RLIKE '[0-9@]'").select("text")
+    found = telling.mapInArrow(cut, "kind string, place long, zone string").distinct()
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("place", "zone"))
+    rows = found.withColumn("rank", rank).where(F.col("rank") <= each).select("place", "zone").distinct().orderBy("place", "zone")
+    return fit(rows.toArrow().column("zone").to_pylist())
 
 
 def fit(texts: list[str], epochs: int = 6, seed: int = 7) -> SemiMarkov:
