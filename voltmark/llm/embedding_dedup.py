@@ -1,4 +1,4 @@
-"""Near-duplicate embeddings by products of int8 tiles with rigorous error bounds.
+"""Near-duplicate embeddings by products of tiles of dequantised int8 codes with rigorous error bounds.
 
 Unit vectors are rounded to 8-bit codes times a scale, and each keeps the norm of what rounding took away. From the
 product of two codes and the two norms follows an upper bound of the cosine. Blocks of vectors meet tile by
