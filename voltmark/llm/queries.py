@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, embedding_dedup, html_text, language, line_dedup, near_dedup, pii, quality, substring_dedup
+from voltmark.llm import bpe, decontaminate, embedding_dedup, html_text, language, line_dedup, near_dedup, pii, quality, source_audit, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,4 +64,8 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(held, model, threshold=0.3, keep_text=False).select("doc_id", "held_out", "score", "predicted")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op5_html_text, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality)}
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op5_html_text, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality, op11_source_divergence)}
