@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.llm import bpe, decontaminate, embedding_dedup, html_text, language, line_dedup, near_dedup, pii, quality, source_audit, substring_dedup
+from voltmark.llm import bpe, decontaminate, embedding_dedup, html_text, language, license_scan, line_dedup, near_dedup, pii, quality, source_audit, substring_dedup, whitening
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,4 +68,13 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.divergence(table(spark, sf_dir, "documents"), min_docs=3, top=200)
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op5_html_text, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality, op11_source_divergence)}
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scanned(docs, keep_text=False).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32)
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_pii, op4_decontaminate, op5_html_text, op6_language, op7_near_dedup, op8_substring_dedup, op9_line_dedup, op10_quality, op11_source_divergence, op12_licenses, op13_whitening)}
