@@ -21,73 +21,73 @@ BASE = (
 )
 
 # Label, short identifier, full names, web addresses. Names and identifiers of public licences.
-_V2 = "(?: version| v)? 2(?: 0)?"
-_V3 = "(?: version| v)? 3(?: 0)?"
+_V2 = "(?: version)? v?2(?: 0)?"
+_V3 = "(?: version)? v?3(?: 0)?"
 FAMILIES = (
     ("MIT", "mit", ("mit *licen[sc]e", "expat *licen[sc]e", "mit x11 *licen[sc]e", "x11 *licen[sc]e"), ("*opensource org licenses? mit", "*choosealicense com licenses mit")),
     ("MIT-0", "mit 0", ("mit no *attribution(?: licen[sc]e)?",), ("*opensource org licenses? mit 0",)),
     ("Apache-2.0", "apache 2 0", (f"*apache licen[sc]e{_V2}", f"*apache software licen[sc]e{_V2}"), ("*apache org licenses license 2 0", "*opensource org licenses? apache 2 0")),
-    ("Apache-1.1", "apache 1 1", ("*apache (?:software )?licen[sc]e(?: version| v)? 1 1",), ("*apache org licenses license 1 1",)),
-    ("Apache-1.0", "apache 1 0", ("*apache (?:software )?licen[sc]e(?: version| v)? 1 0",), ("*apache org licenses license 1 0",)),
-    ("GPL-1.0", "gpl 1 0(?: only| or later)?", ("*gnu general public licen[sc]e(?: version| v)? 1(?: 0)?",), ("*gnu org licenses(?: old licenses)? gpl 1 0",)),
+    ("Apache-1.1", "apache 1 1", ("*apache (?:software )?licen[sc]e(?: version)? v?1 1",), ("*apache org licenses license 1 1",)),
+    ("Apache-1.0", "apache 1 0", ("*apache (?:software )?licen[sc]e(?: version)? v?1 0",), ("*apache org licenses license 1 0",)),
+    ("GPL-1.0", "gpl 1 0(?: only| or later)?", ("*gnu general public licen[sc]e(?: version)? v?1(?: 0)?",), ("*gnu org licenses(?: old licenses)? gpl 1 0",)),
     ("GPL-2.0", "gpl 2 0(?: only| or later)?", (f"*gnu general public licen[sc]e{_V2}", f"*gnu gpl{_V2}", "*gplv2"), ("*gnu org licenses(?: old licenses)? gpl 2 0", "*opensource org licenses? gpl 2 0")),
     ("GPL-3.0", "gpl 3 0(?: only| or later)?", (f"*gnu general public licen[sc]e{_V3}", f"*gnu gpl{_V3}", "*gplv3"), ("*gnu org licenses gpl 3 0", "*opensource org licenses? gpl 3 0")),
-    ("LGPL-2.0", "lgpl 2 0(?: only| or later)?", ("*gnu (?:library|lesser) general public licen[sc]e(?: version| v)? 2(?: 0)?", "*lgplv2"), ("*gnu org licenses(?: old licenses)? lgpl 2 0",)),
-    ("LGPL-2.1", "lgpl 2 1(?: only| or later)?", ("*gnu lesser general public licen[sc]e(?: version| v)? 2 1", "*lgpl v?2 1"), ("*gnu org licenses(?: old licenses)? lgpl 2 1", "*opensource org licenses? lgpl 2 1")),
+    ("LGPL-2.0", "lgpl 2 0(?: only| or later)?", ("*gnu (?:library|lesser) general public licen[sc]e(?: version)? v?2(?: 0)?", "*lgplv2"), ("*gnu org licenses(?: old licenses)? lgpl 2 0",)),
+    ("LGPL-2.1", "lgpl 2 1(?: only| or later)?", ("*gnu lesser general public licen[sc]e(?: version)? v?2 1", "*lgpl v?2 1"), ("*gnu org licenses(?: old licenses)? lgpl 2 1", "*opensource org licenses? lgpl 2 1")),
     ("LGPL-3.0", "lgpl 3 0(?: only| or later)?", (f"*gnu lesser general public licen[sc]e{_V3}", "*lgplv3"), ("*gnu org licenses lgpl 3 0", "*opensource org licenses? lgpl 3 0")),
     ("AGPL-3.0", "agpl 3 0(?: only| or later)?", (f"*gnu affero general public licen[sc]e{_V3}", "*agplv3"), ("*gnu org licenses agpl 3 0", "*opensource org licenses? agpl 3 0")),
-    ("AGPL-1.0", "agpl 1 0(?: only| or later)?", ("*affero general public licen[sc]e(?: version| v)? 1(?: 0)?",), ()),
-    ("GFDL-1.3", "gfdl 1 3(?: only| or later)?", ("*gnu free documentation licen[sc]e(?:(?: version| v)? 1 3)?",), ("*gnu org licenses fdl 1 3",)),
-    ("GFDL-1.2", "gfdl 1 2(?: only| or later)?", ("*gnu free documentation licen[sc]e(?: version| v)? 1 2",), ("*gnu org licenses(?: old licenses)? fdl 1 2",)),
+    ("AGPL-1.0", "agpl 1 0(?: only| or later)?", ("*affero general public licen[sc]e(?: version)? v?1(?: 0)?",), ()),
+    ("GFDL-1.3", "gfdl 1 3(?: only| or later)?", ("*gnu free documentation licen[sc]e(?:(?: version)? v?1 3)?",), ("*gnu org licenses fdl 1 3",)),
+    ("GFDL-1.2", "gfdl 1 2(?: only| or later)?", ("*gnu free documentation licen[sc]e(?: version)? v?1 2",), ("*gnu org licenses(?: old licenses)? fdl 1 2",)),
     ("BSD-2-Clause", "bsd 2 clause", ("*bsd 2 clause(?: licen[sc]e)?", "(?:simplified|freebsd) *bsd licen[sc]e", "2 clause *bsd(?: licen[sc]e)?", "two clause *bsd(?: licen[sc]e)?"), ("*opensource org licenses? bsd 2 clause",)),
     ("BSD-3-Clause", "bsd 3 clause", ("*bsd 3 clause(?: licen[sc]e)?", "(?:new|modified|revised) *bsd licen[sc]e", "3 clause *bsd(?: licen[sc]e)?", "three clause *bsd(?: licen[sc]e)?"), ("*opensource org licenses? bsd 3 clause",)),
     ("BSD-4-Clause", "bsd 4 clause", ("*bsd 4 clause(?: licen[sc]e)?", "(?:original|old) *bsd licen[sc]e", "4 clause *bsd(?: licen[sc]e)?"), ()),
     ("0BSD", "0bsd", ("zero clause *bsd(?: licen[sc]e)?", "*0bsd"), ("*opensource org licenses? 0bsd",)),
     ("ISC", "isc", ("isc *licen[sc]e",), ("*opensource org licenses? isc",)),
-    ("MPL-1.0", "mpl 1 0", ("*mozilla public licen[sc]e(?: version| v)? 1 0",), ("*mozilla org mpl mpl 1 0",)),
-    ("MPL-1.1", "mpl 1 1", ("*mozilla public licen[sc]e(?: version| v)? 1 1",), ("*mozilla org mpl(?: mpl)? 1 1",)),
+    ("MPL-1.0", "mpl 1 0", ("*mozilla public licen[sc]e(?: version)? v?1 0",), ("*mozilla org mpl mpl 1 0",)),
+    ("MPL-1.1", "mpl 1 1", ("*mozilla public licen[sc]e(?: version)? v?1 1",), ("*mozilla org mpl(?: mpl)? 1 1",)),
     ("MPL-2.0", "mpl 2 0", (f"*mozilla public licen[sc]e{_V2}", f"*mpl{_V2}"), ("*mozilla org mpl 2 0", "*mozilla org en us mpl 2 0")),
-    ("EPL-1.0", "epl 1 0", ("*eclipse public licen[sc]e(?: version| v)? 1(?: 0)?",), ("*eclipse org legal epl v10",)),
+    ("EPL-1.0", "epl 1 0", ("*eclipse public licen[sc]e(?: version)? v?1(?: 0)?",), ("*eclipse org legal epl v10",)),
     ("EPL-2.0", "epl 2 0", (f"*eclipse public licen[sc]e{_V2}",), ("*eclipse org legal epl 2 0", "*eclipse org legal epl v20")),
-    ("EDL-1.0", "edl 1 0", ("*eclipse distribution licen[sc]e(?:(?: version| v)? 1(?: 0)?)?",), ("*eclipse org org documents edl v10",)),
-    ("CDDL-1.0", "cddl 1 0", ("common development and distribution *licen[sc]e(?:(?: version| v)? 1 0)?", "*cddl(?: version| v)? 1 0"), ("*opensource org licenses? cddl 1 0",)),
-    ("CDDL-1.1", "cddl 1 1", ("common development and distribution *licen[sc]e(?: version| v)? 1 1",), ()),
-    ("CPL-1.0", "cpl 1 0", ("common public *licen[sc]e(?:(?: version| v)? 1 0)?",), ("*opensource org licenses? cpl 1 0",)),
-    ("IPL-1.0", "ipl 1 0", ("ibm public *licen[sc]e(?:(?: version| v)? 1 0)?",), ()),
-    ("EUPL-1.1", "eupl 1 1", ("european union public *licen[sc]e(?: version| v)? 1 1", "*eupl(?: version| v)? 1 1"), ()),
-    ("EUPL-1.2", "eupl 1 2", ("european union public *licen[sc]e(?:(?: version| v)? 1 2)?", "*eupl(?: version| v)? 1 2"), ()),
+    ("EDL-1.0", "edl 1 0", ("*eclipse distribution licen[sc]e(?:(?: version)? v?1(?: 0)?)?",), ("*eclipse org org documents edl v10",)),
+    ("CDDL-1.0", "cddl 1 0", ("common development and distribution *licen[sc]e(?:(?: version)? v?1 0)?", "*cddl(?: version)? v?1 0"), ("*opensource org licenses? cddl 1 0",)),
+    ("CDDL-1.1", "cddl 1 1", ("common development and distribution *licen[sc]e(?: version)? v?1 1",), ()),
+    ("CPL-1.0", "cpl 1 0", ("common public *licen[sc]e(?:(?: version)? v?1 0)?",), ("*opensource org licenses? cpl 1 0",)),
+    ("IPL-1.0", "ipl 1 0", ("ibm public *licen[sc]e(?:(?: version)? v?1 0)?",), ()),
+    ("EUPL-1.1", "eupl 1 1", ("european union public *licen[sc]e(?: version)? v?1 1", "*eupl(?: version)? v?1 1"), ()),
+    ("EUPL-1.2", "eupl 1 2", ("european union public *licen[sc]e(?:(?: version)? v?1 2)?", "*eupl(?: version)? v?1 2"), ()),
     ("OSL-3.0", "osl 3 0", (f"open software *licen[sc]e{_V3}",), ("*opensource org licenses? osl 3 0",)),
     ("AFL-3.0", "afl 3 0", (f"academic free *licen[sc]e{_V3}",), ("*opensource org licenses? afl 3 0",)),
-    ("Artistic-1.0", "artistic 1 0", ("*artistic licen[sc]e(?:(?: version| v)? 1(?: 0)?)?",), ("*opensource org licenses? artistic 1 0",)),
+    ("Artistic-1.0", "artistic 1 0", ("*artistic licen[sc]e(?:(?: version)? v?1(?: 0)?)?",), ("*opensource org licenses? artistic 1 0",)),
     ("Artistic-2.0", "artistic 2 0", (f"*artistic licen[sc]e{_V2}",), ("*opensource org licenses? artistic 2 0",)),
-    ("BSL-1.0", "bsl 1 0", ("*boost software licen[sc]e(?:(?: version| v)? 1 0)?",), ("*boost org license 1 0",)),
-    ("BUSL-1.1", "busl 1 1", ("business source *licen[sc]e(?:(?: version| v)? 1 1)?",), ()),
-    ("SSPL-1.0", "sspl 1 0", ("server side public *licen[sc]e(?:(?: version| v)? 1)?", "*sspl(?: version| v)? 1"), ()),
+    ("BSL-1.0", "bsl 1 0", ("*boost software licen[sc]e(?:(?: version)? v?1 0)?",), ("*boost org license 1 0",)),
+    ("BUSL-1.1", "busl 1 1", ("business source *licen[sc]e(?:(?: version)? v?1 1)?",), ()),
+    ("SSPL-1.0", "sspl 1 0", ("server side public *licen[sc]e(?:(?: version)? v?1)?", "*sspl(?: version)? v?1"), ()),
     ("Elastic-2.0", "elastic 2 0", (f"*elastic licen[sc]e{_V2}",), ("*elastic co licensing elastic license",)),
     ("Zlib", "zlib", ("*zlib licen[sc]e", "*zlib libpng licen[sc]e"), ("*opensource org licenses? zlib",)),
     ("Libpng", "libpng(?: 2 0)?", ("*libpng licen[sc]e",), ()),
     ("PostgreSQL", "postgresql", ("*postgresql licen[sc]e",), ("*opensource org licenses? postgresql",)),
     ("PSF-2.0", "psf 2 0", ("python software foundation *licen[sc]e", "*psf licen[sc]e"), ("*python org psf license",)),
     ("Python-2.0", "python 2 0", (f"python *licen[sc]e{_V2}",), ()),
-    ("PHP-3.01", "php 3 01", ("*php licen[sc]e(?:(?: version| v)? 3 01)?",), ("*php net license 3 01",)),
+    ("PHP-3.01", "php 3 01", ("*php licen[sc]e(?:(?: version)? v?3 01)?",), ("*php net license 3 01",)),
     ("Ruby", "ruby", ("ruby *licen[sc]e",), ()),
     ("Unlicense", "unlicense", ("*unlicense",), ("*unlicense org",)),
     ("WTFPL", "wtfpl", ("do what the fuck you want to public *licen[sc]e", "*wtfpl"), ("*wtfpl net",)),
     ("MS-PL", "ms pl", ("microsoft public *licen[sc]e",), ("*opensource org licenses? ms pl",)),
     ("MS-RL", "ms rl", ("microsoft reciprocal *licen[sc]e",), ("*opensource org licenses? ms rl",)),
     ("NCSA", "ncsa", ("university of illinois ncsa open source *licen[sc]e", "ncsa *licen[sc]e"), ("*opensource org licenses? ncsa",)),
-    ("OFL-1.1", "ofl 1 1", ("sil open font *licen[sc]e(?:(?: version| v)? 1 1)?", "open font *licen[sc]e"), ("*scripts sil org ofl",)),
-    ("UPL-1.0", "upl 1 0", ("universal permissive *licen[sc]e(?:(?: version| v)? 1 0)?",), ("*opensource org licenses? upl",)),
+    ("OFL-1.1", "ofl 1 1", ("sil open font *licen[sc]e(?:(?: version)? v?1 1)?", "open font *licen[sc]e"), ("*scripts sil org ofl",)),
+    ("UPL-1.0", "upl 1 0", ("universal permissive *licen[sc]e(?:(?: version)? v?1 0)?",), ("*opensource org licenses? upl",)),
     ("Vim", "vim", ("vim *licen[sc]e",), ()),
     ("W3C", "w3c", ("w3c software(?: notice and)? *licen[sc]e",), ("*w3 org consortium legal",)),
-    ("ZPL-2.1", "zpl 2 1", ("*zope public licen[sc]e(?:(?: version| v)? 2 1)?",), ()),
+    ("ZPL-2.1", "zpl 2 1", ("*zope public licen[sc]e(?:(?: version)? v?2 1)?",), ()),
     ("OpenSSL", "openssl", ("*openssl licen[sc]e",), ("*openssl org source license",)),
-    ("OLDAP-2.8", "oldap 2 8", ("*openldap public licen[sc]e(?:(?: version| v)? 2 8)?",), ("*openldap org software release license",)),
+    ("OLDAP-2.8", "oldap 2 8", ("*openldap public licen[sc]e(?:(?: version)? v?2 8)?",), ("*openldap org software release license",)),
     ("CC0-1.0", "cc0 1 0", ("*cc0(?: 1 0)?(?: universal)?", "*creative commons zero(?: 1 0)?"), ("*creativecommons org publicdomain zero 1 0",)),
     ("ODbL-1.0", "odbl 1 0", ("open database *licen[sc]e(?: 1 0)?", "*odbl"), ("*opendatacommons org licenses odbl",)),
     ("ODC-By-1.0", "odc by 1 0", ("open data commons attribution *licen[sc]e", "*odc by"), ("*opendatacommons org licenses by",)),
     ("PDDL-1.0", "pddl 1 0", ("public domain dedication and *licen[sc]e", "*pddl"), ("*opendatacommons org licenses pddl",)),
-    ("OGL-UK-3.0", "ogl uk 3 0", ("open government *licen[sc]e(?: version| v)?(?: 3(?: 0)?)?",), ("*nationalarchives gov uk doc open government licence",)),
+    ("OGL-UK-3.0", "ogl uk 3 0", ("open government *licen[sc]e(?:(?: version)? v?3(?: 0)?)?",), ("*nationalarchives gov uk doc open government licence",)),
 )
 
 # The parts of a Creative Commons licence and their names.
