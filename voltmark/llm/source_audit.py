@@ -23,7 +23,7 @@ from voltmark.llm.scratch import Scratch, small_batches
 #: Bytes of terms, which are runs of ASCII letters and characters outside ASCII; everything else ends a term.
 _AS_TERM = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 #: Counts that a task holds before it sends them on, and bytes of a text whose words it holds at once.
-HELD_TERMS, PIECE_BYTES = 1 << 18, 1 << 19
+HELD_TERMS, PIECE_BYTES = 1 << 19, 1 << 19
 #: Terms and sources that are compared in one task, about: two blocks of sources over one bucket of terms.
 TILE_TERMS, TILE_SOURCES = 1 << 13, 64
 
