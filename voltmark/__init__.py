@@ -11,6 +11,7 @@ The usual entry points::
 """
 
 from voltmark.plans.graph import ENERGY_GRAPH, EntityGraph
+from voltmark.plans.incremental import run_incremental
 from voltmark.plans.medallion import bronze_to_silver, run_all, silver_to_gold
 from voltmark.plans.metrics import ENERGY_MODEL, metrics
 from voltmark.session import build_session
@@ -28,5 +29,6 @@ __all__ = [
     "land_rows",
     "metrics",
     "run_all",
+    "run_incremental",
     "silver_to_gold",
 ]

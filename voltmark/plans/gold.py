@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_KPI_SUMS = {
+    "total_co2_kg": "co2_emissions_kg",
+    "total_energy_kwh": "energy_consumed_kwh",
+    "total_cost": "energy_cost",
+}
 
 
 def agg_daily_consumption_by_site(consumption: DataFrame) -> DataFrame:
@@ -28,17 +35,15 @@ def kpi_co2_by_region(cost: DataFrame, sites: DataFrame, by_currency: bool = Fal
     sums are the same groups the join of single bills would give.
     """
     grain = ["billing_period", *(["currency"] if by_currency else [])]
-    measures = {
-        "total_co2_kg": "co2_emissions_kg",
-        "total_energy_kwh": "energy_consumed_kwh",
-        "total_cost": "energy_cost",
-    }
-    per_site = cost.groupBy("site_id", *grain).agg(*[F.sum(source).alias(name) for name, source in measures.items()])
+    per_site = cost.groupBy("site_id", *grain).agg(*[F.sum(source).alias(name) for name, source in _KPI_SUMS.items()])
+    return kpi_from_sums(per_site, sites, grain)
+
+
+def kpi_from_sums(per_site: DataFrame, sites: DataFrame, grain: Sequence[str] = ("billing_period",)) -> DataFrame:
+    """The indicators from sums of bills per site and ``grain``."""
     regions = sites.select("site_id", "region_id", "region")
     return (
         per_site.join(regions, "site_id", "left")
         .groupBy("region_id", "region", *grain)
-        .agg(*[F.sum(name).alias(name) for name in measures])
+        .agg(*[F.sum(name).alias(name) for name in _KPI_SUMS])
     )
-
-

@@ -68,8 +68,13 @@ def dim_site(raw_site: DataFrame, consumption: DataFrame, cost: DataFrame) -> Da
     other, and a site with a third of all readings is one row by then. All three inputs of the
     joins come out of a shuffle on ``site_id``; the joins add none.
     """
+    return sites_with_totals(raw_site, energy_by_site(consumption), cost_by_site(cost))
+
+
+def sites_with_totals(raw_site: DataFrame, energy: DataFrame, cost: DataFrame) -> DataFrame:
+    """Sites with their totals, from tables with one row for each site."""
     sites = conform(raw_site, "dim_site", derive={"region_id": surrogate_key(F.col("region"))})
-    joined = sites.join(energy_by_site(consumption), "site_id", "left").join(cost_by_site(cost), "site_id", "left")
+    joined = sites.join(energy, "site_id", "left").join(cost, "site_id", "left")
     return joined.na.fill(0.0, TOTALS).select(*table("dim_site").columns)
 
 

@@ -150,8 +150,39 @@ _ALL = (
 
 TABLES: dict[str, Table] = {t.name: t for t in _ALL}
 
+# What incremental runs keep for themselves, beside the layers: sums that later runs add to, and how far the last one came.
+STATE: dict[str, Table] = {
+    t.name: t
+    for t in (
+        Table(
+            "daily_state",
+            "state",
+            "site_id string, energy_sum double, energy_n long, power_sum double, power_n long, factor_sum double, "
+            "factor_n long, readings long, reading_date date",
+            ("site_id", "reading_date"),
+            ("reading_date",),
+        ),
+        Table(
+            "billing_state",
+            "state",
+            "site_id string, billing_period string, energy_sum double, energy_n long, cost_sum double, cost_n long, "
+            "co2_sum double, co2_n long, bills long",
+            ("site_id", "billing_period"),
+        ),
+        Table(
+            "run_state",
+            "state",
+            "table_name string, version string, part long, high_water long",
+            ("table_name",),
+        ),
+        Table("pending_days", "state", "reading_date date", ("reading_date",)),
+    )
+}
+
 
 def table(name: str) -> Table:
+    if name in STATE:
+        return STATE[name]
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}; known: {', '.join(TABLES)}")
     return TABLES[name]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,8 @@ class Lake:
 
     A Parquet table is a folder of numbered versions. An overwrite writes the next one beside the others; it counts
     from the moment Spark marks it as complete, so a failed or interrupted overwrite leaves the table as it was. The
-    version before stays until the next overwrite, for readers that are under way. One writer at a time.
+    version before stays until the next overwrite, for readers that are under way. An append to a version is a numbered
+    part in a folder of its own, which counts in the same way: all of its rows are read, or none. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
@@ -39,7 +41,7 @@ class Lake:
         return fs.exists(path)
 
     def location(self, name: str) -> str:
-        """The folder whose files are the table's rows now; an error if no complete version exists."""
+        """The folder of the table's version that counts now, without later appends; an error if there is none."""
         if self.fmt != "parquet":
             return self.path(name)
         complete = self._versions(name, complete=True)
@@ -47,13 +49,40 @@ class Lake:
             raise FileNotFoundError(f"no complete table {name} at {self.path(name)}")
         return f"{self.path(name)}/{complete[-1]}"
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, after: int = -1) -> DataFrame:
         """A lazy scan. With the table's own schema for Parquet, so that empty tables read and
-        columns declared after a file was written come back as null."""
-        reader = self.spark.read.format(self.fmt)
-        if self.fmt == "parquet":
-            reader = reader.schema(table(name).schema)
-        return reader.load(self.location(name))
+        columns declared after a file was written come back as null.
+
+        ``after`` leaves out the parts up to that number, as given by :meth:`position`.
+        """
+        spec = table(name)
+        if self.fmt != "parquet":
+            if after >= 0:
+                raise ValueError("parts of a table can be told apart in Parquet tables only")
+            return self.spark.read.format(self.fmt).load(self.location(name))
+        whole, parts = self.location(name), self._parts(name)
+        appended = [f"{self._appended(name, whole)}/part={n:08}" for n in parts if n > max(after, 0)]
+        first = [whole] if after < 0 else []
+        if not spec.partition_by or not appended:
+            paths = first + appended
+            return self._scan(spec, paths) if paths else self._empty(spec)
+        # Partitioned folders with different roots can't be one scan.
+        later = self._scan(spec, appended, self._appended(name, whole))
+        return self._scan(spec, first).unionByName(later) if first else later
+
+    def _scan(self, spec: Table, paths: list[str], root: str | None = None) -> DataFrame:
+        reader = self.spark.read.format(self.fmt).schema(spec.schema)
+        if root:
+            reader = reader.option("basePath", root)
+        return reader.load(paths).select(*spec.columns)
+
+    def position(self, name: str) -> tuple[str, int]:
+        """The version of a Parquet table that counts now, distinct from all before it, and its last complete part."""
+        if self.fmt != "parquet":
+            raise ValueError("only Parquet tables are written in numbered parts")
+        fs, mark = self._filesystem(f"{self.location(name)}/_SUCCESS")
+        written = fs.getFileStatus(mark).getModificationTime()
+        return f"{mark.getParent().getName()}@{written}", self._parts(name)[-1]
 
     def read_required(self, name: str) -> DataFrame:
         """As :meth:`read`, but an error when the table has no rows yet."""
@@ -82,16 +111,45 @@ class Lake:
         """Add ``df`` to the table and return the rows written."""
         return self._write(table(name), df, "append")
 
-    def _write(self, spec: Table, df: DataFrame, mode: str) -> int:
+    def replace_partitions(self, name: str, df: DataFrame, values: Iterable[date]) -> int:
+        """Replace the partitions of these days by ``df``, whose rows all are of these days, and return the rows
+        written. Files of other partitions are not touched; a day without rows has no partition afterwards.
+
+        Each day is replaced at once, but the days one after another: an interrupted call must be repeated, and who was
+        reading one of these days must read again.
+        """
+        spec, values = table(name), set(values)
+        if self.fmt != "parquet" or len(spec.partition_by) != 1:
+            raise ValueError(f"{name} is no Parquet table with one partition column")
+        if self._parts(name) != [0]:
+            raise ValueError(f"{name} has appended parts; overwrite it first")
+        (column,) = spec.partition_by
+        seen = Observation()
+        counted = [F.count(F.lit(1)).alias("rows"), F.collect_set(column).alias("values")]
+        rows = self._gathered(df, spec).observe(seen, *counted)
+        writer = rows.write.format(self.fmt).mode("overwrite").partitionBy(column)
+        writer.option("partitionOverwriteMode", "dynamic").save(self.location(name))
+        filled = set(seen.get["values"])
+        if not filled <= values:
+            raise ValueError(f"{name}: rows of days that were not to be replaced: {sorted(filled - values)[:3]}")
+        for value in values - filled:
+            fs, path = self._filesystem(f"{self.location(name)}/{column}={value}")
+            fs.delete(path, True)
+        return seen.get["rows"]
+
+    def _gathered(self, df: DataFrame, spec: Table) -> DataFrame:
         rows = _checked(df, spec)
         if spec.partition_by:
             # Puts the rows of a partition value together, so a task does not write a file for
             # every value. Unlike repartition, a rebalance lets adaptive execution split a value
             # that holds much of the table over several tasks.
             rows = rows.hint("rebalance", *[F.col(c) for c in spec.partition_by])
+        return rows
+
+    def _write(self, spec: Table, df: DataFrame, mode: str) -> int:
         # Counted while writing; a count() afterwards would run the whole plan again.
         seen = Observation()
-        self._save(spec, rows.observe(seen, F.count(F.lit(1)).alias("rows")), mode)
+        self._save(spec, self._gathered(df, spec).observe(seen, F.count(F.lit(1)).alias("rows")), mode)
         return seen.get["rows"]
 
     def _save(self, spec: Table, rows: DataFrame, mode: str) -> None:
@@ -100,14 +158,33 @@ class Lake:
             return
         before = self._versions(spec.name, complete=True)
         if mode == "append" and before:
-            self._writer(spec, rows, "append").save(f"{self.path(spec.name)}/{before[-1]}")
+            folder = self._appended(spec.name, before[-1])
+            number = max([0, *self._numbers(folder)]) + 1
+            self._writer(spec, rows, "errorifexists").save(f"{folder}/part={number:08}")
             return
         taken = self._versions(spec.name, complete=False)
         new = f"v{int(taken[-1][1:]) + 1 if taken else 1:08}"
         self._writer(spec, rows, "errorifexists").save(f"{self.path(spec.name)}/{new}")
         for version in set(taken) - set(before[-1:]):
-            fs, path = self._filesystem(f"{self.path(spec.name)}/{version}")
-            fs.delete(path, True)
+            for folder in (f"{self.path(spec.name)}/{version}", self._appended(spec.name, version)):
+                fs, path = self._filesystem(folder)
+                fs.delete(path, True)
+
+    def _appended(self, name: str, version: str) -> str:
+        """The folder of the parts appended to a version."""
+        return f"{self.path(name)}/a{version.rsplit('/', 1)[-1][1:]}"
+
+    def _numbers(self, folder: str) -> list[int]:
+        """The parts in a folder, complete or not."""
+        fs, path = self._filesystem(folder)
+        names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted(int(n.removeprefix("part=")) for n in names if n.startswith("part="))
+
+    def _parts(self, name: str) -> list[int]:
+        """The complete parts of the version that counts: 0 for the version itself, then its appends."""
+        folder = self._appended(name, self.location(name))
+        marks = {n: self._filesystem(f"{folder}/part={n:08}/_SUCCESS") for n in self._numbers(folder)}
+        return [0, *[n for n, (fs, mark) in marks.items() if fs.exists(mark)]]
 
     def _versions(self, name: str, complete: bool) -> list[str]:
         """Version folders of a Parquet table in order; with ``complete`` those that Spark has marked as written."""

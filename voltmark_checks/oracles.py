@@ -326,6 +326,33 @@ _EVENT_WALK = """
     FROM dim_site s JOIN dim_device d ON d.site_id = s.site_id
          JOIN maintenance_event m ON m.device_id = d.device_id JOIN dim_supplier p ON p.supplier_id = m.supplier_id"""
 
+# The extracts with the third delivery, as in voltmark_checks.sample_lake.
+_FIRST_READINGS = f"SELECT * FROM ({EXTRACTS['raw_meter_readings']}) WHERE ingested_at = TIMESTAMP '2024-02-01'"
+_THIRD = {
+    "raw_meter_readings": f"""{EXTRACTS['raw_meter_readings']}
+        UNION ALL
+        SELECT * REPLACE (
+            (try_cast("timestamp" AS timestamp) + INTERVAL 40 DAYS)::varchar AS "timestamp",
+            (try_cast(energy_kwh AS double) + 2)::varchar AS energy_kwh, TIMESTAMP '2024-02-06' AS ingested_at)
+        FROM ({_FIRST_READINGS}) WHERE reading_id::bigint % 13 = 0
+        UNION ALL
+        SELECT * FROM ({_FIRST_READINGS}) WHERE reading_id::bigint % 7 = 1
+        UNION ALL
+        SELECT * REPLACE ('1000' AS energy_kwh, TIMESTAMP '2024-01-15' AS ingested_at)
+        FROM ({_FIRST_READINGS}) WHERE reading_id::bigint % 11 = 2
+        UNION ALL
+        SELECT * REPLACE ('late-' || reading_id AS reading_id, TIMESTAMP '2024-01-15' AS ingested_at)
+        FROM ({_FIRST_READINGS}) WHERE reading_id::bigint % 17 = 3""",
+    "raw_billing": f"""{EXTRACTS['raw_billing']}
+        UNION ALL
+        SELECT * REPLACE ('2030-01' AS billing_period, TIMESTAMP '2024-02-07' AS ingested_at)
+        FROM ({EXTRACTS['raw_billing']}) WHERE ingested_at = TIMESTAMP '2024-02-01' AND cost_id::bigint % 7 = 0""",
+    "raw_site": f"""{EXTRACTS['raw_site']}
+        UNION ALL
+        SELECT * REPLACE ('MOON' AS region, TIMESTAMP '2024-02-07' AS ingested_at)
+        FROM ({EXTRACTS['raw_site']}) WHERE ingested_at = TIMESTAMP '2024-02-01' AND site_id::bigint % 11 = 0""",
+}
+
 ORACLES = {
     "dim_region": _sql("SELECT * FROM dim_region"),
     "dim_device": _sql("SELECT * FROM dim_device"),
@@ -558,6 +585,11 @@ ORACLES = {
     "stored_traverse_supplier": _sql(
         f"SELECT s.site_id, s.site_name, d.device_id, m.event_id, p.supplier_id, p.supplier_name, p.country {_EVENT_WALK}"
     ),
+    "incremental_consumption": _sql(f"SELECT {_CONSUMPTION_TEXT} FROM fact_energy_consumption", **_THIRD),
+    "incremental_daily": _sql(_DAILY, **_THIRD),
+    "incremental_cost": _sql("SELECT * FROM fact_energy_cost", **_THIRD),
+    "incremental_sites": _sql(f"SELECT {_SITE_TEXT} FROM dim_site", **_THIRD),
+    "incremental_kpi": _sql(_kpi(), **_THIRD),
     "lifecycle_truncate": _sql(f"""
         SELECT 'dim_region' AS table_name, count(*) AS first_run, count(*) AS second_run FROM dim_region
         UNION ALL SELECT 'dim_site', count(*), count(*) FROM dim_site

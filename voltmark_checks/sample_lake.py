@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voltmark.functions.parse import to_timestamp
 from voltmark.plans import silver
 
 
@@ -149,6 +150,32 @@ def raw_billing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(_stamped(delivery(orders.filter("o_orderkey % 10 = 0"), 3), "2024-02-04 00:00:00", "corrections"))
 
 
+def third_delivery(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What arrives after all of the above: readings moved to another day, old ones delivered again as they were, and late files
+    with earlier ingestion times, some of them of readings nobody had; bills moved to another period; sites of other regions."""
+    readings = raw_meter_readings(spark, sf_dir)
+    first = readings.filter("source_file = 'meters'")
+    number = "CAST(reading_id AS bigint)"
+    moved = first.filter(f"{number} % 13 = 0").withColumns(
+        {
+            "timestamp": (to_timestamp(F.col("timestamp")) + F.expr("INTERVAL 40 DAYS")).cast("string"),
+            "energy_kwh": F.expr("CAST(try_cast(energy_kwh AS double) + 2 AS string)"),
+        }
+    )
+    replayed = first.filter(f"{number} % 7 = 1")
+    late = first.filter(f"{number} % 11 = 2").withColumn("energy_kwh", F.lit("1000"))
+    unknown = first.filter(f"{number} % 17 = 3").withColumn("reading_id", F.concat(F.lit("late-"), "reading_id"))
+    early = {"ingested_at": F.lit("2024-01-15 00:00:00").cast("timestamp"), "source_file": F.lit("late meters")}
+    moved = moved.withColumns({"ingested_at": F.lit("2024-02-06 00:00:00").cast("timestamp"), "source_file": F.lit("moved")})
+    readings = moved.unionByName(replayed).unionByName(late.withColumns(early)).unionByName(unknown.withColumns(early))
+    bills = raw_billing(spark, sf_dir).filter("source_file = 'bills' AND CAST(cost_id AS bigint) % 7 = 0")
+    bills = bills.withColumn("billing_period", F.lit("2030-01"))
+    sites = raw_site(spark, sf_dir).filter("source_file = 'sites' AND CAST(site_id AS bigint) % 11 = 0")
+    sites = sites.withColumn("region", F.lit("MOON"))
+    later = {"ingested_at": F.lit("2024-02-07 00:00:00").cast("timestamp"), "source_file": F.lit("third")}
+    return {"raw_meter_readings": readings, "raw_billing": bills.withColumns(later), "raw_site": sites.withColumns(later)}
+
+
 def supplier_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers; every third is corrected later, to a contract of a year before."""
     nation = sample(spark, sf_dir, "nation")
