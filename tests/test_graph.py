@@ -52,6 +52,51 @@ def test_walk_to_suppliers(graph):
     ]
 
 
+def test_walks_from_some_entities(graph, spark):
+    path = ["hasDevice", "hasMaintenance", "performedBy"]
+    whole = graph.traverse(path).collect()
+    assert len(whole) == 3
+    for start in (["mesa", "quay", "gone"], spark.createDataFrame([("mesa",), ("quay",), ("mesa",), (None,)], "any string")):
+        assert rows_of(graph.traverse(path, start=start)) == [("mesa", "m-4", "x3", "k7")]
+    assert rows_of(graph.traverse(path, start=[])) == []
+    where = {"Supplier": {"supplier_name": ["Omicron"]}}
+    assert rows_of(graph.traverse(path, where=where)) == [("north-hall", "m-1", "x2", "o2")]
+    assert rows_of(graph.traverse(path, start=["mesa"], where=where)) == []
+    assert rows_of(graph.traverse(path, where={2: {"event_type": ["repair"]}}), "event_id") == [("x1",), ("x3",)]
+    back = graph.traverse(["^hasDevice"], where={"Device": {"is_active": [None, False]}})
+    assert rows_of(back, "device_id") == [("m-3",), ("m-5",)]
+    # Both stops of a name that occurs twice, or one of them.
+    twice = ["hasDevice", "^hasDevice", "hasDevice"]
+    both = rows_of(graph.traverse(twice, where={"Device": {"device_type": ["water_meter"]}}), "device_id", "device_id_3")
+    assert both == [("m-2", "m-2")]
+    one = rows_of(graph.traverse(twice, where={3: {"device_type": ["water_meter"]}}), "device_id", "device_id_3")
+    assert one == [("m-1", "m-2"), ("m-2", "m-2")]
+    with pytest.raises(ValueError, match="not on the path"):
+        graph.traverse(path, where={"Region": {"region_code": ["EMEA"]}})
+    with pytest.raises(ValueError, match="no properties"):
+        graph.traverse(path, where={"Supplier": {"nope": [1]}})
+    with pytest.raises(ValueError, match="steps 0 to 3"):
+        graph.traverse(path, where={4: {"supplier_name": ["x"]}})
+    with pytest.raises(ValueError, match="one column"):
+        graph.traverse(path, start=spark.createDataFrame([(1, 2)], "a int, b int"))
+
+
+def test_walks_over_a_table_of_edges(spark):
+    spec = GraphSpec(
+        entities={n: Entity(n, n.lower(), "id", ("id", "kind")) for n in ("A", "B")},
+        links={"to": Link("to", "A", "B", "ab", "a", "b")},
+    )
+    tables = {
+        "a": spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, kind string"),
+        "b": spark.createDataFrame([(7, "x"), (8, "y"), (9, None)], "id int, kind string"),
+        "ab": spark.createDataFrame([(1, 7), (1, 8), (2, 8), (2, 8), (3, 9), (None, 9), (4, 7)], "a int, b int"),
+    }
+    graph = EntityGraph(tables, spec)
+    assert rows_of(graph.traverse(["to"])) == [(1, 7), (1, 8), (2, 8), (3, 9)]
+    assert rows_of(graph.traverse(["to"], start=[1, 4], where={"B": {"kind": ["y", None]}})) == [(1, 8)]
+    assert rows_of(graph.traverse(["^to", "to"], start=[9], where={1: {"kind": [None]}})) == [(9, 3, 9)]
+
+
 def test_walk_back_and_forth(graph):
     back = graph.traverse(["^performedBy", "^hasMaintenance", "^hasDevice", "locatedIn"], carry={"Region": ["region_code"]})
     assert rows_of(back, "supplier_id", "region_code") == [("k7", "AMER"), ("k7", "EMEA"), ("o2", "EMEA")]

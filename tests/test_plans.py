@@ -171,3 +171,36 @@ def test_a_filter_on_the_day_prunes_partitions(golden):
     result = metrics(golden.bind(), ["Total Energy (kWh)"], by=[("dim_region", "region_name")], where=day)
     assert re.search(r"PartitionFilters: \[[^\]]*reading_date#\d+ (IN|=)", plan_of(result))
     assert [r[1] for r in result.collect()] == [32.0]
+
+
+def test_walks_reduce_their_tables_before_they_join_them(spark, golden):
+    path = ["hasDevice", "hasMaintenance", "performedBy"]
+    graph = EntityGraph(golden.bind())
+    with session_settings(spark, LARGE):
+        walk = graph.traverse(path, start=["mesa"], where={"Supplier": {"country": ["Chile"]}})
+        plan = walk._jdf.queryExecution().optimizedPlan().toString()
+        plain = graph.traverse(path)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plain
+    # Three semi-joins from the end, three from the start, all below the three joins of the walk.
+    assert plan.count("Join Inner") == 3 and plan.count("LeftSemi") >= 6
+    assert plan.split("Join Inner")[-1].count("LeftSemi") >= 2
+    assert len(walk.collect()) == 1
+
+
+def test_dimension_filters_reach_the_fact_before_it_is_summed(golden):
+    from voltmark import metrics
+
+    def planned(values):
+        where = {("dim_region", "region_code"): values}
+        return metrics(golden.bind(), ["Total Energy (kWh)"], by=[("dim_site", "country")], where=where)
+
+    for values, kind in ((["EMEA"], "LeftSemi"), (["EMEA", None], "LeftAnti")):
+        plan = planned(values)._jdf.queryExecution().optimizedPlan().toString()
+        lines = plan.splitlines()
+        reduction = next(i for i, line in enumerate(lines) if kind in line)
+        depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(lines)}
+        summed = [i for i in range(reduction) if "Aggregate" in lines[i] and "energy_kwh" in lines[i]]
+        assert summed and depth[summed[-1]] < depth[reduction], plan
+        assert "Join LeftOuter" in plan[: plan.index(kind)]  # the slicer is joined to the sums
+    assert dict(rows_of(planned(["EMEA"]))) == {"Norway": 36.0}
+    assert dict(rows_of(planned([None]))) == {None: 5.0, "Oman": 3.0}

@@ -1,8 +1,8 @@
-"""Labels, safe ratios and number display."""
+"""Labels, comparison with lists of values, safe ratios and number display."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,12 @@ def labelled(code: Column, labels: Mapping[str, str]) -> Column:
     return chain.otherwise(code)
 
 
+def has_value(column: Column, values: Sequence) -> Column:
+    """Whether the column has one of the values; None among them asks for nulls."""
+    present = [v for v in values if v is not None]
+    return column.isin(present) | column.isNull() if len(present) < len(values) else column.isin(present)
+
+
 def safe_divide(numerator: Column, denominator: Column) -> Column:
     """Null, not an error, when the denominator is zero or null."""
     return F.try_divide(numerator, denominator)

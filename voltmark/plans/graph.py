@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark.functions import stable_id63, stable_uuid5
+from voltmark.functions import has_value, stable_id63, stable_uuid5
 from voltmark.registry import TABLES
 
 
@@ -219,23 +219,56 @@ class EntityGraph:
             for link in self.spec.links.values()
         )
 
-    def traverse(self, path: Sequence[str], carry: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    def traverse(
+        self,
+        path: Sequence[str],
+        carry: Mapping[str, Sequence[str]] | None = None,
+        start: Sequence | DataFrame | None = None,
+        where: Mapping[str | int, Mapping[str, Sequence]] | None = None,
+    ) -> DataFrame:
         """Follow links (``^name`` for the opposite direction) and return one row per walk.
 
         The columns are the key of each entity on the way and, for entities in ``carry``, further
         properties of theirs. A name that occurs twice gets the number of the step as suffix.
 
+        ``start`` gives the ids of the first entities, as values or as a frame of one column. ``where`` keeps entities
+        whose properties have one of the values (None asks for null), by entity, for each stop of that name, or by number of step.
+        Then tables are reduced before they are joined: from the last restricted stop back, each keeps the rows that lead on to
+        a row that is left, and from the first one on, those that one leads to. So no walk is begun that isn't in the result.
+
         A link stored in the table of one of its entities needs no edge join: the target's own row
         names its source, or the source's own row its target. So each hop of the energy graph is
         one equi-join, and skewed keys in it are split by adaptive execution.
         """
-        carry = carry or {}
-        links, stops = self._path(path, carry)
-        walk = self._stop(0, stops[0], carry, links[0])
-        for i, link in enumerate(links, start=1):
-            walk = self._hop(walk, i, link, carry, links[i] if i < len(links) else None)
+        carry, where = carry or {}, where or {}
+        links, stops = self._path(path, [*carry, *(w for w in where if isinstance(w, str))])
+        beyond = [w for w in where if not isinstance(w, str) and not 0 <= w < len(stops)]
+        if beyond:
+            raise ValueError(f"the path has steps 0 to {len(stops) - 1}, not {beyond}")
+        steps = _reduced(self._steps(links, stops, carry, start, where))
+        walk = steps[0].rows
+        for before, step in zip(steps, steps[1:], strict=False):
+            walk = _equi(walk, before.onward, step.rows, step.back)
         return walk.select(*self._output(stops, carry))
 
+    def _steps(self, links, stops, carry, start, where) -> list[_Step]:
+        """The tables along a path, in the order they are joined."""
+        steps = []
+        for i, name in enumerate(stops):
+            e = self.spec.entity(name)
+            link, onward = links[i - 1] if i else None, links[i] if i < len(links) else None
+            back = f"{i}|{link.source_column if link and self._held_by(link) == 'target' else e.key}"
+            if link and self._held_by(link) == "neither":
+                edges = self.edges(link.name).select(F.col("src").alias(f"{i}<"), F.col("dst").alias(f"{i}>"))
+                steps.append(_Step(edges, f"{i}<", f"{i}>"))
+            asked = {**where.get(name, {}), **where.get(i, {})}
+            rows = self._stop(i, name, carry, onward, extra=back.split("|", 1)[1], where=asked)
+            leads = onward.target_column if onward and self._held_by(onward) == "source" else e.key
+            if i == 0 and start is not None:
+                rows = _of_ids(rows, f"0|{e.key}", start)
+            steps.append(_Step(rows, back, f"{i}|{leads}", restricted=bool(asked) or (i == 0 and start is not None)))
+        return steps
+
     def rollup(
         self, path: Sequence[str], measures: Mapping[str, str | None], by: Mapping[str, Sequence[str]]
     ) -> DataFrame:
@@ -265,7 +298,7 @@ class EntityGraph:
                 taken.add(c)
         return walk.groupBy(*groups).agg(*[F.sum(f"`sum|{name}`").alias(name) for name in measures])
 
-    def _path(self, path: Sequence[str], named: Mapping[str, Sequence[str]]) -> tuple[list[Link], list[str]]:
+    def _path(self, path: Sequence[str], named: Iterable[str]) -> tuple[list[Link], list[str]]:
         """The links of a path and the entities along it."""
         if not path:
             raise ValueError("a traversal needs at least one link")
@@ -283,20 +316,34 @@ class EntityGraph:
 
     # Columns on the way are named "{step}|{property}".
 
-    def _stop(self, i: int, name: str, carry, onward: Link | None, extra: str | None = None) -> DataFrame:
+    def _stop(
+        self, i: int, name: str, carry, onward: Link | None, extra: str | None = None, where: Mapping[str, Sequence] | None = None
+    ) -> DataFrame:
         """Key, carried properties and the column the next hop starts from, of one entity."""
         e = self.spec.entity(name)
+        unknown = [c for c in where or {} if c not in e.properties]
+        if unknown:
+            raise ValueError(f"{name} has no properties {unknown}")
         columns = [e.key, *carry.get(name, ())]
         if onward and self._stored_with(onward, e, onward.source_column):
             columns.append(onward.target_column)
         if extra:
             columns.append(extra)
-        return self._table(e.table).select(*[F.col(c).alias(f"{i}|{c}") for c in dict.fromkeys(columns)])
+        rows = self._table(e.table)
+        for column, values in (where or {}).items():
+            rows = rows.filter(has_value(F.col(column), values))
+        return rows.select(*[F.col(c).alias(f"{i}|{c}") for c in dict.fromkeys(columns)])
 
     def _stored_with(self, link: Link, e: Entity, column: str) -> bool:
         """Whether the link's table is the entity's own and ``column`` is its key there."""
         return link.table == e.table and column == e.key
 
+    def _held_by(self, link: Link) -> str:
+        """Which end of a link has the other's key in its own table."""
+        if self._stored_with(link, self.spec.entity(link.target), link.target_column):
+            return "target"
+        return "source" if self._stored_with(link, self.spec.entity(link.source), link.source_column) else "neither"
+
     def _hop(self, walk: DataFrame, i: int, link: Link, carry, onward: Link | None, how: str = "inner") -> DataFrame:
         source, target = self.spec.entity(link.source), self.spec.entity(link.target)
         here, there = f"{i - 1}|{source.key}", f"{i}|{target.key}"
@@ -319,6 +366,40 @@ class EntityGraph:
         return columns
 
 
+@dataclass(frozen=True)
+class _Step:
+    """A table of a path: the columns it is joined by to the step before and to the next, and whether rows of it were
+    left out on purpose."""
+
+    rows: DataFrame
+    back: str
+    onward: str
+    restricted: bool = False
+
+
+def _reduced(steps: list[_Step]) -> list[_Step]:
+    """The steps without rows that a restricted step rules out: semi-joins from the last one back and from the first one on."""
+    restricted = [k for k, step in enumerate(steps) if step.restricted]
+    if not restricted:
+        return steps
+    steps = list(steps)
+    for k in range(restricted[-1] - 1, -1, -1):
+        rows = _equi(steps[k].rows, steps[k].onward, steps[k + 1].rows.select(f"`{steps[k + 1].back}`"), steps[k + 1].back, "left_semi")
+        steps[k] = replace(steps[k], rows=rows)
+    for k in range(restricted[0] + 1, len(steps)):
+        rows = _equi(steps[k].rows, steps[k].back, steps[k - 1].rows.select(f"`{steps[k - 1].onward}`"), steps[k - 1].onward, "left_semi")
+        steps[k] = replace(steps[k], rows=rows)
+    return steps
+
+
+def _of_ids(rows: DataFrame, key: str, ids: Sequence | DataFrame) -> DataFrame:
+    if not isinstance(ids, DataFrame):
+        return rows.filter(F.col(f"`{key}`").isin(list(ids)))
+    if len(ids.columns) != 1:
+        raise ValueError("start ids are one column")
+    return _equi(rows, key, ids.toDF("start!"), "start!", "left_semi")
+
+
 def type_ids(spark: SparkSession, spec: GraphSpec = ENERGY_GRAPH) -> DataFrame:
     """Stable ids of the entity, property and link types, and of the bindings to tables."""
     rows = []

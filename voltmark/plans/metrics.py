@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voltmark.functions import display_number, safe_divide
+from voltmark.functions import display_number, has_value, safe_divide
 from voltmark.registry import table
 
 ColumnRef = tuple[str, str]  # (table, column)
@@ -314,12 +314,6 @@ def _value(model: StarModel, name: str) -> Column:
     return total if m.kind == "sum" else F.when(count > 0, count)
 
 
-def _matches(column: Column, values: Sequence) -> Column:
-    """Whether the column has one of the values; None among them asks for nulls."""
-    present = [v for v in values if v is not None]
-    return column.isin(present) | column.isNull() if len(present) < len(values) else column.isin(present)
-
-
 def _filters(model, home, where, use) -> dict[ColumnRef, Sequence]:
     """The filters that reach a table; the others leave its measures alone."""
     return {ref: values for ref, values in where.items() if model.path(home, ref[0], use) is not None}
@@ -342,18 +336,19 @@ def _same_way(model, homes, reach, where, use) -> list[list[str]]:
 def _branch(tables, model, homes, base, slicers, where, names, use) -> DataFrame:
     """Partial sums of some tables' measures with the slicers they reach, not yet one row per group.
 
-    Rows of each table are summed per foreign key (and own slicer) before dimensions are joined,
-    and tables that reach them the same way are joined as one.
+    Filters come first, those by a dimension as a semi-join with its keys. Rows of each table are then summed per foreign
+    key (and own slicer) before dimensions are joined, and tables that reach them the same way are joined as one.
     """
     lead = homes[0]
-    filters = _filters(model, lead, where, use)
-    remote = list(dict.fromkeys(ref for ref in (*slicers, *filters) if ref[0] != lead))
+    remote = [ref for ref in slicers if ref[0] != lead]
     summed = []
     for home in homes:
         rows = tables[home]
-        for (owner, column), values in filters.items():
+        for (owner, column), values in _filters(model, home, where, use).items():
             if owner == home:
-                rows = rows.filter(_matches(F.col(f"`{column}`"), values))
+                rows = rows.filter(has_value(F.col(f"`{column}`"), values))
+            else:
+                rows = _of_members(rows, tables, model.path(home, owner, use), column, values)
         first_steps = [model.path(home, ref[0], use)[0] for ref in remote]
         grain = {names[ref]: ref[1] for ref in slicers if ref[0] == home}
         grain |= {_link(step, home): step.many_column for step in first_steps}
@@ -364,13 +359,28 @@ def _branch(tables, model, homes, base, slicers, where, names, use) -> DataFrame
         )
     together = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), summed)
     joined = _join_dimensions(together, tables, lead, [model.path(lead, ref[0], use) for ref in remote], remote, names)
-    for ref, values in filters.items():
-        if ref[0] != lead:
-            joined = joined.filter(_matches(F.col(f"`{names[ref]}`"), values))
     partials = _partials([m for m in base if m.table in homes])
     return joined.select(*[F.col(f"`{names[ref]}`") for ref in slicers], *[F.col(f"`{c}`") for c in partials])
 
 
+def _of_members(rows: DataFrame, tables, path: Sequence[Relationship], column: str, values: Sequence) -> DataFrame:
+    """The rows whose member at the end of ``path`` has one of the values, before anything is summed.
+
+    The keys of the first dimension that lead there become a semi-join, which Spark broadcasts if they are few. Where None
+    is asked for, rows without member belong too, so the keys that lead to other values are taken away instead.
+    """
+    first, *rest = path
+    columns = [*[step.many_column for step in rest], column]
+    members = tables[first.one].select(F.col(f"`{first.one_column}`").alias("|key"), F.col(f"`{columns[0]}`").alias("|at"))
+    for step, onward in zip(rest, columns[1:], strict=True):
+        further = tables[step.one].select(F.col(f"`{step.one_column}`").alias("|one"), F.col(f"`{onward}`").alias("|next"))
+        members = members.join(further, F.col("`|at`") == F.col("`|one`"), "left").select("`|key`", F.col("`|next`").alias("|at"))
+    asked = F.coalesce(has_value(F.col("`|at`"), values), F.lit(False))
+    without = any(v is None for v in values)
+    keys = members.filter(~asked if without else asked).select("`|key`")
+    return rows.join(keys, F.col(f"`{first.many_column}`") == F.col("`|key`"), "left_anti" if without else "left_semi")
+
+
 def _link(step: Relationship, home: str) -> str:
     """Internal name of a foreign key on its way to a join; the same from every measured table."""
     return f"->{step.one}" if step.many == home else f"->{step.many}.{step.many_column}>{step.one}"

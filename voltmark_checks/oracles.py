@@ -460,6 +460,23 @@ ORACLES = {
            GROUP BY country""",
         **_STAR,
     ),
+    "metric_filtered_with_blank": _sql(
+        """SELECT country, max(total_energy) AS total_energy, max(total_energy_cost) AS total_energy_cost,
+                  max(site_count) AS site_count
+           FROM (SELECT s.country, sum(f.energy_kwh) AS total_energy, NULL::double AS total_energy_cost, NULL::bigint AS site_count
+                 FROM fact_energy_consumption f LEFT JOIN dim_site s USING (site_id) LEFT JOIN dim_region r USING (region_id)
+                      LEFT JOIN dim_device d ON d.device_id = f.device_id
+                 WHERE coalesce(r.region_code, 'AMER') = 'AMER' AND coalesce(d.device_type, 'LARGE') = 'LARGE' GROUP BY s.country
+                 UNION ALL
+                 SELECT s.country, NULL, sum(f.energy_cost), NULL
+                 FROM fact_energy_cost f LEFT JOIN dim_site s USING (site_id) LEFT JOIN dim_region r USING (region_id)
+                 WHERE coalesce(r.region_code, 'AMER') = 'AMER' GROUP BY s.country
+                 UNION ALL
+                 SELECT s.country, NULL, NULL, count(*) FROM dim_site s LEFT JOIN dim_region r USING (region_id)
+                 WHERE coalesce(r.region_code, 'AMER') = 'AMER' GROUP BY s.country)
+           GROUP BY country
+           HAVING max(total_energy) IS NOT NULL OR max(total_energy_cost) IS NOT NULL OR max(site_count) > 0""",
+    ),
     "metric_inactive_relationship": _sql(
         """SELECT s.country, sum(e.energy_kwh) AS total_energy
            FROM energy_star e LEFT JOIN dim_site s ON s.site_id = e.device_site
@@ -502,6 +519,9 @@ ORACLES = {
     "graph_traverse_back": _sql(f"""
         SELECT p.supplier_id, m.event_id, d.device_id, s.site_id, r.region_id, r.region_code
         {_EVENT_WALK} JOIN dim_region r ON r.region_id = s.region_id"""),
+    "graph_traverse_seeded": _sql(f"""
+        SELECT s.site_id, s.site_name, d.device_id, d.device_type, m.event_id, p.supplier_id, p.supplier_name, p.country {_EVENT_WALK}
+        WHERE lower(s.site_type) = 'building' AND d.device_type IN ('LARGE', 'SMALL') AND p.supplier_type = 'OEM'"""),
     "graph_readings_by_region": _sql("""
         SELECT region_name, device_type, count(*) AS readings, sum(energy_kwh) AS energy_kwh
         FROM fact_energy_consumption f LEFT JOIN dim_device d USING (device_id)

@@ -211,6 +211,18 @@ def graph_traverse_back(spark, sf_dir):
     return graph.traverse(path, carry={"Region": ["region_code"]})
 
 
+def graph_traverse_seeded(spark, sf_dir):
+    """From the sites of one kind to the suppliers of some countries, by equipment of two kinds."""
+    tables = silver_tables(spark, sf_dir)
+    start = tables["dim_site"].filter("site_type IN ('BUILDING', 'building')").select("site_id")
+    return EntityGraph(tables).traverse(
+        ["hasDevice", "hasMaintenance", "performedBy"],
+        carry={"Site": ["site_name"], "Device": ["device_type"], "Supplier": ["supplier_name", "country"]},
+        start=start,
+        where={"Device": {"device_type": ["LARGE", "SMALL"]}, "Supplier": {"supplier_type": ["OEM"]}},
+    )
+
+
 def graph_readings_by_region(spark, sf_dir):
     """Readings and energy per region and device type, by walking the graph."""
     return EntityGraph(silver_tables(spark, sf_dir)).rollup(
@@ -444,6 +456,11 @@ QUERIES = {
             ("dim_device", "device_type"): ["LARGE", "SMALL"],
         },
     ),
+    "metric_filtered_with_blank": _metrics(
+        ["total_energy", "total_energy_cost", "site_count"],
+        [("dim_site", "country")],
+        where={("dim_region", "region_code"): ["AMER", None], ("dim_device", "device_type"): ["LARGE", None]},
+    ),
     "metric_inactive_relationship": metric_inactive_relationship,
     "metric_formatted": metric_formatted,
     "report_columns": report_columns,
@@ -459,6 +476,7 @@ QUERIES = {
     "graph_edges": graph_edges,
     "graph_traverse_supplier": graph_traverse_supplier,
     "graph_traverse_back": graph_traverse_back,
+    "graph_traverse_seeded": graph_traverse_seeded,
     "graph_readings_by_region": graph_readings_by_region,
     # questions
     "cost_by_region": lambda spark, sf_dir: named(
