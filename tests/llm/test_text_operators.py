@@ -256,11 +256,19 @@ def page_field():
     return html_text.fit([page(k, [" ".join(rng.sample(LONG.split(), rng.randrange(1, 18))) + "." for _ in range(rng.randrange(1, 9))]) for k in range(80)])
 
 
+def elements(block):
+    found, path = [], block.path
+    while path is not None:
+        found.insert(0, " ".join([path.tag, *path.names]))
+        path = path.parent
+    return found
+
+
 def test_blocks():
     source = "<p>a&amp;b <b>c</b>d<p>e<!-- x --><br>f<div class='Side-Bar'>g<script>if(a<b)</script></div>h<ul><li>1<li>2</ul><style>z</style><a href=x>i j"
     found = html_text.blocks(source)
     assert [b.text for b in found] == ["a&b cd", "e", "f", "g", "h", "1", "2", "i j"]
-    assert found[3].path == ("div side bar",) and found[-1].linked == 3 and found[6].path == ("ul", "li")
+    assert elements(found[3]) == ["div side bar"] and found[-1].linked == 3 and elements(found[6]) == ["ul", "li"]
     assert html_text.blocks("") == [] and [b.text for b in html_text.blocks("1 < 2 <b")] == ["1 < 2 <b"]
     assert len(html_text.blocks("<div>" * 3000 + "x" + "<a b='" * 500)) <= 2
 
@@ -280,10 +288,70 @@ def test_a_head_ends_without_its_end_tag_and_fallbacks_count():
 def test_all_names_of_an_element_count():
     many = "col-md-4 col-sm-12 d-none d-lg-block order-lg-2 sidebar"
     found = html_text.blocks(f'<main><p>{LONG}</p><div class="{many}">Offers</div></main>')
-    assert found[1].path == ("main", "div col md sm none lg block order sidebar")
+    assert elements(found[1]) == ["main", "div col md sm none lg block order sidebar"]
     assert html_text.labelled(found) == [1, 0]
 
 
+@pytest.mark.parametrize("name", html_text.OTHER_NAMES)
+def test_names_of_the_page_and_of_the_article_exclude_nothing(name):
+    sources = [page(k, [LONG] * (1 + k % 4)) for k in range(3)]
+    for old, new in (("<body>", f'<body class="has-{name} no-{name}">'), ("<article>", f'<article class="post {name}" id="{name}">'), ("<article>", f'<main role="{name}"><article>')):
+        if old == "<article>" and name in html_text.REPLY_NAMES and "main" not in new:
+            continue  # an article that is called a comment is one
+        for source in sources:
+            assert html_text.labelled(html_text.blocks(source.replace(old, new))) == html_text.labelled(html_text.blocks(source))
+
+
+@pytest.mark.parametrize("name", ["sidebar", "search", "comments"])
+def test_sites_whose_body_is_called_like_a_part(name):
+    sources = [page(k, [LONG, "Short.", LONG][: 1 + k % 3]).replace("<body>", f'<body class="has-{name}">') for k in range(40)]
+    field = html_text.fit(sources)
+    assert [html_text.main_text(s, field) for s in sources] == [" ".join([f"Title {k}", *[LONG, "Short.", LONG][: 1 + k % 3]]) for k in range(40)]
+
+
+def test_what_lies_below_an_article_may_be_excluded():
+    def content(source):
+        found = html_text.blocks(source)
+        return [b.text for b, y in zip(found, html_text.labelled(found) or [], strict=False) if y]
+
+    assert content("<article><p>a<div class=share>b</div><aside>c</aside><article class=comment>d</article><p>e</article>") == ["a", "e"]
+    assert content("<aside><article>a</article></aside><article>b</article>") == ["b"]
+    assert content("<form class=search><article>a</article></form>") == ["a"]
+    assert content("<article>teaser</article><main><h1>a</h1><div class=related>b</div></main>") == ["a"]
+    assert html_text.labelled(html_text.blocks("<div>a</div>")) is None
+
+
+def test_empty_comments_and_end_tags_with_more_than_a_name():
+    def texts(source):
+        return [b.text for b in html_text.blocks(source)]
+
+    assert texts("<p>a<!--><p>b<!---><p>c<!-- d --!><p>e<!-- f") == ["a", "b", "c", "e"]
+    assert texts("<p>a<script>b</scripty></script foo><p>c<style>d</style/><p>e") == ["a", "c", "e"]
+
+
+@pytest.mark.parametrize("tag", ["div", "font", "p", "li", "td", "b"])
+def test_pages_that_close_nothing(page_field, tag):
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        text = html_text.main_text(f"<article><{tag}>word " * n + "</b></article></i>", page_field)
+        assert text == "" or set(text.split()) == {"word"}
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(20_000) < 12 * max(0.05, seconds(4_000))  # not with the square
+
+
+def test_pages_that_mark_nothing_train_on_layouts():
+    rng = random.Random(9)
+    lines = [[" ".join(rng.sample(LONG.split(), 15)) + "." for _ in range(1 + k % 4)] for k in range(60)]
+    sources = [page(k, x).replace("<article>", "<div class=entry>").replace("</article>", "</div>") for k, x in enumerate(lines)]
+    field = html_text.fit(sources)
+    found = [html_text.main_text(s, field) for s in sources]
+    assert all(" ".join(x) in text and "Three" not in text for x, text in zip(lines, found, strict=True))
+
+
 def test_main_text_of_pages_laid_out_otherwise(page_field):
     f = page_field
     assert html_text.main_text(page(900, [LONG, "Short.", LONG]), f) == f"Title 900 {LONG} Short. {LONG}"
@@ -299,6 +367,14 @@ def test_pages_that_mark_an_article_are_learned_from(spark, monkeypatch):
     marked = [(1000 + i, page(i, [LONG])) for i in range(5)]
     html_text.trained(spark.createDataFrame([*plain, *marked, marked[0]], "page_id long, html string").repartition(3), sample_pages=4)
     assert len(seen) == 4 and set(seen) < {h for _, h in marked}
+    seen.clear()
+    long = (7, page(7, [LONG] * 4000))  # any length counts, unlike any depth
+    html_text.trained(spark.createDataFrame([long, (8, page(8, ["<div>" * 600]))], "page_id long, html string"))
+    assert seen == [long[1]]
+    seen.clear()
+    unmarked = [(i, f"<p>{LONG} {i}") for i in range(9)]
+    html_text.trained(spark.createDataFrame([*unmarked, (9, "<p>short")], "page_id long, html string"), sample_pages=5)
+    assert len(seen) == 5 and set(seen) < {h for _, h in unmarked}
 
 
 def test_viterbi_is_the_best_labelling():
