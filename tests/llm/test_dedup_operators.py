@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 
 from llm_fixtures import corpus, docs_of  # noqa: F401
+from voltmark.llm import batches as B
 from voltmark.llm import embedding_dedup, line_dedup, near_dedup, substring_dedup
 from voltmark.llm.components import Forest, components
 from voltmark.llm.scratch import Scratch
@@ -289,6 +290,76 @@ def test_components(spark):
     assert len(held) == 300 - len(set(least_reachable(range(300), held).values()))
 
 
+# -- hashes -----------------------------------------------------------------------
+
+
+def thue_morse(a: str, b: str, doublings: int) -> tuple[str, str]:
+    """Two texts that every polynomial modulo a power of two takes for one another, if they are long enough."""
+    x, y = a, b
+    for _ in range(doublings):
+        x, y = x + y, y + x
+    return x, y
+
+
+def test_hashes_tell_texts_apart_that_polynomials_do_not():
+    x, y = thue_morse("a", "b", 11)
+    data = np.frombuffer((x + y).encode(), np.uint8)
+    starts, ends = np.array([0, len(x)]), np.array([len(x), 2 * len(x)])
+    assert len(set(B.digests(data, starts, ends)[:, 0].tolist())) == 2
+    for seed in range(5):
+        spans = B.Spans(seed)
+        assert len(set(spans.of_bytes(data, starts, ends).tolist())) == 2
+        assert len(set(spans.of_values(spans.table[data], starts, ends).tolist())) == 1  # the reason for the other hash
+        # A span has one hash wherever it stands.
+        at = np.array([0, 3, len(x) + 5])
+        alone = [spans.of_bytes(data[a : a + 40], np.array([0]), np.array([40]))[0] for a in at]
+        assert spans.of_bytes(data, at, at + 40).tolist() == [int(h) for h in alone]
+
+
+def test_lines_and_words_with_such_texts(docs_of):
+    x, y = thue_morse("a", "b", 11)
+    rows = [(k, x) for k in range(4)] + [(4, y)]
+    got = {r.doc_id: r.n_dropped for r in line_dedup.deduplicated(docs_of(rows, awkward=False)).collect()}
+    assert got == dict.fromkeys(range(5), 0)
+    rows = [(1, f"{x} c"), (2, f"{y} c"), (3, f"{x} c"), (4, f"d {x}")]
+    got = {r.doc_id: (r.component_id, r.n_shingles) for r in near_dedup.near_duplicates(docs_of(rows, awkward=False)).collect()}
+    assert got == {1: (1, 1), 2: (2, 1), 3: (1, 1), 4: (4, 1)}
+    words = [f"w{k}" for k in range(5)]
+    rows = [(1, " ".join([*words, x, *words])), (2, " ".join([*words, y, *words])), (3, " ".join([*words, x, *words]))]
+    got = {r.doc_id: r.n_removed for r in substring_dedup.deduplicated(docs_of(rows, awkward=False), window=11).collect()}
+    assert got == {1: 0, 2: 0, 3: 11}
+    p, q = (t.replace("a", "left ").replace("b", "right ") for t in thue_morse("a", "b", 11))
+    rows = [(1, f"{p} one"), (2, f"{q} two"), (3, f"three {q}")]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup.deduplicated(docs_of(rows, awkward=False), window=13).collect()}
+    assert got == {i: (2049, n) for i, n in plain_removals(rows, 13).items()}
+
+
+def plain_removals(rows, window):
+    first = {}
+    for i, text in sorted(rows):
+        w = text.split()
+        for k in range(len(w) - window + 1):
+            first.setdefault(tuple(w[k : k + window]), i)
+    result = {}
+    for i, text in rows:
+        w = text.split()
+        gone = {k + d for k in range(len(w) - window + 1) if first[tuple(w[k : k + window])] < i for d in range(window)}
+        result[i] = len(gone)
+    return result
+
+
+def test_columns_named_like_those_used_inside(spark):
+    line = "a line that is long enough to be dropped where it repeats often"
+    rows = [(k, f"{line}\nown {k}", k, "v", "K", "t", "s") for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _keep int, _version string, _KEEP_ string, _text string, _starts string")
+    lines = line_dedup.deduplicated(df)
+    assert set(df.columns) <= set(lines.columns)
+    assert {(r._keep, r._version, r._KEEP_, r._text, r._starts, r.n_dropped) for r in lines.collect()} == {(k, "v", "K", "t", "s", int(k < 5)) for k in range(6)}
+    words = substring_dedup.deduplicated(df, window=5)
+    assert set(df.columns) <= set(words.columns)
+    assert {(r._keep, r._version, r._KEEP_, r._text, r._starts, r.n_removed > 0) for r in words.collect()} == {(k, "v", "K", "t", "s", k > 0) for k in range(6)}
+
+
 def test_empty_tables(docs_of, spark):
     none = docs_of([], False)
     assert line_dedup.deduplicated(none).isEmpty()

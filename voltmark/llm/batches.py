@@ -7,6 +7,7 @@ characters outside ASCII, so classes that treat all of those alike work on bytes
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +42,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+#: Longer spans of bytes are not hashed by a polynomial: modulo a power of two it takes some long texts of two
+#: alternating parts for one another whatever its base.
+SHORT_BYTES = 32
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int = 16, key: bytes = b"") -> np.ndarray:
+    """BLAKE2b of spans of bytes, as rows of 64-bit integers."""
+    raw = data.tobytes()
+    found = b"".join([blake2b(raw[a:b], digest_size=size, key=key).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+    return np.frombuffer(found, np.uint64).reshape(-1, size // 8)
+
+
 class Spans:
-    """Hashes of spans of a sequence: a polynomial in an odd base, from differences of running sums."""
+    """Hashes of spans of a sequence: a polynomial in an odd base, from differences of running sums. Meant for short
+    spans; long ones of bytes get a real hash instead."""
 
     def __init__(self, seed: int):
+        self.key = str(seed).encode()
         self.table = random_table(seed)
         self.base = int(random_table(seed + 1, 1)[0])
         self.up = self.down = np.ones(1, dtype=np.uint64)
@@ -63,7 +78,11 @@ class Spans:
         return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
     def of_bytes(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return self.of_values(self.table[data], starts, ends)
+        hashes = self.of_values(self.table[data], starts, ends)
+        long = np.flatnonzero(ends - starts > SHORT_BYTES)
+        if len(long):
+            hashes[long] = digests(data, starts[long], ends[long], 8, self.key)[:, 0]
+        return hashes
 
 
 def texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,6 +137,14 @@ def lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, or one made from it, that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_arrow(
     df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], list[pa.Array]], consumed: Collection[str] = ()
 ) -> DataFrame:

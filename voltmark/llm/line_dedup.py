@@ -1,6 +1,6 @@
 """Line deduplication over a whole corpus.
 
-Every long line leaves a 128-bit hash. The hashes are range-partitioned and sorted by hash, then document,
+Every long line leaves a 128-bit hash (BLAKE2b: equal hashes mean equal lines). The hashes are range-partitioned and sorted by hash, then document,
 so one stream through a partition meets all documents of a line one after another and holds the lines of a few
 documents at most. What comes out are not texts but compressed bitmaps: for each document, which lines stay.
 """
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from voltmark.llm import batches as B
 from voltmark.llm.scratch import Scratch
 
-_HASHES = B.Spans(901), B.Spans(907)
 _NEWLINE = 10
 
 
@@ -45,7 +44,8 @@ def long_lines(batch: pa.RecordBatch, min_chars: int) -> pa.RecordBatch:
         chars = np.concatenate([[0], np.cumsum((piece & 0xC0) != 0x80)])
         long = np.flatnonzero(chars[ends] - chars[starts] >= min_chars)
         starts, ends, rows = starts[long], ends[long], some[long]
-        parts.append([h.of_bytes(piece, starts, ends) for h in _HASHES] + [i + text[rows], number[rows]])
+        hashes = B.digests(piece, starts, ends)
+        parts.append([hashes[:, 0], hashes[:, 1], i + text[rows], number[rows]])
     h1, h2, row, number = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.uint64) for k in range(4))
     row = pa.array(row.astype(np.int64))
     return pa.RecordBatch.from_arrays(
@@ -170,13 +170,14 @@ def deduplicated(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text:
     See ``keep_bitmaps``. All columns of ``docs`` are kept; those with one of the names given here are replaced.
     A null text becomes an empty one.
     """
-    bitmaps = keep_bitmaps(docs, min_chars, min_docs).toDF("doc_id", "_version", "_keep")
-    held = docs.withColumn("_version", F.xxhash64("text")).join(bitmaps, ["doc_id", "_version"], "left")
+    version, kept_lines, source_text = (B.unused(c, docs) for c in ("_version", "_keep", "_text"))
+    bitmaps = keep_bitmaps(docs, min_chars, min_docs).toDF("doc_id", version, kept_lines)
+    held = docs.withColumn(version, F.xxhash64("text")).join(bitmaps, ["doc_id", version], "left")
     order = [c for c in docs.columns if c != "text"]
 
     def compute(batch):
         texts, totals, drops, digests = [], [], [], []
-        for value, keep in zip(batch.column("_text"), batch.column("_keep"), strict=True):
+        for value, keep in zip(batch.column(source_text), batch.column(kept_lines), strict=True):
             lines, total = split_kept(value.as_py(), keep.as_py())
             kept = "\n".join(lines)
             if text:
@@ -188,5 +189,5 @@ def deduplicated(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, text:
         return [pa.array(texts, pa.string()), *numbers] if text else numbers
 
     fields = "text string, " * text + "n_lines long, n_dropped long, kept_sha256 string"
-    source = held.select(*order, F.col("text").alias("_text"), "_keep")
-    return B.with_arrow(source, fields, compute, consumed=("_text", "_keep"))
+    source = held.select(*[F.col(f"`{c}`") for c in order], F.col("text").alias(source_text), kept_lines)
+    return B.with_arrow(source, fields, compute, consumed=(source_text, kept_lines))

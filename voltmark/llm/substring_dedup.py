@@ -169,8 +169,9 @@ def removals(docs: DataFrame, window: int, shard_words: int = SHARD_WORDS, commo
                 limit = np.append(first, len(at))[np.searchsorted(first, begin, side="right")]
                 size = np.where(single[begin], 1, limit - begin) + window - 1
                 start, end = at[begin], at[begin] + size
-                content = _PASSAGE.of_values(hashes, start, end)
                 raw = hashes.view(np.uint8).reshape(-1, 8)[:, :_BYTES].tobytes()
+                # Passages may be long, so a real hash tells them apart.
+                content = B.digests(np.frombuffer(raw, np.uint8), _BYTES * start, _BYTES * end, 8)[:, 0]
                 words = [raw[_BYTES * a : _BYTES * b] for a, b in zip(start, end, strict=True)]
                 row = pa.array(i + of[start])
                 number = start - np.searchsorted(of, of[start])
@@ -245,13 +246,14 @@ def deduplicated(docs: DataFrame, window: int = 13, text: bool = True) -> DataFr
     as they come. Null texts have no words. Rows that repeat a ``doc_id`` are no earlier than each other;
     rows without one neither lose nor cause anything. All columns stay; those with one of the names here are replaced.
     """
-    found = removals(docs, window).toDF("doc_id", "_version", "_starts")
-    held = docs.withColumn("_version", F.xxhash64("text")).join(found, ["doc_id", "_version"], "left")
+    version, first_words, source_text = (B.unused(c, docs) for c in ("_version", "_starts", "_text"))
+    found = removals(docs, window).toDF("doc_id", version, first_words)
+    held = docs.withColumn(version, F.xxhash64("text")).join(found, ["doc_id", version], "left")
     order = [c for c in docs.columns if c != "text"]
 
     def compute(batch):
         texts, totals, gone, digests = [], [], [], []
-        for value, starts in zip(batch.column("_text"), batch.column("_starts"), strict=True):
+        for value, starts in zip(batch.column(source_text), batch.column(first_words), strict=True):
             words = (value.as_py() or "").encode().split()
             totals.append(len(words))
             if starts.is_valid:
@@ -269,6 +271,6 @@ def deduplicated(docs: DataFrame, window: int = 13, text: bool = True) -> DataFr
         numbers = [pa.array(totals, pa.int64()), pa.array(gone, pa.int64()), pa.array(digests, pa.string())]
         return [pa.array(texts, pa.string()), *numbers] if text else numbers
 
-    source = held.select(*order, F.col("text").alias("_text"), "_starts")
+    source = held.select(*[F.col(f"`{c}`") for c in order], F.col("text").alias(source_text), first_words)
     fields = "text string, " * text + "n_words long, n_removed long, kept_sha256 string"
-    return B.with_arrow(source, fields, compute, consumed=("_text", "_starts"))
+    return B.with_arrow(source, fields, compute, consumed=(source_text, first_words))
