@@ -31,13 +31,15 @@ _TYPES = {
 
 @dataclass(frozen=True)
 class Table:
-    """``fields`` lists the columns as ``name type``, separated by commas."""
+    """``fields`` lists the columns as ``name type``, separated by commas. Rows of equal ``bucket_by`` are stored in
+    one bucket, so that a join on it need not shuffle them."""
 
     name: str
     layer: str
     fields: str
     key: tuple[str, ...]
     partition_by: tuple[str, ...] = ()
+    bucket_by: str | None = None
 
     @cached_property
     def schema(self) -> T.StructType:
@@ -150,7 +152,8 @@ _ALL = (
 
 TABLES: dict[str, Table] = {t.name: t for t in _ALL}
 
-# What incremental runs keep for themselves, beside the layers: sums that later runs add to, and how far the last one came.
+# Beside the layers: what incremental runs keep for themselves (sums that later runs add to, how far the last one came), and
+# the materialised entity graph.
 STATE: dict[str, Table] = {
     t.name: t
     for t in (
@@ -175,6 +178,15 @@ STATE: dict[str, Table] = {
             "table_name string, version string, part long, high_water long",
             ("table_name",),
         ),
+        Table("graph_nodes", "graph", "type string, id string, display_name string", ("type", "id"), ("type",)),
+        Table(
+            "graph_edges",
+            "graph",
+            "rel string, src_type string, src string, dst_type string, dst string",
+            ("rel", "src", "dst"),
+            ("rel",),
+            bucket_by="src",
+        ),
         Table("pending_days", "state", "reading_date date", ("reading_date",)),
     )
 }

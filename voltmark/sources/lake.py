@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable
 from datetime import date
@@ -21,12 +22,16 @@ class Lake:
     from the moment Spark marks it as complete, so a failed or interrupted overwrite leaves the table as it was. The
     version before stays until the next overwrite, for readers that are under way. An append to a version is a numbered
     part in a folder of its own, which counts in the same way: all of its rows are read, or none. One writer at a time.
+
+    ``buckets`` is the number of buckets of bucketed tables: about one per 128 MB of them, and the same for all sessions that
+    open the lake, as files don't tell it.
     """
 
-    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet", buckets: int = 32):
         self.spark = spark
         self.root = root.rstrip("/")
         self.fmt = fmt
+        self.buckets = buckets
 
     # -- addressing and reading ------------------------------------------------
 
@@ -60,6 +65,8 @@ class Lake:
             if after >= 0:
                 raise ValueError("parts of a table can be told apart in Parquet tables only")
             return self.spark.read.format(self.fmt).load(self.location(name))
+        if spec.bucket_by:
+            return self._bucketed(spec)
         whole, parts = self.location(name), self._parts(name)
         appended = [f"{self._appended(name, whole)}/part={n:08}" for n in parts if n > max(after, 0)]
         first = [whole] if after < 0 else []
@@ -76,6 +83,23 @@ class Lake:
             reader = reader.option("basePath", root)
         return reader.load(paths).select(*spec.columns)
 
+    def _bucketed(self, spec: Table) -> DataFrame:
+        """A bucketed table through the session's catalog, which is where Spark looks for buckets; registered
+        anew in a session that doesn't know it."""
+        path = self.location(spec.name)
+        name = self._catalog_name(path)
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.schema)
+            self.spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({', '.join(spec.partition_by)}) "
+                f"CLUSTERED BY ({spec.bucket_by}) SORTED BY ({spec.bucket_by}) INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            )
+            self.spark.catalog.recoverPartitions(name)
+        return self.spark.read.table(name).select(*spec.columns)
+
+    def _catalog_name(self, path: str) -> str:
+        return f"voltmark_{hashlib.md5(path.encode()).hexdigest()}"
+
     def position(self, name: str) -> tuple[str, int]:
         """The version of a Parquet table that counts now, distinct from all before it, and its last complete part."""
         if self.fmt != "parquet":
@@ -139,6 +163,10 @@ class Lake:
 
     def _gathered(self, df: DataFrame, spec: Table) -> DataFrame:
         rows = _checked(df, spec)
+        if spec.bucket_by:
+            # One writer for a bucket of a partition value, unless it is a large one.
+            keyed = rows.withColumn("|bucket", F.expr(f"pmod(hash(`{spec.bucket_by}`), {self.buckets})"))
+            return keyed.hint("rebalance", *[F.col(f"`{c}`") for c in (*spec.partition_by, "|bucket")]).drop("|bucket")
         if spec.partition_by:
             # Puts the rows of a partition value together, so a task does not write a file for
             # every value. Unlike repartition, a rebalance lets adaptive execution split a value
@@ -158,18 +186,31 @@ class Lake:
             return
         before = self._versions(spec.name, complete=True)
         if mode == "append" and before:
+            if spec.bucket_by:
+                raise ValueError(f"{spec.name} is bucketed and can be overwritten only")
             folder = self._appended(spec.name, before[-1])
             number = max([0, *self._numbers(folder)]) + 1
             self._writer(spec, rows, "errorifexists").save(f"{folder}/part={number:08}")
             return
         taken = self._versions(spec.name, complete=False)
         new = f"v{int(taken[-1][1:]) + 1 if taken else 1:08}"
-        self._writer(spec, rows, "errorifexists").save(f"{self.path(spec.name)}/{new}")
+        path = f"{self.path(spec.name)}/{new}"
+        writer = self._writer(spec, rows, "errorifexists")
+        if spec.bucket_by:
+            self._forget(path)  # a table that was removed may have had this path
+            bucketed = writer.bucketBy(self.buckets, spec.bucket_by).sortBy(spec.bucket_by)
+            bucketed.option("path", path).saveAsTable(self._catalog_name(path))
+        else:
+            writer.save(path)
         for version in set(taken) - set(before[-1:]):
+            self._forget(f"{self.path(spec.name)}/{version}")
             for folder in (f"{self.path(spec.name)}/{version}", self._appended(spec.name, version)):
                 fs, path = self._filesystem(folder)
                 fs.delete(path, True)
 
+    def _forget(self, path: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self._catalog_name(path)}")
+
     def _appended(self, name: str, version: str) -> str:
         """The folder of the parts appended to a version."""
         return f"{self.path(name)}/a{version.rsplit('/', 1)[-1][1:]}"

@@ -303,6 +303,23 @@ _PROPERTIES = {
 }
 
 # Every device with the region it stands in, if any.
+_NODES = """
+        SELECT 'Region' AS type, region_id AS id, region_name AS display_name FROM dim_region
+        UNION ALL SELECT 'Site', site_id, site_name FROM dim_site
+        UNION ALL SELECT 'Device', device_id, device_id FROM dim_device
+        UNION ALL SELECT 'EnergyReading', reading_id, reading_id FROM fact_energy_consumption
+        UNION ALL SELECT 'BillingRecord', cost_id, cost_id FROM fact_energy_cost
+        UNION ALL SELECT 'Supplier', supplier_id, supplier_name FROM dim_supplier
+        UNION ALL SELECT 'MaintenanceEvent', event_id, description FROM maintenance_event"""
+_EDGES = """
+        SELECT DISTINCT * FROM (
+            SELECT 'locatedIn' AS rel, 'Site' AS src_type, site_id AS src, 'Region' AS dst_type, region_id AS dst FROM dim_site
+            UNION ALL SELECT 'hasDevice', 'Site', site_id, 'Device', device_id FROM dim_device
+            UNION ALL SELECT 'produces', 'Device', device_id, 'EnergyReading', reading_id FROM fact_energy_consumption
+            UNION ALL SELECT 'billedFor', 'Site', site_id, 'BillingRecord', cost_id FROM fact_energy_cost
+            UNION ALL SELECT 'hasMaintenance', 'Device', device_id, 'MaintenanceEvent', event_id FROM maintenance_event
+            UNION ALL SELECT 'performedBy', 'MaintenanceEvent', event_id, 'Supplier', supplier_id FROM maintenance_event)
+        WHERE src IS NOT NULL AND dst IS NOT NULL"""
 _DEVICE_REGION = """SELECT d.device_id, region_name FROM dim_device d
                     LEFT JOIN dim_site s ON s.site_id = d.site_id LEFT JOIN dim_region USING (region_id)"""
 
@@ -496,23 +513,15 @@ ORACLES = {
         SELECT site_name, country, latitude, longitude, site_type, contracted_power_kw, {_date('commissioned_date')}
         FROM dim_site"""),
     **{name: _sql(select) for name, select in _PROPERTIES.items()},
-    "graph_nodes": _sql("""
-        SELECT 'Region' AS type, region_id AS id, region_name AS display_name FROM dim_region
-        UNION ALL SELECT 'Site', site_id, site_name FROM dim_site
-        UNION ALL SELECT 'Device', device_id, device_id FROM dim_device
-        UNION ALL SELECT 'EnergyReading', reading_id, reading_id FROM fact_energy_consumption
-        UNION ALL SELECT 'BillingRecord', cost_id, cost_id FROM fact_energy_cost
-        UNION ALL SELECT 'Supplier', supplier_id, supplier_name FROM dim_supplier
-        UNION ALL SELECT 'MaintenanceEvent', event_id, description FROM maintenance_event"""),
-    "graph_edges": _sql("""
-        SELECT DISTINCT * FROM (
-            SELECT 'locatedIn' AS rel, 'Site' AS src_type, site_id AS src, 'Region' AS dst_type, region_id AS dst FROM dim_site
-            UNION ALL SELECT 'hasDevice', 'Site', site_id, 'Device', device_id FROM dim_device
-            UNION ALL SELECT 'produces', 'Device', device_id, 'EnergyReading', reading_id FROM fact_energy_consumption
-            UNION ALL SELECT 'billedFor', 'Site', site_id, 'BillingRecord', cost_id FROM fact_energy_cost
-            UNION ALL SELECT 'hasMaintenance', 'Device', device_id, 'MaintenanceEvent', event_id FROM maintenance_event
-            UNION ALL SELECT 'performedBy', 'MaintenanceEvent', event_id, 'Supplier', supplier_id FROM maintenance_event)
-        WHERE src IS NOT NULL AND dst IS NOT NULL"""),
+    "graph_nodes": _sql(_NODES),
+    "graph_edges": _sql(_EDGES),
+    "graph_refresh": _sql(f"""
+        SELECT 'node' AS kind, type AS name, count(*) AS "rows" FROM ({_NODES}) GROUP BY type
+        UNION ALL SELECT 'edge', rel, count(*) FROM ({_EDGES}) GROUP BY rel"""),
+    "graph_stored_walk": _sql(f"""
+        SELECT s.site_id AS step_0, d.device_id AS step_1, m.event_id AS step_2, m.supplier_id AS step_3
+        FROM dim_device d JOIN maintenance_event m ON m.device_id = d.device_id JOIN dim_site s ON s.site_id = d.site_id
+        WHERE s.site_id LIKE '%3' AND m.supplier_id IS NOT NULL"""),
     "graph_traverse_supplier": _sql(
         f"SELECT s.site_id, s.site_name, d.device_id, m.event_id, p.supplier_id, p.supplier_name, p.country {_EVENT_WALK}"
     ),

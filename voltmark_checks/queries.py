@@ -21,6 +21,7 @@ from voltmark.functions import (
 )
 from voltmark.operators import top_k, typed
 from voltmark.plans import gold, questions, silver
+from voltmark.plans.graph_store import StoredGraph, refresh_graph
 from voltmark.plans.medallion import load_maintenance, silver_to_gold
 from voltmark.plans.metrics import formatted, report_table
 from voltmark_checks.sample_lake import (
@@ -375,6 +376,31 @@ def lake_appended_twice(spark, sf_dir):
     return plain(lake.read("fact_energy_consumption"))
 
 
+_graphs: dict[tuple[str, str], StoredGraph] = {}
+
+
+def stored_graph(spark: SparkSession, sf_dir: str) -> StoredGraph:
+    """The graph of the stored silver tables, materialised once for all queries of a session."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _graphs:
+        stored_tables(spark, sf_dir)
+        refresh_graph(_stored[at])
+        _graphs[at] = StoredGraph(_stored[at])
+    return _graphs[at]
+
+
+def graph_refresh(spark, sf_dir):
+    """Nodes and edges of each kind in the materialised graph."""
+    return stored_graph(spark, sf_dir).sizes()
+
+
+def graph_stored_walk(spark, sf_dir):
+    """From the sites whose id ends in 3 over the stored edges to suppliers."""
+    graph = stored_graph(spark, sf_dir)
+    start = graph.nodes("Site").filter("id LIKE '%3'").select("id")
+    return graph.walk(["hasDevice", "hasMaintenance", "performedBy"], start=start)
+
+
 # -- incremental runs ----------------------------------------------------------
 
 _incremental: dict[tuple[str, str], Lake] = {}
@@ -502,6 +528,8 @@ QUERIES = {
     "stored_metric_by_region": stored_metric_by_region,
     "stored_metric_one_day": stored_metric_one_day,
     "stored_traverse_supplier": stored_traverse_supplier,
+    "graph_refresh": graph_refresh,
+    "graph_stored_walk": graph_stored_walk,
     "incremental_consumption": _incremental_table("fact_energy_consumption"),
     "incremental_daily": _incremental_table("agg_daily_consumption_by_site"),
     "incremental_cost": _incremental_table("fact_energy_cost"),
