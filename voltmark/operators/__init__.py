@@ -2,6 +2,7 @@
 
 from voltmark.operators.conform import conform, typed
 from voltmark.operators.dedup import latest_per_key
+from voltmark.operators.intake import Intake
 from voltmark.operators.ranking import top_k
 
-__all__ = ["conform", "latest_per_key", "top_k", "typed"]
+__all__ = ["Intake", "conform", "latest_per_key", "top_k", "typed"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltmark.functions import labelled, surrogate_key
-from voltmark.operators import conform
+from voltmark.operators import Intake, conform
 from voltmark.registry import table
 
 # Display names of the region codes; other codes show as they are.
@@ -31,22 +31,23 @@ def dim_region(raw_site: DataFrame, labels: Mapping[str, str] = REGION_LABELS) -
     )
 
 
-def dim_device(raw_device: DataFrame) -> DataFrame:
-    return conform(raw_device, "dim_device")
+def dim_device(raw_device: DataFrame, intake: Intake | None = None) -> DataFrame:
+    return conform(raw_device, "dim_device", intake=intake)
 
 
-def fact_energy_consumption(raw_meter_readings: DataFrame) -> DataFrame:
+def fact_energy_consumption(raw_meter_readings: DataFrame, intake: Intake | None = None) -> DataFrame:
     """Readings with a valid timestamp; numbers that do not parse are null."""
     return conform(
         raw_meter_readings,
         "fact_energy_consumption",
         derive={"reading_date": F.to_date("timestamp")},
         required=["timestamp"],
+        intake=intake,
     )
 
 
-def fact_energy_cost(raw_billing: DataFrame) -> DataFrame:
-    return conform(raw_billing, "fact_energy_cost")
+def fact_energy_cost(raw_billing: DataFrame, intake: Intake | None = None) -> DataFrame:
+    return conform(raw_billing, "fact_energy_cost", intake=intake)
 
 
 def energy_by_site(consumption: DataFrame) -> DataFrame:
@@ -61,29 +62,29 @@ def cost_by_site(cost: DataFrame) -> DataFrame:
     )
 
 
-def dim_site(raw_site: DataFrame, consumption: DataFrame, cost: DataFrame) -> DataFrame:
+def dim_site(raw_site: DataFrame, consumption: DataFrame, cost: DataFrame, intake: Intake | None = None) -> DataFrame:
     """Sites with their totals over both facts, 0 where a site has none (or its total is NaN).
 
     Each fact is summed to one row per site before it is joined, so the two cannot multiply each
     other, and a site with a third of all readings is one row by then. All three inputs of the
     joins come out of a shuffle on ``site_id``; the joins add none.
     """
-    return sites_with_totals(raw_site, energy_by_site(consumption), cost_by_site(cost))
+    return sites_with_totals(raw_site, energy_by_site(consumption), cost_by_site(cost), intake)
 
 
-def sites_with_totals(raw_site: DataFrame, energy: DataFrame, cost: DataFrame) -> DataFrame:
+def sites_with_totals(raw_site: DataFrame, energy: DataFrame, cost: DataFrame, intake: Intake | None = None) -> DataFrame:
     """Sites with their totals, from tables with one row for each site."""
-    sites = conform(raw_site, "dim_site", derive={"region_id": surrogate_key(F.col("region"))})
+    sites = conform(raw_site, "dim_site", derive={"region_id": surrogate_key(F.col("region"))}, intake=intake)
     joined = sites.join(energy, "site_id", "left").join(cost, "site_id", "left")
     return joined.na.fill(0.0, TOTALS).select(*table("dim_site").columns)
 
 
-def dim_supplier(suppliers: DataFrame) -> DataFrame:
+def dim_supplier(suppliers: DataFrame, intake: Intake | None = None) -> DataFrame:
     """Suppliers from the maintenance source; the last ingested record survives, or else the latest contract."""
-    return conform(suppliers, "dim_supplier", latest=["contract_since"])
+    return conform(suppliers, "dim_supplier", latest=["contract_since"], intake=intake)
 
 
-def maintenance_event(events: DataFrame) -> DataFrame:
+def maintenance_event(events: DataFrame, intake: Intake | None = None) -> DataFrame:
     """Events from the maintenance source; the last ingested record of an event id survives,
     or else the latest dated one."""
-    return conform(events, "maintenance_event", latest=["event_date"])
+    return conform(events, "maintenance_event", latest=["event_date"], intake=intake)

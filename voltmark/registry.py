@@ -153,7 +153,7 @@ _ALL = (
 TABLES: dict[str, Table] = {t.name: t for t in _ALL}
 
 # Beside the layers: what incremental runs keep for themselves (sums that later runs add to, how far the last one came), and
-# the materialised entity graph.
+# the materialised entity graph, and rows that did not reach silver.
 STATE: dict[str, Table] = {
     t.name: t
     for t in (
@@ -187,6 +187,12 @@ STATE: dict[str, Table] = {
             ("rel",),
             bucket_by="src",
         ),
+        Table(
+            "dropped_rows",
+            "state",
+            "table_name string, missing string, row string, ingested_at timestamp, source_file string",
+            ("table_name", "row"),
+        ),
         Table("pending_days", "state", "reading_date date", ("reading_date",)),
     )
 }

@@ -343,6 +343,35 @@ _EVENT_WALK = """
     FROM dim_site s JOIN dim_device d ON d.site_id = s.site_id
          JOIN maintenance_event m ON m.device_id = d.device_id JOIN dim_supplier p ON p.supplier_id = m.supplier_id"""
 
+def _left_out() -> str:
+    """Counts of rows read, dropped and values failed, table by table."""
+    failing = {
+        "dim_site": ("raw_site", "latitude longitude contracted_power_kw", "commissioned_date"),
+        "fact_energy_consumption": ("raw_meter_readings", "active_power_kw energy_kwh voltage_v current_a power_factor", ""),
+        "fact_energy_cost": ("raw_billing", "energy_consumed_kwh peak_demand_kw tariff_rate energy_cost co2_emissions_kg", ""),
+        "dim_supplier": ("supplier_source", "", "contract_since"),
+    }
+    keys = {
+        "dim_site": ("raw_site", "site_id"), "dim_device": ("raw_device", "device_id"), "fact_energy_cost": ("raw_billing", "cost_id"),
+        "fact_energy_consumption": ("raw_meter_readings", "reading_id"), "dim_supplier": ("supplier_source", "supplier_id"),
+        "maintenance_event": ("maintenance_source", "event_id"),
+    }
+    parts = []
+    for name, (source, key) in keys.items():
+        parts += [f"SELECT '{name}' AS table_name, 'read' AS what, NULL::varchar AS column_name, count(*) AS \"rows\" FROM {source}"]
+        parts += [f"SELECT '{name}', 'dropped', '{key}', count(*) FROM {source} WHERE {key} IS NULL"]
+    for name, (source, numbers, dates) in failing.items():
+        for column in (numbers + " " + dates).split():
+            kind = "double" if column in numbers.split() else "date"
+            parts.append(
+                f"SELECT '{name}', 'failed', '{column}', count(*) FROM {source} WHERE {column} IS NOT NULL AND try_cast({column} AS {kind}) IS NULL"
+            )
+    when = 'FROM raw_meter_readings WHERE try_cast("timestamp" AS timestamp) IS NULL'
+    parts.append(f"SELECT 'fact_energy_consumption', 'dropped', 'timestamp', count(*) {when} AND reading_id IS NOT NULL")
+    parts.append(f"""SELECT 'fact_energy_consumption', 'failed', 'timestamp', count(*) {when} AND "timestamp" IS NOT NULL""")
+    return f'SELECT * FROM ({" UNION ALL ".join(parts)}) WHERE "rows" > 0'
+
+
 # The extracts with the third delivery, as in voltmark_checks.sample_lake.
 _FIRST_READINGS = f"SELECT * FROM ({EXTRACTS['raw_meter_readings']}) WHERE ingested_at = TIMESTAMP '2024-02-01'"
 _THIRD = {
@@ -601,6 +630,17 @@ ORACLES = {
         UNION ALL SELECT 'maintenance_event', count(*) FROM maintenance_event
         UNION ALL SELECT 'agg_daily_consumption_by_site', count(*) FROM ({_DAILY})
         UNION ALL SELECT 'kpi_co2_by_region', count(*) FROM ({_kpi()})"""),
+    "intake_report": _sql(_left_out()),
+    "dropped_by_reason": _sql(f"""
+        SELECT table_name, missing, {_time('ingested_at')}, count(*) AS "rows", min(id) AS least_id
+        FROM (SELECT 'dim_site' AS table_name, 'site_id' AS missing, ingested_at, NULL::varchar AS id FROM raw_site WHERE site_id IS NULL
+              UNION ALL SELECT 'dim_device', 'device_id', ingested_at, site_id FROM raw_device WHERE device_id IS NULL
+              UNION ALL SELECT 'fact_energy_cost', 'cost_id', ingested_at, site_id FROM raw_billing WHERE cost_id IS NULL
+              UNION ALL SELECT 'fact_energy_consumption', CASE WHEN reading_id IS NULL THEN 'reading_id' ELSE 'timestamp' END,
+                               ingested_at, coalesce(reading_id, site_id, device_id)
+                        FROM raw_meter_readings
+                        WHERE reading_id IS NULL OR try_cast("timestamp" AS timestamp) IS NULL)
+        GROUP BY ALL"""),
     "lake_gold_daily": _sql(_DAILY),
     "stored_metric_by_region": _measured("region_name", _ALL),
     "stored_metric_one_day": _sql(

@@ -19,10 +19,10 @@ from voltmark.functions import (
     surrogate_key,
     to_boolean,
 )
-from voltmark.operators import top_k, typed
+from voltmark.operators import Intake, top_k, typed
 from voltmark.plans import gold, questions, silver
 from voltmark.plans.graph_store import StoredGraph, refresh_graph
-from voltmark.plans.medallion import load_maintenance, silver_to_gold
+from voltmark.plans.medallion import dropped_rows, load_maintenance, silver_to_gold
 from voltmark.plans.metrics import formatted, report_table
 from voltmark_checks.sample_lake import (
     RAW,
@@ -360,6 +360,23 @@ def lake_run_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
 
 
+def intake_report(spark, sf_dir):
+    """What a full run leaves out: rows dropped by reason and values that don't parse, counted while it writes."""
+    lake, intake = loaded_lake(spark, sf_dir), Intake()
+    run_all(lake, intake=intake)
+    load_maintenance(lake, supplier_source(spark, sf_dir), maintenance_source(spark, sf_dir), intake)
+    return intake.report(spark).filter("rows > 0")
+
+
+def dropped_by_reason(spark, sf_dir):
+    """The dropped rows themselves, stored, by table, reason and delivery."""
+    lake = loaded_lake(spark, sf_dir)
+    lake.overwrite("dropped_rows", dropped_rows(lake))
+    kept = lake.read("dropped_rows")
+    key = F.coalesce(*[F.get_json_object("row", f"$.{c}") for c in ("reading_id", "cost_id", "site_id", "device_id")])
+    return plain(kept.groupBy("table_name", "missing", "ingested_at").agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("least_id")))
+
+
 def lake_gold_daily(spark, sf_dir):
     """A full run through storage; the daily aggregate read back."""
     lake = loaded_lake(spark, sf_dir)
@@ -523,6 +540,8 @@ QUERIES = {
     # storage
     "landing": landing,
     "lake_run_counts": lake_run_counts,
+    "intake_report": intake_report,
+    "dropped_by_reason": dropped_by_reason,
     "lake_gold_daily": lake_gold_daily,
     "lake_appended_twice": lake_appended_twice,
     "stored_metric_by_region": stored_metric_by_region,
