@@ -93,3 +93,19 @@ def test_display(spark):
 def test_parse_rejects_types_it_has_no_rule_for(spark):
     with pytest.raises(TypeError):
         parse(F.col("x"), T.StringType(), T.BinaryType())
+
+
+def test_ids_that_different_parts_share(spark):
+    from voltmark.functions import ambiguous_ids
+
+    rows = [("a::b", "c"), ("a", "b::c"), ("a", "b::c"), ("x", "y"), ("x", "y"), (None, "z"), ("z", None), ("a", "b"), ("", "::"), ("::", "")]
+    df = spark.createDataFrame(rows, "p string, q string").repartition(3)
+    found = ambiguous_ids(df, ["p", "q"])
+    assert sorted((tuple(r.first), tuple(r.second), r.cause) for r in found.collect()) == [
+        (("", "::"), ("::", ""), "separator"),
+        (("a", "b::c"), ("a::b", "c"), "separator"),
+    ]
+    # An id of four values has true collisions.
+    crowded = ambiguous_ids(df, ["p", "q"], make=lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(1)))
+    assert [r.cause for r in crowded.collect()] == ["hash"]
+    assert ambiguous_ids(df.limit(0), ["p"]).collect() == []

@@ -1,0 +1,103 @@
+"""Landing of files: each once, whatever happens in between."""
+
+import os
+import time
+
+import pytest
+from conftest import BILLS, rows_of
+from pyspark.sql import functions as F
+
+from voltmark import Lake, land_files
+from voltmark.registry import table
+
+COLUMNS = table("raw_billing").business_columns
+
+
+@pytest.fixture
+def lake(spark, tmp_path):
+    return Lake(spark, str(tmp_path / "lake"))
+
+
+def deliver(spark, folder, name, rows):
+    """One file, written under its name."""
+    out = f"{folder}-{name}.tmp"
+    spark.createDataFrame(rows, ", ".join(f"{c} string" for c in COLUMNS)).coalesce(1).write.mode("overwrite").parquet(out)
+    (part,) = [f for f in os.listdir(out) if f.endswith(".parquet")]
+    os.makedirs(folder, exist_ok=True)
+    os.replace(f"{out}/{part}", f"{folder}/{name}.parquet")
+
+
+def landed(lake):
+    rows = lake.read("raw_billing").select("cost_id", F.element_at(F.split("source_file", "/"), -1).alias("file"))
+    return rows_of(rows)
+
+
+def test_each_file_lands_once(spark, lake, tmp_path):
+    folder = str(tmp_path / "in")
+    deliver(spark, folder, "a", BILLS[:2])
+    files = lambda: spark.read.parquet(folder)
+    assert land_files(lake, "raw_billing", files()) == 2
+    assert land_files(lake, "raw_billing", files()) == 0
+    deliver(spark, folder, "b", BILLS[2:3])
+    assert land_files(lake, "raw_billing", files()) == 1
+    assert landed(lake) == [("i-1", "a.parquet"), ("i-2", "a.parquet"), ("i-3", "b.parquet")]
+    assert lake.read("raw_billing").where("ingested_at IS NULL").isEmpty()
+    time.sleep(1.1)
+    deliver(spark, folder, "a", BILLS[:1])  # written again: a new delivery of that file
+    assert land_files(lake, "raw_billing", files()) == 1
+    assert land_files(lake, "raw_billing", files()) == 0
+    assert landed(lake).count(("i-1", "a.parquet")) == 2
+    lake.truncate(["raw_billing"])
+    assert land_files(lake, "raw_billing", files()) == 2
+
+
+def test_a_landing_that_was_cut_off_is_repeated(spark, lake, tmp_path, monkeypatch):
+    folder = str(tmp_path / "in")
+    deliver(spark, folder, "a", BILLS[:2])
+    append = Lake.append
+
+    def failing(self, name, df):
+        if name == "raw_billing":
+            raise RuntimeError("cut off")
+        return append(self, name, df)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Lake, "append", failing)
+        with pytest.raises(RuntimeError):
+            land_files(lake, "raw_billing", spark.read.parquet(folder))
+    assert lake.read("landed_files").count() == 1 and lake.read("raw_billing").isEmpty()
+    assert land_files(lake, "raw_billing", spark.read.parquet(folder)) == 2
+    assert land_files(lake, "raw_billing", spark.read.parquet(folder)) == 0
+    # Rows written, but not marked as complete.
+    deliver(spark, folder, "b", BILLS[2:4])
+    assert land_files(lake, "raw_billing", spark.read.parquet(folder)) == 2
+    part = max(lake.parts("raw_billing"))
+    os.remove(f"{lake._appended('raw_billing', lake.location('raw_billing'))}/part={part:08}/_SUCCESS")
+    assert len(landed(lake)) == 2
+    assert land_files(lake, "raw_billing", spark.read.parquet(folder)) == 2
+    assert len(landed(lake)) == 4
+
+
+def test_columns_made_of_those_of_the_files(spark, lake, tmp_path):
+    path = str(tmp_path / "x.parquet")
+    spark.createDataFrame([(1, 2.5)], "n int, x double").write.parquet(path)
+    made = {c: F.lit(None) for c in COLUMNS} | {"cost_id": F.col("n"), "energy_cost": F.col("x")}
+    assert land_files(lake, "raw_billing", spark.read.parquet(path), made) == 1
+    assert rows_of(lake.read("raw_billing"), "cost_id", "energy_cost") == [("1", "2.5")]
+    with pytest.raises(ValueError, match="currency"):
+        land_files(lake, "raw_billing", spark.read.parquet(path), {c: F.lit(1) for c in COLUMNS if c != "currency"})
+    with pytest.raises(ValueError, match="silver"):
+        land_files(lake, "dim_site", spark.read.parquet(path))
+
+
+def test_files_landed_before_are_not_read(spark, lake, tmp_path):
+    folder = str(tmp_path / "in")
+    deliver(spark, folder, "a", BILLS[:2])
+    land_files(lake, "raw_billing", spark.read.parquet(folder))
+    with open(f"{folder}/a.parquet", "r+b") as f:  # its rows can't be read any more, its footer can
+        stat = os.stat(f"{folder}/a.parquet")
+        f.seek(4)
+        f.write(b"\xff" * 60)
+    os.utime(f"{folder}/a.parquet", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    deliver(spark, folder, "b", BILLS[2:3])
+    assert land_files(lake, "raw_billing", spark.read.parquet(folder)) == 1

@@ -16,7 +16,7 @@ from voltmark.plans.medallion import bronze_to_silver, run_all, silver_to_gold
 from voltmark.plans.metrics import ENERGY_MODEL, metrics
 from voltmark.session import build_session
 from voltmark.sources.lake import Lake
-from voltmark.sources.landing import land, land_rows
+from voltmark.sources.landing import land, land_files, land_rows
 
 __all__ = [
     "ENERGY_GRAPH",
@@ -26,6 +26,7 @@ __all__ = [
     "bronze_to_silver",
     "build_session",
     "land",
+    "land_files",
     "land_rows",
     "metrics",
     "run_all",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # RFC 4122 namespace for URLs, and the text between id parts.
@@ -51,3 +52,19 @@ def stable_uuid5(*parts: Column) -> Column:
         F.lit("-"),
         F.substring(digest, 21, 12),
     )
+
+
+def ambiguous_ids(rows: DataFrame, parts: Sequence[str], make: Callable[..., Column] = stable_id63) -> DataFrame:
+    """``id, first, second, cause`` for ids that rows with different ``parts`` share: the least and the greatest of their part
+    lists, and whether it is the ``separator`` (``"a::b", "c"`` and ``"a", "b::c"`` are joined to one text) or the ``hash``.
+
+    Rows with a null part have no id and are left out. Equal part lists are one, however many rows have them; they
+    are combined before the shuffle, so a part list of many rows is one row for each task.
+    """
+    texts = [F.col(f"`{p}`").cast("string") for p in parts]
+    lists = F.array(*texts)
+    made = rows.select(make(*texts).alias("id"), lists.alias("parts"), _joined(tuple(texts)).alias("text")).filter("id IS NOT NULL")
+    least, greatest = F.min("parts").alias("first"), F.max("parts").alias("second")
+    shared = made.groupBy("id").agg(least, greatest, F.min("text").alias("low"), F.max("text").alias("high"))
+    cause = F.when(F.col("low") == F.col("high"), "separator").otherwise("hash")
+    return shared.filter("first <> second").select("id", "first", "second", cause.alias("cause"))

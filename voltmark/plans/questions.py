@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voltmark.operators import top_k
+from voltmark.operators import differing, top_k
 from voltmark.plans.graph import EntityGraph
 from voltmark.plans.metrics import metrics
 from voltmark.plans.silver import TOTALS, cost_by_site, energy_by_site
+from voltmark.registry import table
 
 Tables = Mapping[str, DataFrame]
 
@@ -101,3 +102,13 @@ def snapshot_drift(tables: Tables) -> DataFrame:
         # Sums of doubles depend on the order of addition in the last digits.
         drifted = drifted | (F.abs(F.col(c) - F.col(f"live_{c}")) > 1e-9 * F.greatest(F.abs(c), F.lit(1.0)))
     return compared.filter(drifted)
+
+
+def drifted_site_months(stored: DataFrame, live: DataFrame) -> DataFrame:
+    """Sites and months in which two states of the readings differ, with the readings of either, by checksums: days first, so
+    that only days that differ are read a second time, then sites within them."""
+    day = F.col("reading_date")
+    found = differing(stored, live, [[day], [F.col("site_id")]], table("fact_energy_consumption").columns)
+    month = F.date_format("reading_date", "yyyy-MM").alias("month")
+    sums = [F.sum(c).alias(c) for c in ("left_rows", "right_rows")]
+    return found.groupBy("site_id", month).agg(*sums).withColumnsRenamed({"left_rows": "stored_readings", "right_rows": "live_readings"})

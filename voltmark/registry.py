@@ -153,7 +153,7 @@ _ALL = (
 TABLES: dict[str, Table] = {t.name: t for t in _ALL}
 
 # Beside the layers: what incremental runs keep for themselves (sums that later runs add to, how far the last one came), and
-# the materialised entity graph, and rows that did not reach silver.
+# the materialised entity graph, rows that did not reach silver, and files that were landed.
 STATE: dict[str, Table] = {
     t.name: t
     for t in (
@@ -193,6 +193,12 @@ STATE: dict[str, Table] = {
             "table_name string, missing string, row string, ingested_at timestamp, source_file string",
             ("table_name", "row"),
         ),
+        Table(
+            "landed_files",
+            "state",
+            "table_name string, version string, part long, file_path string, modified long",
+            ("table_name", "file_path", "modified"),
+        ),
         Table("pending_days", "state", "reading_date date", ("reading_date",)),
     )
 }

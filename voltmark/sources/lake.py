@@ -108,6 +108,14 @@ class Lake:
         written = fs.getFileStatus(mark).getModificationTime()
         return f"{mark.getParent().getName()}@{written}", self._parts(name)[-1]
 
+    def parts(self, name: str) -> list[int]:
+        """The complete parts of the version that counts: 0 for the version itself, then its appends."""
+        return self._parts(name)
+
+    def next_part(self, name: str) -> int:
+        """The number that the next append to a Parquet table gets. No other append ever had it, complete or not."""
+        return max([0, *self._numbers(self._appended(name, self.location(name)))]) + 1
+
     def read_required(self, name: str) -> DataFrame:
         """As :meth:`read`, but an error when the table has no rows yet."""
         df = self.read(name)
@@ -189,8 +197,7 @@ class Lake:
             if spec.bucket_by:
                 raise ValueError(f"{spec.name} is bucketed and can be overwritten only")
             folder = self._appended(spec.name, before[-1])
-            number = max([0, *self._numbers(folder)]) + 1
-            self._writer(spec, rows, "errorifexists").save(f"{folder}/part={number:08}")
+            self._writer(spec, rows, "errorifexists").save(f"{folder}/part={self.next_part(spec.name):08}")
             return
         taken = self._versions(spec.name, complete=False)
         new = f"v{int(taken[-1][1:]) + 1 if taken else 1:08}"

@@ -343,6 +343,44 @@ _EVENT_WALK = """
     FROM dim_site s JOIN dim_device d ON d.site_id = s.site_id
          JOIN maintenance_event m ON m.device_id = d.device_id JOIN dim_supplier p ON p.supplier_id = m.supplier_id"""
 
+# Entities: table, key and properties, as the graph binds them.
+_BOUND = {
+    "Region": ("dim_region", "region_id region_code region_name"),
+    "Site": (
+        "dim_site",
+        "site_id site_name country region_id site_type contracted_power_kw total_energy_kwh total_energy_cost total_co2_kg",
+    ),
+    "Device": ("dim_device", "device_id site_id device_type model measurement_unit is_active"),
+    "EnergyReading": ("fact_energy_consumption", "reading_id device_id site_id timestamp energy_kwh active_power_kw power_factor"),
+    "BillingRecord": ("fact_energy_cost", "cost_id site_id billing_period energy_cost co2_emissions_kg currency"),
+    "Supplier": ("dim_supplier", "supplier_id supplier_name supplier_type country"),
+    "MaintenanceEvent": (
+        "maintenance_event",
+        "event_id device_id site_id supplier_id event_date event_type downtime_hours cost description",
+    ),
+}
+
+
+def _type_ids() -> str:
+    rows, sizes = [], []
+    for name, (source, properties) in _BOUND.items():
+        rows += [f"('entity', '{name}', NULL)", f"('binding', '{name}', '{source}')"]
+        rows += [f"('prop', '{name}', '{c}')" for c in properties.split()]
+        sizes.append(f"SELECT '{name}' AS name, count(*) AS bound_rows FROM {source}")
+    for link in ("locatedIn", "hasDevice", "produces", "billedFor", "hasMaintenance", "performedBy"):
+        rows += [f"('rel', '{link}', NULL)", f"('ctx', '{link}', NULL)"]
+    return f"""
+        SELECT kind, name, part, bound_rows,
+               CASE WHEN kind NOT IN ('binding', 'ctx') THEN
+                   (('0x' || substr(sha256(text), 1, 16))::ubigint & 9223372036854775807::ubigint)::bigint END AS id,
+               CASE WHEN kind IN ('binding', 'ctx') THEN
+                   substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
+                   || substr('89ab', (('0x' || substr(h, 17, 1))::int % 4) + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) END AS guid
+        FROM (SELECT *, sha1(unhex('{_UUID_NAMESPACE}') || text::blob) AS h
+              FROM (SELECT *, concat_ws('::', kind, name, part) AS text FROM (VALUES {', '.join(rows)}) v(kind, name, part)))
+        LEFT JOIN ({' UNION ALL '.join(sizes)}) USING (name)"""
+
+
 def _left_out() -> str:
     """Counts of rows read, dropped and values failed, table by table."""
     failing = {
@@ -442,6 +480,14 @@ ORACLES = {
         FROM (SELECT device_id, install_location,
                      sha1(unhex('{_UUID_NAMESPACE}') || ('device::' || device_id || '::' || install_location)::blob) AS h
               FROM raw_device)"""),
+    "graph_type_ids": _sql(_type_ids()),
+    "id_ambiguities": _sql("""
+        SELECT CASE WHEN v = 0 THEN 1 ELSE v END::bigint AS id, other AS first, one AS second, 'separator' AS cause
+        FROM (SELECT DISTINCT ('0x' || substr(sha256(device_id || '::' || voltage_v || '::' || reading_id), 1, 16))::ubigint
+                              & 9223372036854775807::ubigint AS v,
+                     device_id || '::' || voltage_v || '|' || reading_id AS one,
+                     device_id || '|' || voltage_v || '::' || reading_id AS other
+              FROM raw_meter_readings WHERE device_id IS NOT NULL AND reading_id IS NOT NULL)"""),
     "ratio_and_display": """
         SELECT l_orderkey, l_linenumber, v / nullif(round(l_discount * 100), 0) AS per_percent,
                (CASE WHEN (v * 10)::decimal(20, 4) % 1 >= 0.5 THEN ceil(v * 10) ELSE floor(v * 10) END) / 10 AS rounded,
@@ -612,6 +658,19 @@ ORACLES = {
         first_consumption=_consumption("AND ingested_at < TIMESTAMP '2024-02-02'"),
         stored_site=_sites("first_consumption"),
     ),
+    "drifted_site_months": _sql(
+        """SELECT site_id, strftime(reading_date, '%Y-%m') AS month, sum(a)::bigint AS stored_readings, sum(b)::bigint AS live_readings
+           FROM (SELECT site_id, reading_date, count(*) FILTER (WHERE side = 'a') AS a, count(*) FILTER (WHERE side = 'b') AS b
+                 FROM (SELECT 'a' AS side, site_id, reading_date FROM first_consumption
+                       UNION ALL SELECT 'b', site_id, reading_date FROM fact_energy_consumption)
+                 GROUP BY site_id, reading_date) n
+           WHERE EXISTS (SELECT 1 FROM changed c
+                         WHERE c.site_id IS NOT DISTINCT FROM n.site_id AND c.reading_date = n.reading_date)
+           GROUP BY site_id, month""",
+        first_consumption=_consumption("AND ingested_at < TIMESTAMP '2024-02-02'"),
+        changed="""(SELECT * FROM first_consumption EXCEPT SELECT * FROM fact_energy_consumption)
+                   UNION ALL (SELECT * FROM fact_energy_consumption EXCEPT SELECT * FROM first_consumption)""",
+    ),
     "landing": """
         SELECT o_orderkey::varchar AS cost_id, o_custkey::varchar AS site_id,
                strftime(o_orderdate, '%Y-%m') AS billing_period, year(o_orderdate)::varchar AS energy_consumed_kwh,
@@ -620,6 +679,11 @@ ORACLES = {
                strftime(o_orderdate, '%Y-%m-%d') AS co2_emissions_kg, o_orderstatus AS currency,
                'orders' AS source_file, true AS stamped
         FROM orders""",
+    "landing_files": """
+        SELECT file, currency, count(*) AS "rows", count(DISTINCT cost_id) AS bills, min(site_id) AS least_site, '[1, 0, 1, 0]' AS landings
+        FROM (SELECT 'orders.parquet' AS file, o_orderstatus AS currency, o_orderkey::varchar AS cost_id, o_custkey::varchar AS site_id FROM orders
+              UNION ALL SELECT 'customer.parquet', c_mktsegment, 'c' || c_custkey, c_custkey::varchar FROM customer)
+        GROUP BY ALL""",
     "lake_run_counts": _sql(f"""
         SELECT 'dim_region' AS table_name, count(*) AS row_count FROM dim_region
         UNION ALL SELECT 'dim_site', count(*) FROM dim_site

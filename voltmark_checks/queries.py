@@ -5,12 +5,14 @@ from __future__ import annotations
 import atexit
 import uuid
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltmark import ENERGY_MODEL, EntityGraph, Lake, land, metrics, run_all, run_incremental
+from voltmark import ENERGY_GRAPH, ENERGY_MODEL, EntityGraph, Lake, land, land_files, metrics, run_all, run_incremental
 from voltmark.functions import (
+    ambiguous_ids,
     display_number,
     labelled,
     safe_divide,
@@ -21,6 +23,7 @@ from voltmark.functions import (
 )
 from voltmark.operators import Intake, top_k, typed
 from voltmark.plans import gold, questions, silver
+from voltmark.plans.graph import type_ids
 from voltmark.plans.graph_store import StoredGraph, refresh_graph
 from voltmark.plans.medallion import dropped_rows, load_maintenance, silver_to_gold
 from voltmark.plans.metrics import formatted, report_table
@@ -160,6 +163,26 @@ def ratio_and_display(spark, sf_dir):
     )
 
 
+def graph_type_ids(spark, sf_dir):
+    """Ids of the types of the graph and their bindings, with the rows that are bound."""
+    tables = silver_tables(spark, sf_dir)
+    ids = type_ids(spark)
+    sizes = [
+        tables[e.table].agg(F.count(F.lit(1)).alias("bound_rows")).withColumn("name", F.lit(e.name))
+        for e in ENERGY_GRAPH.entities.values()
+    ]
+    return ids.join(reduce(lambda a, b: a.unionByName(b), sizes), "name", "left")
+
+
+def id_ambiguities(spark, sf_dir):
+    """Part lists of readings that are different and have one id, since their parts hold the separator."""
+    readings = raw_meter_readings(spark, sf_dir)
+    one = readings.select(F.concat_ws("::", "device_id", "voltage_v").alias("a"), F.col("reading_id").alias("b"))
+    other = readings.select(F.col("device_id").alias("a"), F.concat("voltage_v", F.lit("::"), "reading_id").alias("b"))
+    found = ambiguous_ids(one.unionByName(other), ["a", "b"])
+    return found.select("id", F.concat_ws("|", "first").alias("first"), F.concat_ws("|", "second").alias("second"), "cause")
+
+
 # -- metric layer --------------------------------------------------------------
 
 
@@ -246,6 +269,13 @@ def snapshot_drift(spark, sf_dir):
     return questions.snapshot_drift({"dim_site": stored, "fact_energy_consumption": live, "fact_energy_cost": cost})
 
 
+def drifted_site_months(spark, sf_dir):
+    """Where the readings after the first deliveries differ from those after the second."""
+    first = raw_meter_readings(spark, sf_dir).filter(F.col("ingested_at") < F.lit("2024-02-02").cast("timestamp"))
+    live = silver_tables(spark, sf_dir)["fact_energy_consumption"]
+    return questions.drifted_site_months(silver.fact_energy_consumption(first), live)
+
+
 def top_sites_by_cost(spark, sf_dir):
     sites = silver_tables(spark, sf_dir)["dim_site"].select("site_id", "total_energy_cost")
     return top_k(sites, "total_energy_cost", 10, "site_id")
@@ -352,6 +382,29 @@ def landing(spark, sf_dir):
     return landed.withColumn("stamped", F.col("ingested_at").isNotNull()).drop("ingested_at")
 
 
+def landing_files(spark, sf_dir):
+    """A file landed, looked at again, and landed beside another one: each file once."""
+    columns = {c: F.lit(None) for c in ("peak_demand_kw", "tariff_rate", "co2_emissions_kg", "energy_consumed_kwh")}
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    lake, rows = new_lake(spark), []
+    for _ in range(2):
+        rows.append(land_files(lake, "raw_billing", orders, {
+            **columns, "cost_id": F.col("o_orderkey"), "site_id": F.col("o_custkey"), "billing_period": F.date_format("o_orderdate", "yyyy-MM"),
+            "energy_cost": F.col("o_totalprice"), "currency": F.col("o_orderstatus"),
+        }))
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    for _ in range(2):
+        rows.append(land_files(lake, "raw_billing", customers, {
+            **columns, "cost_id": F.concat(F.lit("c"), "c_custkey"), "site_id": F.col("c_custkey"), "billing_period": F.lit("2024-01"),
+            "energy_cost": F.col("c_acctbal"), "currency": F.col("c_mktsegment"),
+        }))
+    landed = lake.read("raw_billing").withColumn("file", F.element_at(F.split("source_file", "/"), -1))
+    found = landed.groupBy("file", "currency").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("cost_id").alias("bills"), F.min("site_id").alias("least_site")
+    )
+    return found.withColumn("landings", F.lit(str([int(n > 0) for n in rows])))
+
+
 def lake_run_counts(spark, sf_dir):
     """A full run through storage; rows written per table as counted during the writes."""
     lake = loaded_lake(spark, sf_dir)
@@ -466,6 +519,8 @@ QUERIES = {
     "stable_id63": stable_ids63,
     "stable_uuid5": stable_uuids5,
     "ratio_and_display": ratio_and_display,
+    "graph_type_ids": graph_type_ids,
+    "id_ambiguities": id_ambiguities,
     # metric layer
     "metric_totals": _metrics(list(MEASURES)),
     "metric_by_region": _metrics(list(MEASURES), [("dim_region", "region_name")]),
@@ -537,8 +592,10 @@ QUERIES = {
     "supplier_downtime_by_region": _ask(questions.supplier_downtime_by_region),
     "energy_and_maintenance_by_region": _ask(questions.energy_and_maintenance_by_region),
     "snapshot_drift": snapshot_drift,
+    "drifted_site_months": drifted_site_months,
     # storage
     "landing": landing,
+    "landing_files": landing_files,
     "lake_run_counts": lake_run_counts,
     "intake_report": intake_report,
     "dropped_by_reason": dropped_by_reason,
