@@ -8,6 +8,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_fixtures import corpus, docs_of  # noqa: F401
@@ -271,6 +272,28 @@ def test_error_bounds_hold():
     assert (unit @ unit.T <= bound + 1e-12).all()
 
 
+@pytest.mark.parametrize("parts", [3, 64, 1024, 1025, 2500])
+def test_bounds_come_from_exact_products_of_codes(parts):
+    rng = np.random.default_rng(parts)
+    full = rng.normal(size=(60, parts)) * np.exp(rng.normal(size=(60, 1)) * 3)
+    full[1], full[2], full[3] = full[0] * 2, full[0] + 1e-3 * rng.normal(size=parts), np.sign(full[0])
+    table = pa.table({"rep": list(range(60)), "weight": [1] * 60, "packed": [v.tobytes() for v in full]})
+    x = embedding_dedup.Block(table, "f8")
+    bounds = x.bounds(slice(5, 60), x, 2)
+    integers = x.codes.astype(np.int64) @ x.codes.astype(np.int64).T
+    exact = integers * np.outer(x.scales, x.scales) + np.outer(x.errors, x.sizes + x.errors) + np.outer(x.sizes, x.errors)
+    assert np.abs(bounds - exact[5:60, 2:]).max() < embedding_dedup._SLACK
+    unit = full / np.sqrt((full**2).sum(1))[:, None]
+    assert (bounds - (unit @ unit.T)[5:60, 2:]).min() > -embedding_dedup._SLACK
+
+
+def test_embeddings_whose_squares_do_not_fit_a_double(spark):
+    rows = [[1e200, 0.0], [1e200, 1e198], [1e-200, 0.0], [3e-300, 3e-302], [0.0, 1e300], [0.0, 1e-320], [1.0, 1.0], [0.0, 0.0], [float("inf"), 1.0]]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {0: (3, 0), 1: (3, 0), 2: (3, 0), 3: (3, 0), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (0, 7), 8: (0, 8)}
+
+
 # -- shared parts ----------------------------------------------------------------------------
 
 

@@ -19,8 +19,10 @@ from voltmark.llm.scratch import Scratch
 #: Distinct vectors in a block; a task holds two blocks.
 BLOCK_ROWS = 4096
 _TILE_ROWS, _PAIRS_AT_ONCE = 512, 100_000
-#: Covers what single precision loses in a tile product and in the codes.
-_SLACK = 1e-4
+#: Products of codes up to 127 of so many parts are below 2^24, so their sum is exact in single precision.
+_EXACT_PARTS = 1024
+#: Covers what single precision loses when scales and error terms are applied: a few roundings of numbers up to 2.
+_SLACK = 2e-6
 
 
 def packed(column: pa.Array, kind: str) -> list[bytes | None]:
@@ -34,10 +36,8 @@ def packed(column: pa.Array, kind: str) -> list[bytes | None]:
     for size in np.unique(lengths[lengths > 0]):
         rows = np.flatnonzero(lengths == size)
         matrix = values[starts[rows][:, None] + np.arange(size)]
-        wide = matrix.astype(np.float64)
-        with np.errstate(over="ignore", invalid="ignore"):
-            norms = np.sqrt((wide**2).sum(axis=1))
-        for k in np.flatnonzero(np.isfinite(norms) & (norms > 0)):
+        largest = np.abs(matrix.astype(np.float64)).max(axis=1)
+        for k in np.flatnonzero(np.isfinite(largest) & (largest > 0)):
             result[rows[k]] = matrix[k].tobytes()
     return result
 
@@ -49,18 +49,29 @@ class Block:
         self.ids = table.column("rep").to_numpy()
         self.weights = table.column("weight").to_numpy().astype(np.float64)
         raw = b"".join(table.column("packed").to_pylist())
-        self.full = np.frombuffer(raw, kind).reshape(len(self.ids), -1).astype(np.float64)
+        full = np.frombuffer(raw, kind).reshape(len(self.ids), -1).astype(np.float64)
+        # Powers of two change no digit, and squares neither over- nor underflow afterwards.
+        self.full = np.ldexp(full, -np.frexp(np.abs(full).max(axis=1))[1][:, None])
         self.norms = np.sqrt((self.full**2).sum(axis=1))
         unit = self.full / self.norms[:, None]
         self.codes, self.scales, self.errors = quantised(unit)
         rounded = self.codes * self.scales[:, None]
         self.sizes = np.sqrt((rounded**2).sum(axis=1))
 
-    def left(self) -> np.ndarray:
-        return np.column_stack([self.codes * self.scales[:, None], self.errors, self.sizes]).astype(np.float32)
-
-    def right(self) -> np.ndarray:
-        return np.column_stack([self.codes * self.scales[:, None], self.sizes + self.errors, self.errors]).astype(np.float32)
+    def bounds(self, rows: slice, other: Block, first: int) -> np.ndarray:
+        """Upper bounds of the cosines of some rows with those of ``other`` from ``first`` on: the product of the codes, exact,
+        times the scales, and what the rounding errors of either side can add."""
+        parts = self.codes.shape[1]
+        product = None
+        for k in range(0, parts, _EXACT_PARTS):
+            part = self.codes[rows, k : k + _EXACT_PARTS].astype(np.float32) @ other.codes[first:, k : k + _EXACT_PARTS].astype(np.float32).T
+            product = part if product is None else product.astype(np.float64) + part
+        product *= self.scales[rows, None].astype(product.dtype)
+        product *= other.scales[None, first:].astype(product.dtype)
+        mine = np.column_stack([self.errors, self.sizes])[rows].astype(np.float32)
+        others = np.column_stack([other.sizes + other.errors, other.errors])[first:].astype(np.float32)
+        product += mine @ others.T
+        return product
 
     def cosines(self, rows: np.ndarray, other: Block, columns: np.ndarray) -> np.ndarray:
         return (self.full[rows] * other.full[columns]).sum(axis=1) / (self.norms[rows] * other.norms[columns])
@@ -80,11 +91,9 @@ def linked(x: Block, y: Block | None, threshold: float) -> tuple[np.ndarray, np.
     nx, ny = len(x.ids), len(other.ids)
     links_x, links_y = np.zeros(nx), np.zeros(ny)
     forest = Forest(nx + (0 if y is None else ny))
-    right = np.ascontiguousarray(other.right().T)
     for top in range(0, nx, _TILE_ROWS):
         first = top if y is None else 0
-        bounds = x.left()[top : top + _TILE_ROWS] @ right[:, first:]
-        rows, columns = np.nonzero(bounds >= threshold - _SLACK)
+        rows, columns = np.nonzero(x.bounds(slice(top, top + _TILE_ROWS), other, first) >= threshold - _SLACK)
         rows, columns = rows + top, columns + first
         if y is None:
             rows, columns = rows[rows < columns], columns[rows < columns]
