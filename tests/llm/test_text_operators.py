@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+from collections import defaultdict
 import re
 
 import numpy as np
@@ -442,6 +443,44 @@ def test_unseen_words_fall_back_to_shorter_grams():
     assert language.Identifier(model).identify("xyz xyz")[0] == "en"
 
 
+def test_texts_without_a_letter_have_no_language():
+    identifier = language.Identifier(language.from_counts([("strasse", "de", 9), ("street", "en", 9)]))
+    for text in ("²", "½ ①", "Ⅷ", "3 ٣ १", "_ __ ²_", "", None, "!?"):
+        assert identifier.identify(text) == ("und", 0.0)
+    assert identifier.identify("² street")[0] == "en" and identifier.identify("straße²")[0] == "de"
+
+
+def test_evidence_is_that_of_a_full_table():
+    rng = random.Random(6)
+    counts = [(w, lang, rng.randrange(1, 9)) for lang in ("aa", "bb", "cc") for w in {"".join(rng.choice("abé") for _ in range(rng.randrange(1, 6))) for _ in range(30)}]
+    model = language.from_counts(counts)
+    table = defaultdict(lambda: np.zeros(3))
+    for w, lang, n in counts:
+        table[w][model.languages.index(lang)] += n
+    seen = sum(table.values())
+    for w, row in table.items():
+        full = np.log(row / seen + 0.5 / seen.max())
+        assert np.allclose(model.of_word(w) - model.of_word(w).min(), full - full.min())
+
+
+def test_two_hundred_languages_fit_a_task():
+    import tracemalloc
+
+    rng = random.Random(7)
+    spelled = lambda n: "".join("abcdefghij"[int(d)] for d in str(n))
+    counts = [(f"w{spelled(k)}x{spelled(lang)}" if k % 3 else f"w{spelled(k)}", f"l{lang:03}", 1 + k % 5) for lang in range(200) for k in range(120)]
+    tracemalloc.start()
+    model = language.from_counts(counts)
+    identifier = language.Identifier(model)
+    assert len(model.languages) == 200
+    assert model.more.nbytes + model.of.nbytes + model.first.nbytes < 8 << 20  # a full table: over 60 MB
+    assert identifier.evidence.nbytes <= language.REMEMBERED_BYTES
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+    words = [f"w{spelled(k)}x{spelled(77)}" for k in range(120) if k % 3]
+    assert identifier.identify(" ".join(rng.choice(words) for _ in range(50)))[0] == "l077"
+
+
 # -- quality -----------------------------------------------------------------------------------
 
 

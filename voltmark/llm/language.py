@@ -22,31 +22,44 @@ from voltmark.llm import batches as B
 SAMPLE_ROWS, MODEL_WORDS = 6_000, 100_000
 LONGEST = 5
 UNDETERMINED = "und"
-#: Words a task remembers the evidence of; beyond that it starts anew.
-REMEMBERED = 500_000
+#: Words a task remembers the evidence of, and bytes of it; beyond either it starts anew.
+REMEMBERED, REMEMBERED_BYTES = 500_000, 32 << 20
+#: An n-gram counts if it stands so often in the words that are kept, in all languages together.
+GRAM_TIMES = 3
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
 @dataclass
 class LanguageModel:
-    """``words`` and ``grams[n]`` lead to rows of ``evidence``: a log frequency for each of ``languages``."""
+    """``words`` and ``grams[n]`` lead to rows of evidence: how much more often than never, as a logarithm, each of ``languages``
+    has it. Most words are of few languages, so a row holds those alone: ``of[k]`` and ``more[k]`` for k from ``first[row]`` on."""
 
     languages: list[str]
     prior: np.ndarray
     words: dict[str, int]
     grams: list[dict[str, int]]
-    evidence: np.ndarray
+    first: np.ndarray
+    of: np.ndarray
+    more: np.ndarray
+
+    def of_rows(self, rows: list[int]) -> np.ndarray:
+        """The mean of some rows, over all languages."""
+        total = np.zeros(len(self.languages))
+        for row in rows:
+            a, b = self.first[row], self.first[row + 1]
+            total[self.of[a:b]] += self.more[a:b]
+        return total / len(rows)
 
     def of_word(self, word: str) -> np.ndarray:
         row = self.words.get(word)
         if row is not None:
-            return self.evidence[row]
+            return self.of_rows([row])
         padded = f"^{word}$"
         for n in range(min(LONGEST, len(padded)), 0, -1):
             table = self.grams[n]
             known = [table[g] for g in (padded[k : k + n] for k in range(len(padded) - n + 1)) if g in table]
             if known:
-                return self.evidence[known].mean(axis=0)
+                return self.of_rows(known)
         return np.zeros(len(self.languages))
 
 
@@ -56,15 +69,17 @@ class Identifier:
     def __init__(self, model: LanguageModel):
         self.model = model
         self.rows: dict[str, int] = {}
-        self.evidence = np.zeros((REMEMBERED, len(model.languages)))
+        self.most = max(1000, min(REMEMBERED, REMEMBERED_BYTES // (8 * max(1, len(model.languages)))))
+        self.evidence = np.zeros((self.most, len(model.languages)))
 
     def identify(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall((text or "").lower())
-        if not words or not self.model.languages:
+        # Superscripts, fractions and numerals are word characters, but no letters.
+        if not self.model.languages or not any(w.isalpha() or any(map(str.isalpha, w)) for w in words):
             return UNDETERMINED, 0.0
         total = self.model.prior.copy()
-        for start in range(0, len(words), REMEMBERED):
-            total += self.evidence[self._rows(words[start : start + REMEMBERED])].sum(axis=0)
+        for start in range(0, len(words), self.most):
+            total += self.evidence[self._rows(words[start : start + self.most])].sum(axis=0)
         weights = (total - total.max()) / np.sqrt(len(words))
         weights = np.exp(weights)
         best = int(np.argmax(total))
@@ -72,7 +87,7 @@ class Identifier:
 
     def _rows(self, words: list[str]) -> list[int]:
         new = set(words).difference(self.rows)
-        if len(self.rows) + len(new) > REMEMBERED:
+        if len(self.rows) + len(new) > self.most:
             self.rows, new = {}, set(words)
         for word in new:
             row = self.rows[word] = len(self.rows)
@@ -119,36 +134,43 @@ def trained(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, model_words: int =
 
 
 def from_counts(counts: list[tuple[str, str, int]], documents: dict[str, int] | None = None) -> LanguageModel:
-    """A model from how often each word stands in each language; of n-grams those seen at least three times count.
+    """A model from how often each word stands in each language; of n-grams those seen at least ``GRAM_TIMES`` times count.
     Languages are weighed by their ``documents``, or else by their words."""
     languages = sorted({lang for _, lang, _ in counts})
     place = {lang: k for k, lang in enumerate(languages)}
-    plain: list[dict[str, list[float]]] = [defaultdict(lambda: [0.0] * len(languages)) for _ in range(LONGEST + 1)]
+    tables: list[dict[str, dict[int, int]]] = [defaultdict(dict) for _ in range(LONGEST + 1)]
     for word, lang, n in counts:
         k = place[lang]
-        plain[0][word][k] += n
+        row = tables[0][word]
+        row[k] = row.get(k, 0) + n
         padded = f"^{word}$"
         for size in range(1, min(LONGEST, len(padded)) + 1):
-            table = plain[size]
+            table = tables[size]
             for start in range(len(padded) - size + 1):
-                table[padded[start : start + size]][k] += n
-    rows, lookups = [np.zeros((0, len(languages)))], []
+                row = table[padded[start : start + size]]
+                row[k] = row.get(k, 0) + n
+    lookups: list[dict[str, int]] = []
+    sizes, of, more = [np.zeros(1, np.int64)], [], []
     base = 0
-    for size, table in enumerate(plain):
-        names = [x for x, row in table.items() if size == 0 or sum(row) >= 3]
-        matrix = np.array([table[x] for x in names]).reshape(len(names), len(languages))
-        if len(names):
-            # What a language never has counts alike for all: half of one occurrence in the largest.
-            seen = np.maximum(matrix.sum(axis=0), 1.0)
-            matrix = np.log(matrix / seen + 0.5 / seen.max())
-        rows.append(matrix)
-        lookups.append({x: base + k for k, x in enumerate(names)})
-        base += len(names)
+    for size, table in enumerate(tables):
+        held = {x: row for x, row in table.items() if size == 0 or sum(row.values()) >= GRAM_TIMES}
+        table.clear()
+        widths = np.fromiter(map(len, held.values()), np.int64, len(held))
+        langs = np.fromiter((k for row in held.values() for k in row), np.int32, widths.sum())
+        times = np.fromiter((n for row in held.values() for n in row.values()), np.float64, widths.sum())
+        seen = np.maximum(np.bincount(langs, times, len(languages)), 1.0) if len(languages) else np.ones(1)
+        # What a language never has counts alike for all: half of one occurrence in the largest.
+        never = 0.5 / seen.max()
+        of.append(langs)
+        more.append(np.log(times / seen[langs] + never) - np.log(never) if len(langs) else times)
+        sizes.append(widths)
+        lookups.append({x: base + k for k, x in enumerate(held)})
+        base += len(held)
     totals = np.zeros(len(languages))
     for _, lang, n in counts if documents is None else [(None, lang, n) for lang, n in documents.items() if lang in place]:
         totals[place[lang]] += n
     prior = np.log(totals / totals.sum()) if len(languages) else totals
-    return LanguageModel(languages, prior, lookups[0], lookups, np.concatenate(rows))
+    return LanguageModel(languages, prior, lookups[0], lookups, np.cumsum(np.concatenate(sizes)), np.concatenate(of), np.concatenate(more))
 
 
 def identified(docs: DataFrame, model: LanguageModel, keep_text: bool = True) -> DataFrame:
