@@ -86,7 +86,7 @@ def test_stages_of_an_empty_table(spark, sf_dir):
 
 def test_registered():
     assert set(QUERIES) <= set(entry_module.queries()) and "pipeline" in entry_module.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(entry_module.oracle_sql())
 
 
