@@ -67,7 +67,7 @@ class Lake:
             return self.spark.read.format(self.fmt).load(self.location(name))
         if spec.bucket_by:
             return self._bucketed(spec)
-        whole, parts = self.location(name), self._parts(name)
+        whole, parts = self.location(name), self.parts(name)
         appended = [f"{self._appended(name, whole)}/part={n:08}" for n in parts if n > max(after, 0)]
         first = [whole] if after < 0 else []
         if not spec.partition_by or not appended:
@@ -106,11 +106,7 @@ class Lake:
             raise ValueError("only Parquet tables are written in numbered parts")
         fs, mark = self._filesystem(f"{self.location(name)}/_SUCCESS")
         written = fs.getFileStatus(mark).getModificationTime()
-        return f"{mark.getParent().getName()}@{written}", self._parts(name)[-1]
-
-    def parts(self, name: str) -> list[int]:
-        """The complete parts of the version that counts: 0 for the version itself, then its appends."""
-        return self._parts(name)
+        return f"{mark.getParent().getName()}@{written}", self.parts(name)[-1]
 
     def next_part(self, name: str) -> int:
         """The number that the next append to a Parquet table gets. No other append ever had it, complete or not."""
@@ -153,7 +149,7 @@ class Lake:
         spec, values = table(name), set(values)
         if self.fmt != "parquet" or len(spec.partition_by) != 1:
             raise ValueError(f"{name} is no Parquet table with one partition column")
-        if self._parts(name) != [0]:
+        if self.parts(name) != [0]:
             raise ValueError(f"{name} has appended parts; overwrite it first")
         (column,) = spec.partition_by
         seen = Observation()
@@ -210,7 +206,8 @@ class Lake:
         else:
             writer.save(path)
         for version in set(taken) - set(before[-1:]):
-            self._forget(f"{self.path(spec.name)}/{version}")
+            if spec.bucket_by:
+                self._forget(f"{self.path(spec.name)}/{version}")
             for folder in (f"{self.path(spec.name)}/{version}", self._appended(spec.name, version)):
                 fs, path = self._filesystem(folder)
                 fs.delete(path, True)
@@ -228,11 +225,12 @@ class Lake:
         names = [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
         return sorted(int(n.removeprefix("part=")) for n in names if n.startswith("part="))
 
-    def _parts(self, name: str) -> list[int]:
+    def parts(self, name: str) -> list[int]:
         """The complete parts of the version that counts: 0 for the version itself, then its appends."""
-        folder = self._appended(name, self.location(name))
-        marks = {n: self._filesystem(f"{folder}/part={n:08}/_SUCCESS") for n in self._numbers(folder)}
-        return [0, *[n for n, (fs, mark) in marks.items() if fs.exists(mark)]]
+        # One listing, however many parts there are.
+        fs, marks = self._filesystem(f"{self._appended(name, self.location(name))}/part=*/_SUCCESS")
+        found = [x.getPath().getParent().getName() for x in fs.globStatus(marks) or ()]
+        return [0, *sorted(int(n.removeprefix("part=")) for n in found)]
 
     def _versions(self, name: str, complete: bool) -> list[str]:
         """Version folders of a Parquet table in order; with ``complete`` those that Spark has marked as written."""
