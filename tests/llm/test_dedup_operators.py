@@ -287,6 +287,12 @@ def test_bounds_come_from_exact_products_of_codes(parts):
     assert (bounds - (unit @ unit.T)[5:60, 2:]).min() > -embedding_dedup._SLACK
 
 
+def test_vectors_that_share_an_id_are_one_vertex(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [0.0, 1.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.01, 1.0, 0.0]), (4, [0.0, 0.0, 1.0])]
+    got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == [(1, 2, 1), (1, 2, 1), (2, 1, 1), (3, 1, 1), (4, 0, 4)]
+
+
 def test_embeddings_whose_squares_do_not_fit_a_double(spark):
     rows = [[1e200, 0.0], [1e200, 1e198], [1e-200, 0.0], [3e-300, 3e-302], [0.0, 1e300], [0.0, 1e-320], [1.0, 1.0], [0.0, 0.0], [float("inf"), 1.0]]
     df = spark.createDataFrame([(k, v) for k, v in enumerate(rows)], "vec_id long, embedding array<double>")

@@ -115,7 +115,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, block_rows: int
     Two vectors of one length are linked if their cosine in double precision is at least ``threshold``. Null, empty and zero
     vectors and those with null or non-finite parts are linked with nothing; so are rows without ``vec_id``, which
     have no component and are kept. Equal vectors are one class with a weight, so copies cost nothing.
-    Other columns are ignored.
+    Ids are taken to be unique: rows that share one are one vertex, with the links of all their vectors. Other columns are ignored.
 
     Every pair of blocks of ``block_rows`` distinct vectors meets in one task, which returns a link count for a row and a forest of
     links, never the pairs. Each vector is sent once for each block there is: the work grows with the square
