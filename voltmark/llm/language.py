@@ -41,9 +41,18 @@ class LanguageModel:
     first: np.ndarray
     of: np.ndarray
     more: np.ndarray
+    table: np.ndarray | None = None  # the same as a full table, where that is small enough to be looked up in
+
+    def fill(self, most_bytes: int) -> None:
+        rows, columns = len(self.first) - 1, len(self.languages)
+        if self.table is None and rows * columns * 8 <= most_bytes:
+            self.table = np.zeros((rows, columns))
+            self.table[np.repeat(np.arange(rows), np.diff(self.first)), self.of] = self.more
 
     def of_rows(self, rows: list[int]) -> np.ndarray:
         """The mean of some rows, over all languages."""
+        if self.table is not None:
+            return self.table[rows[0]] if len(rows) == 1 else self.table[rows].mean(axis=0)
         total = np.zeros(len(self.languages))
         for row in rows:
             a, b = self.first[row], self.first[row + 1]
@@ -68,6 +77,7 @@ class Identifier:
 
     def __init__(self, model: LanguageModel):
         self.model = model
+        model.fill(2 * REMEMBERED_BYTES)
         self.rows: dict[str, int] = {}
         self.most = max(1000, min(REMEMBERED, REMEMBERED_BYTES // (8 * max(1, len(model.languages)))))
         self.evidence = np.zeros((self.most, len(model.languages)))
