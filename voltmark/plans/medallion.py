@@ -13,6 +13,7 @@ from voltmark.functions import parse
 from voltmark.operators import Intake
 from voltmark.plans import gold, silver
 from voltmark.registry import INGESTED_AT, SOURCE_FILE, table
+from voltmark.session import fine_scans
 from voltmark.sources.lake import Lake
 
 
@@ -24,17 +25,18 @@ def bronze_to_silver(
     The facts come first, and the site totals read the *written* facts: parsing and deduplicating
     them happens once, and a lost executor costs at most the table in progress.
     """
-    raw = {name: lake.read(name) for name in ("raw_site", "raw_device", "raw_meter_readings", "raw_billing")}
-    written = {
-        "dim_region": lake.overwrite("dim_region", silver.dim_region(raw["raw_site"], labels)),
-        "dim_device": lake.overwrite("dim_device", silver.dim_device(raw["raw_device"], intake)),
-        "fact_energy_consumption": lake.overwrite(
-            "fact_energy_consumption", silver.fact_energy_consumption(raw["raw_meter_readings"], intake)
-        ),
-        "fact_energy_cost": lake.overwrite("fact_energy_cost", silver.fact_energy_cost(raw["raw_billing"], intake)),
-    }
-    sites = silver.dim_site(raw["raw_site"], lake.read("fact_energy_consumption"), lake.read("fact_energy_cost"), intake)
-    written["dim_site"] = lake.overwrite("dim_site", sites)
+    with fine_scans(lake.spark):
+        raw = {name: lake.read(name) for name in ("raw_site", "raw_device", "raw_meter_readings", "raw_billing")}
+        written = {
+            "dim_region": lake.overwrite("dim_region", silver.dim_region(raw["raw_site"], labels)),
+            "dim_device": lake.overwrite("dim_device", silver.dim_device(raw["raw_device"], intake)),
+            "fact_energy_consumption": lake.overwrite(
+                "fact_energy_consumption", silver.fact_energy_consumption(raw["raw_meter_readings"], intake)
+            ),
+            "fact_energy_cost": lake.overwrite("fact_energy_cost", silver.fact_energy_cost(raw["raw_billing"], intake)),
+        }
+        sites = silver.dim_site(raw["raw_site"], lake.read("fact_energy_consumption"), lake.read("fact_energy_cost"), intake)
+        written["dim_site"] = lake.overwrite("dim_site", sites)
     return written
 
 
@@ -60,10 +62,11 @@ def load_maintenance(
 ) -> dict[str, int]:
     """Conform the maintenance source into silver. Its events refer to devices, so those must exist."""
     lake.read_required("dim_device")
-    return {
-        "dim_supplier": lake.overwrite("dim_supplier", silver.dim_supplier(suppliers, intake)),
-        "maintenance_event": lake.overwrite("maintenance_event", silver.maintenance_event(events, intake)),
-    }
+    with fine_scans(lake.spark):
+        return {
+            "dim_supplier": lake.overwrite("dim_supplier", silver.dim_supplier(suppliers, intake)),
+            "maintenance_event": lake.overwrite("maintenance_event", silver.maintenance_event(events, intake)),
+        }
 
 
 # Raw tables, what they are conformed to, and the columns besides the key that a row must have.
