@@ -22,6 +22,7 @@ from voltmark.functions import safe_divide
 from voltmark.plans import gold, silver
 from voltmark.plans.medallion import bronze_to_silver
 from voltmark.registry import INGESTED_AT, table
+from voltmark.session import fine_scans
 from voltmark.sources.lake import Lake
 
 RAW = ("raw_site", "raw_device", "raw_meter_readings", "raw_billing")
@@ -55,6 +56,11 @@ def run_incremental(lake: Lake, labels: Mapping[str, str] = silver.REGION_LABELS
     An interrupted run is made good by the next, since how far it came is noted last: the same rows are merged again, which
     changes nothing where they had arrived, or all is rebuilt if a table was replaced that the notes don't know.
     """
+    with fine_scans(lake.spark):
+        return _run(lake, labels)
+
+
+def _run(lake: Lake, labels: Mapping[str, str]) -> dict[str, int]:
     now = {name: lake.position(name) for name in RAW}
     last = _last_run(lake)
     if last is None or any(last[name].version != now[name][0] for name in RAW):
