@@ -85,3 +85,25 @@ def test_few_files(spark, golden, tmp_path):
     lake.overwrite("graph_edges", edges.repartition(11))
     files = [f for d, _, names in os.walk(lake.location("graph_edges")) for f in names if f.endswith(".parquet")]
     assert len(files) <= 2 * 6
+
+
+def test_nodes_are_stored_without_a_shuffle(spark, golden, tmp_path, monkeypatch):
+    plans, save = {}, Lake._save
+
+    def watched(lake, spec, rows, mode):
+        plans[spec.name] = plan_of(rows)
+        save(lake, spec, rows, mode)
+
+    lake = Lake(spark, str(tmp_path), buckets=2)
+    for spec in layer_tables("silver"):
+        lake.overwrite(spec.name, golden.read(spec.name))
+    monkeypatch.setattr(Lake, "_save", watched)
+    counts = refresh_graph(lake)
+    assert "Exchange" not in plans["graph_nodes"] and "Exchange" in plans["graph_edges"]
+    assert counts["graph_nodes"] == StoredGraph(lake).nodes().count() == EntityGraph(golden.bind()).all_nodes().count()
+    # A task has one type, so there is at most a file for each file of silver.
+    written, silver = (
+        [f for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+        for folder in (lake.location("graph_nodes"), f"{lake.root}/silver")
+    )
+    assert len(written) <= len(silver)

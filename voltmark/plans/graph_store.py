@@ -19,11 +19,12 @@ def refresh_graph(lake: Lake, spec: GraphSpec = ENERGY_GRAPH) -> dict[str, int]:
     """Store all nodes and edges of the silver tables; returns the rows written by table.
 
     A refresh writes new versions and readers keep theirs, as with any table. Rows of a relationship and bucket are gathered
-    for one writer; a bucket with much of the edges (a hub) is split over several.
+    for one writer; a bucket with much of the edges (a hub) is split over several. Nodes aren't shuffled: a task scans
+    one table, and so has one type.
     """
     graph = EntityGraph(lake.bind(), spec)
     return {
-        "graph_nodes": lake.overwrite("graph_nodes", graph.all_nodes()),
+        "graph_nodes": lake.overwrite("graph_nodes", graph.all_nodes(), gather=False),
         "graph_edges": lake.overwrite("graph_edges", graph.all_edges()),
     }
 

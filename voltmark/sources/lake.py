@@ -131,9 +131,13 @@ class Lake:
 
     # -- writing ---------------------------------------------------------------
 
-    def overwrite(self, name: str, df: DataFrame) -> int:
-        """Replace the table by ``df`` and return the rows written."""
-        return self._write(table(name), df, "overwrite")
+    def overwrite(self, name: str, df: DataFrame, gather: bool = True) -> int:
+        """Replace the table by ``df`` and return the rows written.
+
+        Rows of a partition value are gathered by a shuffle before they are written. Without ``gather`` each task writes
+        the rows it has, which is as few files where ``df`` is a union of tables with one value each.
+        """
+        return self._write(table(name), df, "overwrite", gather)
 
     def append(self, name: str, df: DataFrame) -> int:
         """Add ``df`` to the table and return the rows written."""
@@ -178,10 +182,11 @@ class Lake:
             rows = rows.hint("rebalance", *[F.col(c) for c in spec.partition_by])
         return rows
 
-    def _write(self, spec: Table, df: DataFrame, mode: str) -> int:
+    def _write(self, spec: Table, df: DataFrame, mode: str, gather: bool = True) -> int:
         # Counted while writing; a count() afterwards would run the whole plan again.
         seen = Observation()
-        self._save(spec, self._gathered(df, spec).observe(seen, F.count(F.lit(1)).alias("rows")), mode)
+        rows = self._gathered(df, spec) if gather else _checked(df, spec)
+        self._save(spec, rows.observe(seen, F.count(F.lit(1)).alias("rows")), mode)
         return seen.get["rows"]
 
     def _save(self, spec: Table, rows: DataFrame, mode: str) -> None:
